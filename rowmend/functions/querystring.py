@@ -116,11 +116,7 @@ def as_nvps(v: Sql) -> Sql:
     member does not fit.
     """
 
-    def from_array(items: Sql) -> Sql:
-        parts = V.each(
-            items, lambda e: f"named_struct('name', {V.get(e, 'name')}, 'value', {V.get(e, 'value')})"
-        )
-
+    def from_array(pairs: Sql) -> Sql:
         def unfit(p: Sql) -> Sql:
             value = f"{p}.value"
             return f"(NOT {V.is_string(f'{p}.name')} OR NOT ({V.missing_or_null(value)} OR {V.is_string(value)}))"
@@ -128,7 +124,7 @@ def as_nvps(v: Sql) -> Sql:
         def typed(p: Sql) -> Sql:
             return _pair(V.string(f"{p}.name"), V.string(f"{p}.value"))
 
-        return V.let(parts, lambda ps: f"CASE WHEN NOT {V.any_of(ps, unfit)} THEN {V.each(ps, typed)} END")
+        return f"CASE WHEN NOT {V.any_of(pairs, unfit)} THEN {V.each(pairs, typed)} END"
 
     def from_object(entries: Sql) -> Sql:
         nested = V.any_of(entries, lambda e: f"{V.kind_of_text(V.text(f'{e}.value'))} IN ('a', 'o')")
@@ -148,7 +144,7 @@ def as_nvps(v: Sql) -> Sql:
         lambda d: (
             "CAST("
             + V.let(
-                V.as_array(d),
+                f"try_cast({d} AS ARRAY<STRUCT<name: VARIANT, value: VARIANT>>)",
                 lambda items: (
                     f"CASE WHEN {items} IS NOT NULL THEN {from_array(items)}"
                     f" ELSE {V.let(f'map_entries({V.as_map(d)})', from_object)} END"

@@ -75,23 +75,30 @@ def any_of(items: Sql, test: Callable[[Sql], Sql]) -> Sql:
     return f"exists({items}, {name} -> {test(name)})"
 
 
-def parse(text: Sql) -> Sql:
-    """JSON text to VARIANT; SQL NULL when the text is not exactly one JSON value.
+def wrapped(text: Sql) -> Sql:
+    """Lenient parse of JSON text as the first element of an array.
 
     `try_parse_json` ignores anything after the first value, so the text is
-    wrapped with an end marker that must come out as the second element.
+    wrapped with an end marker that must come out as the second element, see
+    `is_whole`. A document is best left in its wrapping: taking a VARIANT out of
+    another one copies it.
     """
-    tail = quote("," + json.dumps(_END) + "]")
-    return let(
-        f"try_parse_json(concat('[', {text}, {tail}))",
-        lambda w: (
-            f"CASE WHEN variant_get({w}, '\\u0024[1]', 'string') <=> {quote(_END)}"
-            f" AND variant_get({w}, '\\u0024[2]', 'variant') IS NULL"
-            f" THEN variant_get({w}, '\\u0024[0]', 'variant') END"
-        ),
+    return f"try_parse_json(concat('[', {text}, {quote(',' + json.dumps(_END) + ']')}))"
+
+
+def is_whole(w: Sql) -> Sql:
+    """Whether wrapped text was exactly one JSON value."""
+    return (
+        f"(variant_get({w}, '\\u0024[1]', 'string') <=> {quote(_END)}"
+        f" AND variant_get({w}, '\\u0024[2]', 'variant') IS NULL)"
     )
 
 
+def parse(text: Sql) -> Sql:
+    """JSON text to VARIANT; SQL NULL when the text is not exactly one JSON value."""
+    return let(wrapped(text), lambda w: f"CASE WHEN {is_whole(w)} THEN {get(w, 0)} END")
+
+
 def literal_text(value: Any) -> str:
     """Compact JSON text of a configured value."""
     return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
@@ -140,6 +147,11 @@ def as_map(v: Sql) -> Sql:
     return f"try_cast({v} AS MAP<STRING, VARIANT>)"
 
 
+def is_object(v: Sql) -> Sql:
+    """Whether a VARIANT is an object; asks for one field only, so nothing is copied."""
+    return f"(try_cast({v} AS STRUCT<x: VARIANT>) IS NOT NULL)"
+
+
 def items_or_none(v: Sql) -> Sql:
     """Elements of an array; an empty array for anything else."""
     return f"coalesce({as_array(v)}, CAST(array() AS ARRAY<VARIANT>))"

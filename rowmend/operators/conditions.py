@@ -12,23 +12,24 @@ from ..functions.errors import failure
 from ..functions.schema_keys import schema_matches
 from ..functions.variants import Sql
 from ..plans.config import Compare, Condition, Config, Flow, Matcher, Regex, Size
-from . import paths
+from . import access, paths
+from .payloads import OTHER, known_shape
 
 _MAX_INT = 2**31 - 1
 
 
-def equals(path: str, value: Any, document: Sql = "row") -> Column:
+def equals(path: str, value: Any, document: Sql = "document") -> Column:
     """Same JSON type and equal; false when the path is missing."""
     return F.expr(holds(Condition(path, Compare(value)), document))
 
 
-def matches(path: str, regex: str, document: Sql = "row") -> Column:
+def matches(path: str, regex: str, document: Sql = "document") -> Column:
     """The pattern occurs in the JSON text at the path (a string keeps its quotes)."""
     return F.expr(holds(Condition(path, Regex(regex)), document))
 
 
 def size_is(
-    path: str, eq: int | None = None, gt: int | None = None, lt: int | None = None, document: Sql = "row"
+    path: str, eq: int | None = None, gt: int | None = None, lt: int | None = None, document: Sql = "document"
 ) -> Column:
     """Size of a string, array or (rounded up) number at the path."""
     given = [(op, n) for op, n in (("eq", eq), ("gt", gt), ("lt", lt)) if n is not None]
@@ -37,7 +38,7 @@ def size_is(
     return F.expr(holds(Condition(path, Size(*given[0])), document))
 
 
-def holds(condition: Condition, document: Sql = "row") -> Sql:
+def holds(condition: Condition, document: Sql = "document") -> Sql:
     return accepts(condition.matcher, paths.read(document, condition.path))
 
 
@@ -95,12 +96,18 @@ def _size(value: Sql, size: Size) -> Sql:
 # --- flows --------------------------------------------------------------------
 
 
-def _condition_value(path: str) -> Sql:
-    """Value a condition looks at; the payload is read from its canonical column."""
+def _condition_value(path: str, row_type: str) -> Sql:
+    """Value a condition of a flow for `row_type` looks at: in the typed payload, or in the row around it."""
     segments = paths.tokenize(path)
-    if segments and segments[0] == paths.Name("payload"):
-        return paths.read("payload", paths.resolve(segments[1:], (segments[0],)))
-    return paths.read("row", path)
+    shape = known_shape(row_type, repaired=False)
+    if segments and segments[0] == paths.Name("payload") and shape != OTHER:
+        return access.read(paths.resolve(segments[1:], (segments[0],)), shape)
+    node = paths.compile_path(path)
+    outer = paths.AtItem(0, paths.AtField("data", None, node))
+    inner = paths.AtItem(
+        0, paths.AtField("data", None, paths.AtField("payload", None, paths.AtField("data", None, node)))
+    )
+    return f"CASE WHEN nested THEN {paths.read('doc', inner)} ELSE {paths.read('doc', outer)} END"
 
 
 def match_flows(events: DataFrame, config: Config) -> DataFrame:
@@ -117,25 +124,25 @@ def match_flows(events: DataFrame, config: Config) -> DataFrame:
         staged = staged.withColumns(
             {c: F.expr(f"err IS NULL AND {schema_matches('row_schema', p)}") for p, c in fits.items()}
         )
-    wanted: dict[str, list[str]] = {}
+    wanted: dict[tuple[str, str], list[str]] = {}
     for flow in config.flows:
         for condition in flow.conditions:
-            users = wanted.setdefault(condition.path, [])
+            users = wanted.setdefault((condition.path, flow.row_type), [])
             if flow.pattern not in users:
                 users.append(flow.pattern)
-    values = {path: f"_value{i}" for i, path in enumerate(wanted)}
+    values = {key: f"_value{i}" for i, key in enumerate(wanted)}
     if values:
         staged = staged.withColumns(
             {
-                values[path]: F.expr(
-                    f"CASE WHEN {' OR '.join(fits[u] for u in users)} THEN {_condition_value(path)} END"
+                values[key]: F.expr(
+                    f"CASE WHEN {' OR '.join(fits[u] for u in users)} THEN {_condition_value(*key)} END"
                 )
-                for path, users in wanted.items()
+                for key, users in wanted.items()
             }
         )
 
     def flow_holds(flow: Flow) -> Sql:
-        tests = [accepts(c.matcher, values[c.path]) for c in flow.conditions]
+        tests = [accepts(c.matcher, values[c.path, flow.row_type]) for c in flow.conditions]
         return " AND ".join([fits[flow.pattern], *tests])
 
     def array(parts: list[Sql], kind: str) -> Column:

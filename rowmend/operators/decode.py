@@ -1,16 +1,16 @@
 """From one line of text to a typed failed event.
 
 Columns added on the way:
-  line      the text as read
-  schema    schema key of the line
-  data      its data (VARIANT)
-  row_schema, row, row_type
-            the failed event that flows are matched on; for a recovery error
-            this is the event inside it
+  line        the text as read
+  doc         its document (VARIANT, wrapped, see `variants.wrapped`)
+  schema      schema key of the line
+  nested      whether the line is a recovery error, that is, holds another failed event
+  row_schema, row_type
+              of the failed event that flows are matched on: the one inside when nested
   recoveries  earlier recoveries, 0 when none
   shape, payload
-            payload shape and canonical payload (VARIANT)
-  err       struct<code, message>, NULL while all is well
+              payload shape and typed payload
+  err         struct<code, message>, NULL while all is well
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from ..functions import variants as V
 from ..functions.errors import Known, failure
 from ..functions.schema_keys import schema_name
 from ..functions.variants import Sql
-from .payloads import read_payload, shape_of
+from .payloads import COLLECTOR, ENRICHMENT, OTHER, RAW, payload_struct, read_event, read_record, shape_of
 
 _KNOWN_SCHEMA = (
     "^iglu:"
@@ -36,70 +36,85 @@ _KNOWN_SCHEMA = (
 )
 
 
+# Where the failed event is inside the wrapped document of a line.
+_PLAIN = (0, "data")
+_INNER = (0, "data", "payload", "data")
+
+
+def row_get(*steps: str | int) -> Sql:
+    """Value inside the failed event that flows are matched on."""
+    return f"CASE WHEN nested THEN {V.get('doc', *_INNER, *steps)} ELSE {V.get('doc', *_PLAIN, *steps)} END"
+
+
 def _is_failed_event(schema: Sql, data: Sql) -> Sql:
-    return f"(coalesce({schema} RLIKE {V.quote(_KNOWN_SCHEMA)}, false) AND {V.as_map(data)} IS NOT NULL)"
+    return f"(coalesce({schema} RLIKE {V.quote(_KNOWN_SCHEMA)}, false) AND {data} IS NOT NULL)"
 
 
 def parse_events(events: DataFrame, column: str = "value") -> DataFrame:
     """Parse lines and read the `{schema, data}` envelope of a known failed-event type."""
-    parsed = events.withColumnRenamed(column, "line").withColumn("_doc", F.expr(V.parse("line")))
+    parsed = events.withColumnRenamed(column, "line").withColumn("doc", F.expr(V.wrapped("line")))
     envelope = parsed.withColumns(
-        {"schema": F.expr(V.get_string("_doc", "schema")), "data": F.expr(V.get("_doc", "data"))}
+        {"_whole": F.expr(V.is_whole("doc")), "schema": F.expr(V.get_string("doc", 0, "schema"))}
     )
     unknown = failure("InvalidDataFormat", "line", Known("Not a self-describing failed event of a known type"))
+    known = _is_failed_event("schema", V.get("doc", *_PLAIN, "processor"))
     err = (
-        f"CASE WHEN _doc IS NULL THEN {failure('InvalidJsonFormat', 'line')}"
-        f" WHEN NOT {_is_failed_event('schema', 'data')} THEN {unknown} END"
+        f"CASE WHEN NOT _whole THEN {failure('InvalidJsonFormat', 'line')} WHEN NOT {known} THEN {unknown} END"
     )
-    return envelope.withColumn("err", F.expr(err)).drop("_doc")
+    return envelope.withColumn("err", F.expr(err)).drop("_whole")
 
 
 def unwrap_recovery_errors(events: DataFrame) -> DataFrame:
-    """Take the failed event out of a recovery error; other rows stand for themselves."""
-    unwrapped = (
-        events.withColumn(
-            "_nested", F.expr(f"err IS NULL AND {schema_name('schema')} = '{wire.RECOVERY_ERROR}'")
-        )
-        .withColumn("_inner", F.expr(f"CASE WHEN _nested THEN {V.get('data', 'payload')} END"))
-        .withColumns(
-            {
-                "row_schema": F.expr(f"CASE WHEN _nested THEN {V.get_string('_inner', 'schema')} ELSE schema END"),
-                "row": F.expr(f"CASE WHEN _nested THEN {V.get('_inner', 'data')} ELSE data END"),
-                "recoveries": F.expr(
-                    f"CASE WHEN _nested THEN coalesce(try_cast({V.get('data', 'recoveries')} AS INT), 0) ELSE 0 END"
-                ),
-            }
-        )
+    """Look inside a recovery error for its failed event; other rows stand for themselves."""
+    unwrapped = events.withColumn(
+        "nested", F.expr(f"err IS NULL AND {schema_name('schema')} = '{wire.RECOVERY_ERROR}'")
+    ).withColumns(
+        {
+            "row_schema": F.expr(
+                f"CASE WHEN nested THEN {V.get_string('doc', 0, 'data', 'payload', 'schema')} ELSE schema END"
+            ),
+            "recoveries": F.expr(
+                "CASE WHEN nested THEN"
+                f" coalesce(try_cast({V.get('doc', 0, 'data', 'recoveries')} AS INT), 0) ELSE 0 END"
+            ),
+        }
     )
     empty = failure("InvalidDataFormat", "line", Known("No failed event inside the recovery error"))
-    return unwrapped.withColumn(
-        "err",
-        F.expr(f"CASE WHEN _nested AND NOT {_is_failed_event('row_schema', 'row')} THEN {empty} ELSE err END"),
-    ).drop("_inner", "_nested")
+    known = _is_failed_event("row_schema", V.get("doc", *_INNER, "processor"))
+    return unwrapped.withColumn("err", F.expr(f"CASE WHEN nested AND NOT {known} THEN {empty} ELSE err END"))
 
 
 def decode_payloads(events: DataFrame) -> DataFrame:
     """Read the payload by row type; a row that does not fit its type is an error."""
+    enriched = row_get("payload", "enriched")
+    payload = (
+        f"CASE shape WHEN '{COLLECTOR}' THEN {V.let(row_get('payload'), lambda v: read_event(v, COLLECTOR))}"
+        f" WHEN '{ENRICHMENT}' THEN {V.let(enriched, _read_enrichment)}"
+        f" WHEN '{RAW}' THEN {V.let(row_get('payload'), read_record)}"
+        f" WHEN '{OTHER}' THEN {payload_struct()} END"
+    )
     typed = (
         events.withColumn("row_type", F.expr(f"CASE WHEN err IS NULL THEN {schema_name('row_schema')} END"))
-        .withColumn("shape", F.expr(f"CASE WHEN err IS NULL THEN {shape_of('row_type')} END"))
-        .withColumn(
-            "payload",
-            F.expr(f"CASE WHEN err IS NULL THEN {V.let(V.get('row', 'payload'), lambda v: read_payload(v, 'shape'))} END"),
-        )
+        .withColumn("shape", F.expr(f"CASE WHEN row_type IS NOT NULL THEN {shape_of('row_type')} END"))
+        .withColumn("payload", F.expr(payload))
     )
     fits = " AND ".join(
         [
             "payload IS NOT NULL",
-            V.is_string(V.get("row", "processor", "artifact")),
-            V.is_string(V.get("row", "processor", "version")),
-            f"{V.as_map(V.get('row', 'failure'))} IS NOT NULL",
+            V.is_string(row_get("processor", "artifact")),
+            V.is_string(row_get("processor", "version")),
+            V.is_object(row_get("failure")),
         ]
     )
     unfit = failure("InvalidDataFormat", "line", Known("Fields do not fit the row type"))
     return typed.withColumn("err", F.expr(f"CASE WHEN err IS NULL AND NOT ({fits}) THEN {unfit} ELSE err END"))
 
 
+def _read_enrichment(enriched: Sql) -> Sql:
+    raw = V.let(row_get("payload", "raw"), lambda v: read_event(v, ENRICHMENT, enriched))
+    return f"CASE WHEN {V.is_object(enriched)} THEN {raw} END"
+
+
 def decode_events(events: DataFrame, column: str = "value") -> DataFrame:
     """All of the above."""
     return decode_payloads(unwrap_recovery_errors(parse_events(events, column)))

@@ -70,10 +70,11 @@ def _substituted(content: Sql, value: Any, match: str | None) -> Sql:
 def _in_string(content: Sql, value: Any, match: str | None) -> Sql:
     """Content that spells the name of a base64 field is taken as base64 and then is no JSON."""
     names = ", ".join(V.quote(n) for n in wire.BASE64_FIELDS)
+    longest = max(len(n) for n in wire.BASE64_FIELDS)
 
     def change(c: Sql) -> Sql:
         return (
-            f"CASE WHEN lower({c}) NOT IN ({names}) THEN {V.ok(V.of(_substituted(c, value, match)))}"
+            f"CASE WHEN octet_length({c}) > {longest} OR lower({c}) NOT IN ({names}) THEN {V.ok(V.of(_substituted(c, value, match)))}"
             f" WHEN {b64_decode(c)} IS NULL THEN"
             f" {V.fail(failure('Base64Failure', c, Known('Data is not properly base64-encoded')))}"
             f" ELSE {V.fail(failure('InvalidJsonFormat', c))} END"

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from .. import wire
 from ..functions import variants as V
-from ..functions.schema_keys import schema_name
 from ..functions.variants import Sql
 
 RECOVERED, FAILED, UNRECOVERABLE = "recovered", "failed", "unrecoverable"
@@ -54,8 +53,8 @@ def error_rows(events: DataFrame, now: Sql = "current_timestamp()") -> DataFrame
         f"named_struct('artifact', {V.quote(wire.PROCESSOR_ARTIFACT)}, 'version', {V.quote(wire.PROCESSOR_VERSION)})"
     )
     stamp = f"date_format({now}, 'yyyy-MM-dd\\'T\\'HH:mm:ss.SSS\\'Z\\'')"
-    nested = f"row_type IS NOT NULL AND {schema_name('schema')} = '{wire.RECOVERY_ERROR}'"
-    original = f"CASE WHEN {nested} THEN {V.get('data', 'payload')} ELSE {V.parse('line')} END"
+    inner = V.let(V.wrapped("line"), lambda w: V.get(w, 0, "data", "payload"))
+    original = f"CASE WHEN nested AND row_type IS NOT NULL THEN {inner} ELSE {V.parse('line')} END"
     flow_names = "CASE WHEN size(flows) > 0 THEN array_join(flows, ',') END"
     wrapped = (
         f"to_json(named_struct('schema', {V.quote(ERROR_SCHEMA)}, 'data', named_struct("
@@ -70,11 +69,11 @@ def error_rows(events: DataFrame, now: Sql = "current_timestamp()") -> DataFrame
         f" 'failure', named_struct('timestamp', {stamp}, 'loader', '', 'message', err.message),"
         " 'payload', line)))"
     )
-    # Step errors leave a readable envelope, so a missing one means the line itself is no JSON.
+    # A step may raise the same code, but only for a row whose type was read.
     return events.withColumn(
         "error_row",
         F.expr(
-            f"CASE WHEN err.code = 'InvalidJsonFormat' AND data IS NULL THEN {violation}"
+            f"CASE WHEN err.code = 'InvalidJsonFormat' AND row_type IS NULL THEN {violation}"
             f" WHEN err IS NOT NULL THEN {wrapped} END"
         ),
     )

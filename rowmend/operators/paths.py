@@ -12,7 +12,7 @@ text is parsed and written back, base64 is decoded and encoded again.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from .. import wire
@@ -24,21 +24,6 @@ from ..functions.variants import Sql
 Leaf = Callable[[Sql], Sql]
 
 
-@dataclass(frozen=True)
-class Guard:
-    """Re-reads a typed part of a document after an edit.
-
-    `whole` guards cover a structure and are needed only when the edit replaced
-    all of it; the others cover one typed field and run for any edit inside it.
-    """
-
-    check: Callable[[Sql], Sql]
-    whole: bool = False
-
-
-# By the path of plain field names that leads to the guarded part.
-Guards = Mapping[tuple[str, ...], Guard]
-
 _TOKEN = re.compile(
     r"\[\?\(@\.(?P<field>[A-Za-z0-9._-]+)=~(?P<regex>.+?)\)\](?=\.|$)"
     r"|\[(?P<item>[0-9]+)\]"
@@ -163,7 +148,7 @@ def _node(path: "str | Node | None") -> Node | None:
     return compile_path(path) if isinstance(path, str) else path
 
 
-def _hit(element: Sql, where: Where) -> Sql:
+def hit(element: Sql, where: Where) -> Sql:
     """A filter looks at the JSON text of a field; a missing field reads as null."""
     seen = V.text(V.get(element, *where.field))
     return f"(coalesce({seen}, 'null') RLIKE {V.quote(where.regex)})"
@@ -190,7 +175,7 @@ def read(document: Sql, path: str | Node | None) -> Sql:
         elif isinstance(node, AtField):
             steps.append(node.name)
             if node.codec:
-                return _read_encoded(V.get(document, *steps), node.codec, node.child)
+                return read_encoded(V.get(document, *steps), node.codec, node.child)
         elif isinstance(node, AtPair):
             return _read_pair(V.get(document, *steps, node.list_name), node)
         else:
@@ -199,24 +184,24 @@ def read(document: Sql, path: str | Node | None) -> Sql:
     return V.get(document, *steps)
 
 
-def _inside(value: Sql, child: Node | None) -> Sql:
+def read_below(value: Sql, child: Node | None) -> Sql:
     return value if child is None else V.let(value, lambda d: read(d, child))
 
 
-def _read_encoded(value: Sql, codec: str, child: Node | None) -> Sql:
+def read_encoded(value: Sql, codec: str, child: Node | None) -> Sql:
     content = V.let(value, lambda x: f"CASE WHEN {V.is_string(x)} THEN {V.string(x)} END")
-    return _inside(V.parse(b64_decode(content) if codec == "base64" else content), child)
+    return read_below(V.parse(b64_decode(content) if codec == "base64" else content), child)
 
 
 def _read_pair(pairs: Sql, node: AtPair) -> Sql:
     first = f"get({V.where(V.as_array(pairs), lambda p: _named(p, node.name))}, 0)"
     value = V.get(first, "value")
-    return _read_encoded(value, node.codec, node.child) if node.codec else _inside(value, node.child)
+    return read_encoded(value, node.codec, node.child) if node.codec else read_below(value, node.child)
 
 
 def _read_matches(document: Sql, node: AtMatches) -> Sql:
     def last(items: Sql) -> Sql:
-        hits = V.where(items, lambda e: _hit(e, node.where))
+        hits = V.where(items, lambda e: hit(e, node.where))
         values = hits if node.child is None else V.each(hits, lambda e: read(e, node.child))
         return V.let(
             values,
@@ -235,81 +220,52 @@ def _read_matches(document: Sql, node: AtMatches) -> Sql:
 # --- editing ------------------------------------------------------------------
 
 
-def edit(
-    document: Sql, path: str | Node | None, leaf: Leaf, missing: Sql, guards: Guards | None = None
-) -> Sql:
+def edit(document: Sql, path: str | Node | None, leaf: Leaf, missing: Sql) -> Sql:
     """Document with `leaf` applied at a path, as an outcome struct<v, err>.
 
     `leaf` maps the value there to an outcome, `missing` is the error of a path
-    that leads nowhere. A guard re-reads a typed field on the way back up.
-    """
-    return _edit(document, _node(path), leaf, missing, guards or {}, ())
-
-
-def _edit(
-    document: Sql, node: Node | None, leaf: Leaf, missing: Sql, guards: Guards, at: tuple[str, ...] | None
-) -> Sql:
-    """`at` is where the document sits below the guarded root, None outside of plain fields.
-
-    Plain steps are taken together: one extraction on the way down, one nested
-    rebuild on the way up. The chain is cut after a guarded field.
+    that leads nowhere. Plain steps are taken together: one extraction on the
+    way down, one nested rebuild on the way up.
     """
+    node = _node(path)
     steps: list[str | int] = []
-    change: Callable[[Sql], Sql] = leaf
-    unknown, ends_here = missing, True
+    change = leaf
     while node is not None:
-        if isinstance(node, AtItem):
-            steps.append(node.index)
-            at, node = None, node.child
-            continue
         if isinstance(node, AtMatches):
-            change, at, ends_here = _matches_change(node, leaf, missing), None, False
+            change = _matches_change(node, leaf, missing)
             break
-        if isinstance(node, AtPair):
+        if isinstance(node, AtItem):
+            steps.append(node.index)
+        elif isinstance(node, AtPair):
             steps.append(node.list_name)
-            at = at + (node.list_name,) if at is not None else None
-            change, ends_here = _pair_change(node, leaf, missing), False
-            break
-        steps.append(node.name)
-        at = at + (node.name,) if at is not None else None
-        if node.codec:
-            change, ends_here = _encoded_change(node.codec, node.child, leaf, missing), False
-            break
-        guard = guards.get(at) if at is not None else None
-        if guard is not None and not guard.whole and node.child is not None:
-            change, ends_here = _below(node.child, leaf, missing), False
+            change = _pair_change(node, leaf, missing)
             break
+        else:
+            steps.append(node.name)
+            if node.codec:
+                change = encoded_change(node.codec, node.child, leaf, missing)
+                break
         node = node.child
 
     def at_value(value: Sql) -> Sql:
-        changed = _guarded(change(value), guards, at, ends_here)
-        if not steps:
-            return changed
-        rebuilt = V.then(changed, lambda new: V.ok(V.put(document, tuple(steps), new)))
-        return f"CASE WHEN {value} IS NULL THEN {V.fail(unknown)} ELSE {rebuilt} END"
-
-    return V.let(V.get(document, *steps), at_value) if steps else at_value(document)
-
+        rebuilt = V.then(change(value), lambda new: V.ok(V.put(document, tuple(steps), new)))
+        return f"CASE WHEN {value} IS NULL THEN {V.fail(missing)} ELSE {rebuilt} END"
 
-def _guarded(outcome: Sql, guards: Guards, at: tuple[str, ...] | None, ends_here: bool) -> Sql:
-    guard = guards.get(at) if at is not None else None
-    if guard is None or (guard.whole and not ends_here):
-        return outcome
-    return V.then(outcome, guard.check)
+    return V.let(V.get(document, *steps), at_value) if steps else change(document)
 
 
-def _below(child: Node, leaf: Leaf, missing: Sql) -> Leaf:
-    return lambda value: _edit(value, child, leaf, missing, {}, None)
+def below(child: Node | None, leaf: Leaf, missing: Sql) -> Leaf:
+    return leaf if child is None else lambda value: edit(value, child, leaf, missing)
 
 
-def _encoded_change(codec: str, child: Node | None, leaf: Leaf, missing: Sql) -> Leaf:
+def encoded_change(codec: str, child: Node | None, leaf: Leaf, missing: Sql) -> Leaf:
     """Decode, edit inside, encode."""
 
     def encoded(new: Sql) -> Sql:
         return V.of(b64_encode(V.text(new)) if codec == "base64" else V.text(new))
 
     def in_document(inner: Sql, source: Sql) -> Sql:
-        changed = V.then(_edit(inner, child, leaf, missing, {}, None), lambda new: V.ok(encoded(new)))
+        changed = V.then(edit(inner, child, leaf, missing), lambda new: V.ok(encoded(new)))
         return f"CASE WHEN {inner} IS NULL THEN {V.fail(failure('InvalidJsonFormat', source))} ELSE {changed} END"
 
     def in_text(plain: Sql) -> Sql:
@@ -332,9 +288,9 @@ def _encoded_change(codec: str, child: Node | None, leaf: Leaf, missing: Sql) ->
 def _pair_change(node: AtPair, leaf: Leaf, missing: Sql) -> Leaf:
     """Edit the value of the first pair with a name; works on the list of pairs."""
     if node.codec:
-        change = _encoded_change(node.codec, node.child, leaf, missing)
+        change = encoded_change(node.codec, node.child, leaf, missing)
     else:
-        change = _below(node.child, leaf, missing) if node.child is not None else leaf
+        change = below(node.child, leaf, missing)
 
     def in_pairs(pairs: Sql, position: Sql) -> Sql:
         def at_value(value: Sql) -> Sql:
@@ -370,13 +326,13 @@ def _pair_change(node: AtPair, leaf: Leaf, missing: Sql) -> Leaf:
 
 def _matches_change(node: AtMatches, leaf: Leaf, missing: Sql) -> Leaf:
     """Every matching element is edited; a document that is no filled array stands for itself."""
-    below = _below(node.child, leaf, missing) if node.child is not None else leaf
+    inner = below(node.child, leaf, missing)
 
     def change(document: Sql) -> Sql:
         def results(items: Sql) -> Sql:
             return V.each(
                 f"CASE WHEN size({items}) = 0 THEN array({document}) ELSE {items} END",
-                lambda e: f"CASE WHEN size({items}) = 0 OR {_hit(e, node.where)} THEN {below(e)} END",
+                lambda e: f"CASE WHEN size({items}) = 0 OR {hit(e, node.where)} THEN {inner(e)} END",
             )
 
         def collect(items: Sql, found: Sql) -> Sql:

@@ -1,21 +1,19 @@
-"""Payload shapes: strict typed reading and the guards that keep a payload valid.
+"""Payloads as typed columns.
 
-Reading a payload gives its canonical form: every known field is present (null
-when absent), unknown fields are gone and pair lists are arrays. An edit that
-leaves a payload which can no longer be read is an error.
+All payload shapes share one struct, `payload`. Its fields are typed; only the
+wide `enriched` record stays a VARIANT. Reading is strict: a payload that does
+not fit its shape is no payload. Editing one field copies nothing but that
+field, and an edit whose result does not fit the field's type is an error.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from .. import wire
 from ..functions import variants as V
-from ..functions.errors import failure
 from ..functions.querystring import NVPS_TYPE, as_nvps
 from ..functions.variants import Sql
-from .paths import Guard, Guards
 
 COLLECTOR, ENRICHMENT, RAW, OTHER = "collector", "enrichment", "raw", "other"
 
@@ -24,118 +22,121 @@ _UUID = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-
 
 @dataclass(frozen=True)
 class Field:
+    """A payload field: our name, its name in each shape, its type and whether it must be there."""
+
     name: str
+    collector: str
+    raw_event: str
     kind: str = "text"
     required: bool = False
 
-
-# --- fixed values: payload fields ---------------------------------------------
-COLLECTOR_FIELDS = (
-    Field("vendor", required=True),
-    Field("version", required=True),
-    Field("querystring", "pairs", True),
-    Field("contentType"),
-    Field("body"),
-    Field("collector", required=True),
-    Field("encoding", required=True),
-    Field("hostname"),
-    Field("timestamp", "time"),
-    Field("ipAddress"),
-    Field("useragent"),
-    Field("refererUri"),
-    Field("headers", "texts", True),
-    Field("networkUserId", "uuid"),
-)
-RAW_EVENT_FIELDS = (
-    Field("vendor", required=True),
-    Field("version", required=True),
-    Field("parameters", "pairs", True),
-    Field("contentType"),
-    Field("loaderName", required=True),
-    Field("encoding", required=True),
-    Field("hostname"),
-    Field("timestamp", "time"),
-    Field("ipAddress"),
-    Field("useragent"),
-    Field("refererUri"),
-    Field("headers", "texts", True),
-    Field("userId", "uuid"),
+    def named(self, shape: str) -> str:
+        return self.collector if shape == COLLECTOR else self.raw_event
+
+
+# --- fixed values: payload fields of the collector and the enrichment shape ------
+FIELDS = (
+    Field("vendor", "vendor", "vendor", required=True),
+    Field("version", "version", "version", required=True),
+    Field("pairs", "querystring", "parameters", "pairs", True),
+    Field("contentType", "contentType", "contentType"),
+    Field("body", "body", "body"),
+    Field("collector", "collector", "loaderName", required=True),
+    Field("encoding", "encoding", "encoding", required=True),
+    Field("hostname", "hostname", "hostname"),
+    Field("timestamp", "timestamp", "timestamp", "time"),
+    Field("ipAddress", "ipAddress", "ipAddress"),
+    Field("useragent", "useragent", "useragent"),
+    Field("refererUri", "refererUri", "refererUri"),
+    Field("headers", "headers", "headers", "texts", True),
+    Field("user", "networkUserId", "userId", "uuid"),
 )
 
 _SQL_TYPE = {"pairs": NVPS_TYPE, "texts": "ARRAY<STRING>"}
+EVENT_FIELDS = {f.name: _SQL_TYPE.get(f.kind, "STRING") for f in FIELDS} | {"enriched": "VARIANT", "event": "STRING"}
+PAYLOAD_TYPE = "STRUCT<" + ", ".join(f"{n}: {t}" for n, t in EVENT_FIELDS.items()) + ">"
+
+
+def field_of(shape: str, name: str) -> Field | None:
+    """Field that a shape calls `name` (the body of an enrichment payload is not a field)."""
+    for field in FIELDS:
+        if field.named(shape) == name and not (shape != COLLECTOR and name == "body"):
+            return field
+    return None
 
 
 def is_uuid(text: Sql) -> Sql:
     return f"({text} RLIKE {V.quote(_UUID)})"
 
 
-def struct_type(fields: tuple[Field, ...]) -> str:
-    """Column type of a canonical payload."""
-    return "STRUCT<" + ", ".join(f"{f.name}: {_SQL_TYPE.get(f.kind, 'STRING')}" for f in fields) + ">"
+def lower_hex(text: Sql) -> Sql:
+    """Lower case, skipping the costly general function for what is lower already."""
+    return f"CASE WHEN {text} RLIKE '[A-F]' THEN lower({text}) ELSE {text} END"
 
 
-def _typed(v: Sql, field: Field) -> Sql:
-    """The field as a typed value; whether it is valid is another question, see `_valid`."""
-    if field.kind == "pairs":
-        return as_nvps(v)
-    if field.kind == "texts":
-        return f"try_cast({v} AS ARRAY<STRING>)"
-    return f"lower({V.string(v)})" if field.kind == "uuid" else V.string(v)
+def typed(v: Sql, field: Field) -> Sql:
+    """struct<v, fit>: the field as its column type and whether the document had that type."""
 
+    def pairs(value: Sql) -> Sql:
+        return f"named_struct('v', {value}, 'fit', {value} IS NOT NULL)"
 
-def _valid(v: Sql, field: Field, typed: Sql) -> Sql:
-    if field.kind == "pairs":
-        return f"{typed} IS NOT NULL"
-    if field.kind == "texts":
+    def texts(items: Sql) -> Sql:
         item = V.fresh()
-        return f"coalesce(forall({V.as_array(v)}, {item} -> {V.is_string(item)}), false)"
-    fits = V.is_string(v)
-    if field.kind == "uuid":
-        fits = f"({fits} AND {is_uuid(typed)})"
-    elif field.kind == "time":
-        fits = f"({fits} AND try_cast({typed} AS TIMESTAMP) IS NOT NULL)"
-    return fits if field.required else f"({V.missing_or_null(v)} OR {fits})"
-
-
-def _canonical(v: Sql, fields: tuple[Field, ...]) -> Sql:
-    """Canonical VARIANT of a structure, NULL when it cannot be read."""
-    loose = "STRUCT<" + ", ".join(f"{f.name}: VARIANT" for f in fields) + ">"
+        fit = f"coalesce(forall({items}, {item} -> {V.is_string(item)}), false)"
+        return f"named_struct('v', {V.each(items, V.string)}, 'fit', {fit})"
+
+    def text(value: Sql) -> Sql:
+        if field.kind == "uuid":
+            fit, shown = is_uuid(value), lower_hex(value)
+        elif field.kind == "time":
+            fit, shown = f"try_cast({value} AS TIMESTAMP) IS NOT NULL", value
+        else:
+            fit, shown = "true", value
+        return f"named_struct('v', {shown}, 'fit', {fit})"
 
-    def check(s: Sql, t: Sql) -> Sql:
-        valid = " AND ".join(_valid(f"{s}.{f.name}", f, f"{t}.{f.name}") for f in fields)
-        return f"CASE WHEN {s} IS NOT NULL AND {valid} THEN to_variant_object({t}) END"
-
-    def with_types(s: Sql) -> Sql:
-        typed = ", ".join(f"'{f.name}', {_typed(f'{s}.{f.name}', f)}" for f in fields)
-        return V.let(f"named_struct({typed})", lambda t: check(s, t))
+    if field.kind == "pairs":
+        return V.let(as_nvps(v), pairs)
+    if field.kind == "texts":
+        return V.let(V.as_array(v), texts)
+    absent = f"named_struct('v', CAST(NULL AS STRING), 'fit', {'false' if field.required else 'true'})"
+    unfit = "named_struct('v', CAST(NULL AS STRING), 'fit', false)"
+    return V.let(
+        v,
+        lambda x: (
+            f"CASE WHEN {V.is_string(x)} THEN {V.let(V.string(x), text)}"
+            f" WHEN {V.missing_or_null(x)} THEN {absent} ELSE {unfit} END"
+        ),
+    )
 
-    return V.let(f"try_cast({v} AS {loose})", with_types)
 
+def payload_struct(**fields: Sql) -> Sql:
+    """A payload; fields that are not given are NULL."""
+    parts = [f"'{n}', CAST({fields.get(n, 'NULL')} AS {t})" for n, t in EVENT_FIELDS.items()]
+    return f"named_struct({', '.join(parts)})"
 
-def read_collector(v: Sql) -> Sql:
-    return _canonical(v, COLLECTOR_FIELDS)
 
+def read_event(v: Sql, shape: str, enriched: Sql = "NULL") -> Sql:
+    """Typed payload of a collector payload or raw event, NULL when it does not fit."""
+    fields = [f for f in FIELDS if field_of(shape, f.named(shape))]
+    loose = "STRUCT<" + ", ".join(f"{f.named(shape)}: VARIANT" for f in fields) + ">"
 
-def read_raw_event(v: Sql) -> Sql:
-    return _canonical(v, RAW_EVENT_FIELDS)
+    def check(t: Sql) -> Sql:
+        fit = " AND ".join(f"{t}.{f.name}.fit" for f in fields)
+        values = {f.name: f"{t}.{f.name}.v" for f in fields}
+        return f"CASE WHEN {fit} THEN {payload_struct(**values, enriched=enriched)} END"
 
+    def read(s: Sql) -> Sql:
+        parts = ", ".join(f"'{f.name}', {typed(f'{s}.{f.named(shape)}', f)}" for f in fields)
+        return f"CASE WHEN {s} IS NOT NULL THEN {V.let(f'named_struct({parts})', check)} END"
 
-def read_enrichment(v: Sql) -> Sql:
-    enriched = V.get(v, "enriched")
-    return V.let(
-        read_raw_event(V.get(v, "raw")),
-        lambda raw: (
-            f"CASE WHEN {V.as_map(enriched)} IS NOT NULL AND {raw} IS NOT NULL"
-            f" THEN to_variant_object(named_struct('enriched', {enriched}, 'raw', {raw})) END"
-        ),
-    )
+    return V.let(f"try_cast({v} AS {loose})", read)
 
 
-def read_raw_payload(v: Sql) -> Sql:
+def read_record(v: Sql) -> Sql:
     """Opaque record: a string, or an object holding it as `event`."""
     return V.let(
         f"coalesce({V.get(v, 'event')}, {v})",
-        lambda e: f"CASE WHEN {V.is_string(e)} THEN to_variant_object(named_struct('event', {V.string(e)})) END",
+        lambda e: f"CASE WHEN {V.is_string(e)} THEN {payload_struct(event=V.string(e))} END",
     )
 
 
@@ -152,62 +153,46 @@ def shape_of(row_type: Sql) -> Sql:
     )
 
 
-def read_payload(v: Sql, shape: Sql) -> Sql:
-    """Canonical payload of a row; NULL when it does not fit its shape."""
-    return (
-        f"CASE WHEN {shape} = '{COLLECTOR}' THEN {read_collector(v)}"
-        f" WHEN {shape} = '{ENRICHMENT}' THEN {read_enrichment(v)}"
-        f" WHEN {shape} = '{RAW}' THEN {read_raw_payload(v)}"
-        f" ELSE coalesce({v}, {V.literal(None)}) END"
-    )
-
+def known_shape(row_type: str, repaired: bool) -> str:
+    """`shape_of` for a row type known when the plan is built; `repaired` is past the record repair."""
+    if row_type in wire.ENRICHMENT_TYPES:
+        return ENRICHMENT
+    if row_type in wire.COLLECTOR_TYPES or (repaired and row_type == wire.FORMAT_VIOLATION):
+        return COLLECTOR
+    return RAW if row_type in (wire.FORMAT_VIOLATION, wire.SIZE_VIOLATION) else OTHER
 
-# --- guards -------------------------------------------------------------------
 
+# --- fields as documents --------------------------------------------------------
 
-def _unreadable(what: str, v: Sql) -> Sql:
-    return V.fail(failure("InvalidJsonFormat", f"concat({V.quote(what + ': ')}, {V.text(v)})"))
 
+def text_document(text: Sql) -> Sql:
+    """A text field as a document: null when there is none."""
+    return f"coalesce({V.of(text)}, {V.literal(None)})"
 
-def _structure_guard(name: str, read: Callable[[Sql], Sql]) -> Guard:
-    def check(v: Sql) -> Sql:
-        return V.let(read(v), lambda c: f"CASE WHEN {c} IS NOT NULL THEN {V.ok(c)} ELSE {_unreadable(name, v)} END")
 
-    return Guard(check, whole=True)
+def field_document(field: Field) -> Sql:
+    value = f"payload.{field.name}"
+    return f"to_variant_object({value})" if field.kind in _SQL_TYPE else text_document(value)
 
 
-def _field_guard(field: Field) -> Guard:
-    def check(v: Sql) -> Sql:
-        def decide(typed: Sql) -> Sql:
-            canonical = f"to_variant_object({typed})" if field.kind in _SQL_TYPE else V.of(typed)
-            return (
-                f"CASE WHEN {_valid(v, field, typed)} THEN {V.ok(f'coalesce({canonical}, {V.literal(None)})')}"
-                f" ELSE {_unreadable(field.name, v)} END"
-            )
+def event_document(shape: str) -> Sql:
+    """The whole payload as a document (collector payload or raw event)."""
+    fields = [f for f in FIELDS if field_of(shape, f.named(shape))]
+    parts = ", ".join(f"'{f.named(shape)}', payload.{f.name}" for f in fields)
+    return f"to_variant_object(named_struct({parts}))"
 
-        return V.let(_typed(v, field), decide)
 
-    return Guard(check)
+def payload_document(shape: str) -> Sql:
+    if shape == ENRICHMENT:
+        return f"to_variant_object(named_struct('enriched', payload.enriched, 'raw', {event_document(shape)}))"
+    if shape == COLLECTOR:
+        return event_document(shape)
+    return "to_variant_object(named_struct('event', payload.event))"
 
 
-def _object_guard(name: str) -> Guard:
-    return Guard(
-        lambda v: f"CASE WHEN {V.as_map(v)} IS NOT NULL THEN {V.ok(v)} ELSE {_unreadable(name, v)} END", whole=True
+def any_payload_document() -> Sql:
+    """`payload_document` by the shape of the row."""
+    return (
+        f"CASE shape WHEN '{COLLECTOR}' THEN {payload_document(COLLECTOR)}"
+        f" WHEN '{ENRICHMENT}' THEN {payload_document(ENRICHMENT)} WHEN '{RAW}' THEN {payload_document(RAW)} END"
     )
-
-
-COLLECTOR_GUARDS: Guards = {
-    (): _structure_guard("payload", read_collector),
-    **{(f.name,): _field_guard(f) for f in COLLECTOR_FIELDS},
-}
-ENRICHMENT_GUARDS: Guards = {
-    (): _structure_guard("payload", read_enrichment),
-    ("enriched",): _object_guard("enriched"),
-    ("raw",): _structure_guard("raw", read_raw_event),
-    **{("raw", f.name): _field_guard(f) for f in RAW_EVENT_FIELDS},
-}
-
-
-def guards_for(row_type: str) -> Guards:
-    """Guards of the payload that steps of a flow for `row_type` edit."""
-    return ENRICHMENT_GUARDS if row_type in wire.ENRICHMENT_TYPES else COLLECTOR_GUARDS

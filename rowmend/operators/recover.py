@@ -13,6 +13,7 @@ from ..functions.querystring import qs_clean, qs_pairs
 from ..functions.variants import Sql
 from ..plans.config import Config
 from .conditions import match_flows
+from .decode import row_get
 from .payloads import COLLECTOR
 from .requests import REQUEST_TYPE, collector_payload, url_codec_failure
 from .steps import apply_flows
@@ -32,10 +33,15 @@ def refuse_unrecoverable(events: DataFrame) -> DataFrame:
     )
 
 
-def failure_message(row: Sql) -> Sql:
+def failure_message() -> Sql:
     """Message of a format violation: text, or an object with the text as `error`."""
-    as_text = V.get_string(row, "failure", "message")
-    return f"coalesce({as_text}, {V.get_string(row, 'failure', 'message', 'error')})"
+    return V.let(
+        row_get("failure", "message"),
+        lambda m: V.let(
+            f"CASE WHEN {V.is_string(m)} THEN {m} ELSE {V.get(m, 'error')} END",
+            lambda x: f"CASE WHEN {V.is_string(x)} THEN {V.string(x)} END",
+        ),
+    )
 
 
 def repair_format_violations(events: DataFrame) -> DataFrame:
@@ -47,10 +53,10 @@ def repair_format_violations(events: DataFrame) -> DataFrame:
     The result is a collector payload.
     """
     ours = f"err IS NULL AND row_type = '{wire.FORMAT_VIOLATION}'"
-    event = V.get_string("payload", "event")
+    event = "payload.event"
     as_request = V.let(
         V.parse("_record"),
-        lambda v: f"CASE WHEN {V.as_map(v)} IS NOT NULL THEN try_cast({v} AS {REQUEST_TYPE}) END",
+        lambda v: f"CASE WHEN {V.is_object(v)} THEN try_cast({v} AS {REQUEST_TYPE}) END",
     )
     repaired = V.each(
         "_pairs", lambda p: f"named_struct('name', {p}.name, 'value', try_url_decode({qs_clean(f'{p}.value')}))"
@@ -64,7 +70,7 @@ def repair_format_violations(events: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "_twice": F.expr(
-                    f"_ours AND coalesce({failure_message('row')} RLIKE {V.quote(DOUBLY_ENCODED)}, false)"
+                    f"_ours AND coalesce({failure_message()} RLIKE {V.quote(DOUBLY_ENCODED)}, false)"
                 ),
                 "_plain": F.expr(f"CASE WHEN _ours THEN {b64_decode(event)} END"),
             }
@@ -92,7 +98,7 @@ def repair_format_violations(events: DataFrame) -> DataFrame:
     return staged.withColumns(
         {
             "err": F.expr(err),
-            "payload": F.expr("CASE WHEN _typed IS NOT NULL THEN to_variant_object(_typed) ELSE payload END"),
+            "payload": F.expr("coalesce(_typed, payload)"),
             "shape": F.expr(f"CASE WHEN _typed IS NOT NULL THEN '{COLLECTOR}' ELSE shape END"),
         }
     ).drop("_ours", "_twice", "_plain", "_record", "_request", "_pairs", "_typed")
@@ -104,4 +110,5 @@ def recover(events: DataFrame, config: Config, zero_is_false: bool = False) -> D
     # Only configurations that speak of format violations need their repair in the plan.
     if any(f.row_type == wire.FORMAT_VIOLATION for f in config.flows):
         matched = repair_format_violations(matched)
-    return apply_flows(matched, config, zero_is_false)
+    # The parsed line is not needed any more; dropping it keeps the rows of the steps small.
+    return apply_flows(matched.drop("doc"), config, zero_is_false)

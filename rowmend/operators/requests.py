@@ -11,7 +11,7 @@ from ..functions.errors import Known, failure
 from ..functions.querystring import nvps_to_qs, qs_to_nvps
 from ..functions.schema_keys import is_full_key, schema_name
 from ..functions.variants import Sql
-from .payloads import COLLECTOR, COLLECTOR_FIELDS, ENRICHMENT, RAW_EVENT_FIELDS, is_uuid, struct_type
+from .payloads import COLLECTOR, ENRICHMENT, is_uuid, lower_hex, payload_struct
 
 # Fixed value: fields of a collector request record, in order.
 REQUEST_FIELDS = {
@@ -32,6 +32,7 @@ REQUEST_FIELDS = {
 }
 REQUEST_TYPE = "STRUCT<" + ", ".join(f"{n}: {t}" for n, t in REQUEST_FIELDS.items()) + ">"
 _JSON = "'application/json'"
+_SENDGRID, _IGLU = V.quote(wire.SENDGRID_VENDOR), V.quote(wire.IGLU_WEBHOOK_VENDOR)
 
 
 def _request(**fields: Sql) -> Sql:
@@ -45,41 +46,19 @@ def _millis(text: Sql) -> Sql:
     return f"coalesce(unix_millis(try_cast({text} AS TIMESTAMP)), 0)"
 
 
-def _path(payload: Sql) -> Sql:
-    return f"concat('/', {payload}.vendor, '/', {payload}.version)"
-
-
-def _of_collector(p: Sql) -> Sql:
-    return _request(
-        ipAddress=f"{p}.ipAddress",
-        timestamp=_millis(f"{p}.timestamp"),
-        encoding=f"{p}.encoding",
-        collector=f"{p}.collector",
-        userAgent=f"{p}.useragent",
-        refererUri=f"{p}.refererUri",
-        path=_path(p),
-        querystring=nvps_to_qs(f"{p}.querystring"),
-        body=f"{p}.body",
-        headers=f"{p}.headers",
-        contentType=f"{p}.contentType",
-        hostname=f"{p}.hostname",
-        networkUserId=f"{p}.networkUserId",
-    )
-
-
-def _of_raw_event(raw: Sql, **extra: Sql) -> Sql:
-    """The loader becomes the collector, the user the network user; body and headers are not kept."""
+def _rebuilt(**extra: Sql) -> Sql:
+    """Request of the payload at hand; body, headers and content type only where given."""
     plain = {
-        "ipAddress": f"{raw}.ipAddress",
-        "timestamp": _millis(f"{raw}.timestamp"),
-        "encoding": f"{raw}.encoding",
-        "collector": f"{raw}.loaderName",
-        "userAgent": f"{raw}.useragent",
-        "refererUri": f"{raw}.refererUri",
-        "path": _path(raw),
-        "querystring": nvps_to_qs(f"{raw}.parameters"),
-        "hostname": f"{raw}.hostname",
-        "networkUserId": f"{raw}.userId",
+        "ipAddress": "payload.ipAddress",
+        "timestamp": _millis("payload.timestamp"),
+        "encoding": "payload.encoding",
+        "collector": "payload.collector",
+        "userAgent": "payload.useragent",
+        "refererUri": "payload.refererUri",
+        "path": "concat('/', payload.vendor, '/', payload.version)",
+        "querystring": nvps_to_qs("payload.pairs"),
+        "hostname": "payload.hostname",
+        "networkUserId": "payload.user",
     }
     return _request(**{**plain, **extra})
 
@@ -96,28 +75,27 @@ def _uncoercible(reason: str, data: Sql) -> Sql:
     return _refused(failure("UncoerciblePayload", Known(reason), data))
 
 
-def _webhook_parts(raw: Sql) -> Sql:
+def _webhook_parts() -> Sql:
     """struct<content, parsed, schema, data> of the self-describing parameter."""
-    named = V.where(f"{raw}.parameters", lambda p: f"{p}.name = {V.quote(wire.SELF_DESCRIBING_PARAMETER)}")
+    named = V.where("payload.pairs", lambda p: f"{p}.name = {V.quote(wire.SELF_DESCRIBING_PARAMETER)}")
     return V.let(
         f"get({named}, 0).value",
         lambda content: V.let(
-            V.parse(content),
-            lambda d: (
-                f"named_struct('content', {content}, 'parsed', {d} IS NOT NULL,"
-                f" 'schema', {V.get_string(d, 'data', 'schema')}, 'data', {V.get(d, 'data', 'data')})"
+            V.wrapped(content),
+            lambda w: (
+                f"named_struct('content', {content}, 'parsed', {V.is_whole(w)},"
+                f" 'schema', {V.get_string(w, 0, 'data', 'schema')}, 'data', {V.get(w, 0, 'data', 'data')})"
             ),
         ),
     )
 
 
-def _of_enrichment(raw: Sql) -> Sql:
+def _of_webhook() -> Sql:
     """Webhook requests carry their self-describing parameter as a JSON body.
 
     One vendor gets a one-element array of the data with the schema name as
     `event`, the other the plain data and the schema as querystring.
     """
-    sendgrid, iglu = V.quote(wire.SENDGRID_VENDOR), V.quote(wire.IGLU_WEBHOOK_VENDOR)
 
     def merged(w: Sql) -> Sql:
         key, old = V.fresh("k"), V.fresh()
@@ -127,15 +105,16 @@ def _of_enrichment(raw: Sql) -> Sql:
         return f"to_json(to_variant_object(map_concat(coalesce({kept}, {none}), {event})))"
 
     def by_vendor(w: Sql) -> Sql:
-        is_iglu = f"{raw}.vendor = {iglu}"
-        is_webhook = f"{raw}.vendor IN ({sendgrid}, {iglu})"
-        body = f"CASE WHEN {is_iglu} THEN to_json({w}.data) WHEN {is_webhook} THEN concat('[', {merged(w)}, ']') END"
-        querystring = f"CASE WHEN {is_iglu} THEN concat('schema=', {w}.schema) ELSE {nvps_to_qs(f'{raw}.parameters')} END"
-        content_type = f"CASE WHEN {is_webhook} THEN {_JSON} END"
-        request = _of_raw_event(raw, body=body, querystring=querystring, contentType=content_type)
+        is_iglu = f"payload.vendor = {_IGLU}"
+        request = _rebuilt(
+            body=f"CASE WHEN {is_iglu} THEN to_json({w}.data) ELSE concat('[', {merged(w)}, ']') END",
+            querystring=(
+                f"CASE WHEN {is_iglu} THEN concat('schema=', {w}.schema) ELSE {nvps_to_qs('payload.pairs')} END"
+            ),
+            contentType=_JSON,
+        )
         return (
-            f"CASE WHEN NOT ({is_webhook}) THEN {_built(request)}"
-            f" WHEN {w}.content IS NULL THEN {_uncoercible('ue_pr parameter is empty', f'to_json({raw})')}"
+            f"CASE WHEN {w}.content IS NULL THEN {_uncoercible('ue_pr parameter is empty', 'to_json(payload.pairs)')}"
             f" WHEN NOT {w}.parsed THEN {_uncoercible('ue_pr parameter is not JSON', f'{w}.content')}"
             f" WHEN {w}.schema IS NULL THEN {_uncoercible('no schema in ue_pr', f'{w}.content')}"
             f" WHEN {w}.data IS NULL THEN {_uncoercible('no data in ue_pr', f'{w}.content')}"
@@ -144,18 +123,17 @@ def _of_enrichment(raw: Sql) -> Sql:
             f" ELSE {_built(request)} END"
         )
 
-    parts = f"CASE WHEN {raw}.vendor IN ({sendgrid}, {iglu}) THEN {_webhook_parts(raw)} END"
-    return V.let(parts, by_vendor)
+    return V.let(_webhook_parts(), by_vendor)
 
 
 def to_request(events: DataFrame) -> DataFrame:
     """Add `request`, the collector request rebuilt from the payload; failures go to `err`."""
-    collector = V.let(f"CAST(payload AS {struct_type(COLLECTOR_FIELDS)})", lambda p: _built(_of_collector(p)))
-    enrichment = V.let(f"CAST({V.get('payload', 'raw')} AS {struct_type(RAW_EVENT_FIELDS)})", _of_enrichment)
-    other = _refused(failure("UncocoerciblePayload", Known("Unsupported request format"), V.text("payload")))
+    collector = _built(_rebuilt(body="payload.body", headers="payload.headers", contentType="payload.contentType"))
+    other = _refused(failure("UncocoerciblePayload", Known("Unsupported request format"), "coalesce(payload.event, '')"))
     built = (
         f"CASE WHEN err IS NOT NULL THEN NULL WHEN shape = '{COLLECTOR}' THEN {collector}"
-        f" WHEN shape = '{ENRICHMENT}' THEN {enrichment} ELSE {other} END"
+        f" WHEN shape = '{ENRICHMENT}' AND payload.vendor IN ({_SENDGRID}, {_IGLU}) THEN {_of_webhook()}"
+        f" WHEN shape = '{ENRICHMENT}' THEN {_built(_rebuilt())} ELSE {other} END"
     )
     return (
         events.withColumn("_built", F.expr(built))
@@ -184,24 +162,23 @@ def collector_payload(request: Sql, pairs: Sql | None = None) -> Sql:
     stamp = f"date_format(timestamp_millis(nullif({request}.timestamp, 0)), 'yyyy-MM-dd\\'T\\'HH:mm:ss.SSS\\'Z\\'')"
 
     def build(s: Sql) -> Sql:
-        given = {
-            "vendor": f"{s}.at.vendor",
-            "version": f"{s}.at.version",
-            "querystring": f"{s}.nvps",
-            "contentType": f"{request}.contentType",
-            "body": f"{request}.body",
-            "collector": f"coalesce({request}.collector, '')",
-            "encoding": f"coalesce({request}.encoding, '')",
-            "hostname": f"{request}.hostname",
-            "timestamp": stamp,
-            "ipAddress": f"{request}.ipAddress",
-            "useragent": f"{request}.userAgent",
-            "refererUri": f"{request}.refererUri",
-            "headers": f"coalesce({request}.headers, CAST(array() AS ARRAY<STRING>))",
-            "networkUserId": f"CASE WHEN {is_uuid(f'{request}.networkUserId')} THEN lower({request}.networkUserId) END",
-        }
-        typed = ", ".join(f"'{f.name}', {given[f.name]}" for f in COLLECTOR_FIELDS)
-        return f"CASE WHEN {s}.nvps IS NOT NULL THEN named_struct({typed}) END"
+        built = payload_struct(
+            vendor=f"{s}.at.vendor",
+            version=f"{s}.at.version",
+            pairs=f"{s}.nvps",
+            contentType=f"{request}.contentType",
+            body=f"{request}.body",
+            collector=f"coalesce({request}.collector, '')",
+            encoding=f"coalesce({request}.encoding, '')",
+            hostname=f"{request}.hostname",
+            timestamp=stamp,
+            ipAddress=f"{request}.ipAddress",
+            useragent=f"{request}.userAgent",
+            refererUri=f"{request}.refererUri",
+            headers=f"coalesce({request}.headers, CAST(array() AS ARRAY<STRING>))",
+            user=f"CASE WHEN {is_uuid(f'{request}.networkUserId')} THEN {lower_hex(f'{request}.networkUserId')} END",
+        )
+        return f"CASE WHEN {s}.nvps IS NOT NULL THEN {built} END"
 
     return V.let(f"named_struct('at', {split_path(f'{request}.path')}, 'nvps', {nvps})", build)
 
@@ -211,14 +188,7 @@ def url_codec_failure(querystring: Sql) -> Sql:
 
 
 def from_request(requests: DataFrame) -> DataFrame:
-    """Add `payload` (canonical collector payload, VARIANT) and `err` for a frame with `request`."""
-    return (
-        requests.withColumn("_typed", F.expr(collector_payload("request")))
-        .withColumns(
-            {
-                "payload": F.expr("CASE WHEN _typed IS NOT NULL THEN to_variant_object(_typed) END"),
-                "err": F.expr(f"CASE WHEN _typed IS NULL THEN {url_codec_failure('request.querystring')} END"),
-            }
-        )
-        .drop("_typed")
+    """Add `payload` (typed collector payload) and `err` for a frame with `request`."""
+    return requests.withColumn("payload", F.expr(collector_payload("request"))).withColumn(
+        "err", F.expr(f"CASE WHEN payload IS NULL THEN {url_codec_failure('request.querystring')} END")
     )

@@ -1,12 +1,13 @@
-"""Steps: rewrites of one place in the payload, and chains of them.
+"""Steps: rewrites of one place in a document, and chains of them.
 
-A chain is a list of projections that each carry `{payload, err}` as one struct.
-Nesting the rewrites in one expression instead would copy the document
-expression into every place that mentions it.
+A chain is a list of projections, one per step, that hand on the document and
+the first error. Nesting the rewrites in one expression instead would copy the
+document expression into every place that mentions it.
 """
 
 from __future__ import annotations
 
+from itertools import zip_longest
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -16,99 +17,130 @@ from ..functions import variants as V
 from ..functions.errors import Known
 from ..functions.variants import Sql
 from ..plans.config import Add, Cast, Config, Remove, Replace, Step
-from . import edits
-from .paths import Guards, Leaf, edit
-from .payloads import guards_for
+from . import access, edits
+from .paths import Leaf, edit
+from .payloads import EVENT_FIELDS, known_shape, payload_struct
 
 _STATE = "_state"
 
 
-def step_outcome(document: Sql, step: Step, guards: Guards | None = None, zero_is_false: bool = False) -> Sql:
-    """Document after one step, as an outcome struct<v, err>."""
+def _change(step: Step, zero_is_false: bool) -> tuple[Leaf, Sql]:
+    """What a step does to the value at its path, and its error for a path that leads nowhere."""
     if isinstance(step, Remove):
         step = Replace(step.path, "", step.match)
     if isinstance(step, Replace):
         missing = edits.replacement_failure(Known(step.path), step.value, step.match)
-        return edit(document, step.path, lambda x: edits.replaced(x, step.value, step.match), missing, guards)
+        return lambda x: edits.replaced(x, step.value, step.match), missing
     if isinstance(step, Cast):
         missing = edits.cast_failure(Known(step.path), step.from_type, step.to_type)
-        return edit(
-            document,
-            step.path,
-            lambda x: edits.casted(x, step.from_type, step.to_type, zero_is_false),
-            missing,
-            guards,
-        )
-    missing = edits.addition_failure(step.path, step.value)
-    return edit(document, step.path, lambda x: edits.added(x, step.value), missing, guards)
-
-
-def _open(events: DataFrame) -> DataFrame:
-    err = "err" if "err" in events.columns else V.NO_ERROR
-    return events.withColumn(_STATE, F.expr(f"named_struct('v', payload, 'err', {err})"))
+        return lambda x: edits.casted(x, step.from_type, step.to_type, zero_is_false), missing
+    return lambda x: edits.added(x, step.value), edits.addition_failure(step.path, step.value)
 
 
-def _close(events: DataFrame) -> DataFrame:
-    return events.withColumns({"payload": F.expr(f"{_STATE}.v"), "err": F.expr(f"{_STATE}.err")}).drop(_STATE)
-
-
-def _advance(
-    events: DataFrame, step: Step, guards: Guards | None, active: Sql, zero_is_false: bool
-) -> DataFrame:
-    """One step for the active rows that have no error yet; the document of a failed row stays as it was."""
-    outcome = V.let(
-        step_outcome(f"{_STATE}.v", step, guards, zero_is_false),
-        lambda r: f"CASE WHEN {r}.err IS NULL THEN {r} ELSE named_struct('v', {_STATE}.v, 'err', {r}.err) END",
-    )
-    return events.withColumn(
-        _STATE, F.expr(f"CASE WHEN {active} AND {_STATE}.err IS NULL THEN {outcome} ELSE {_STATE} END")
-    )
+# --- steps on any VARIANT column ------------------------------------------------
 
 
 def apply_steps(
-    events: DataFrame,
-    steps: list[Step] | tuple[Step, ...],
-    guards: Guards | None = None,
-    zero_is_false: bool = False,
+    frame: DataFrame, steps: list[Step] | tuple[Step, ...], column: str = "document", zero_is_false: bool = False
 ) -> DataFrame:
-    """Apply steps in order to column `payload`; the first error of a row ends its chain (column `err`)."""
-    staged = _open(events)
+    """Apply steps in order to a VARIANT column; the first error of a row ends its chain (column `err`)."""
+    err = "err" if "err" in frame.columns else V.NO_ERROR
+    staged = frame.withColumn(_STATE, F.expr(f"named_struct('v', {column}, 'err', {err})"))
     for step in steps:
-        staged = _advance(staged, step, guards, "true", zero_is_false)
-    return _close(staged)
+        change, missing = _change(step, zero_is_false)
+        outcome = V.let(
+            edit(f"{_STATE}.v", step.path, change, missing),
+            lambda r: f"CASE WHEN {r}.err IS NULL THEN {r} ELSE named_struct('v', {_STATE}.v, 'err', {r}.err) END",
+        )
+        staged = staged.withColumn(_STATE, F.expr(f"CASE WHEN {_STATE}.err IS NULL THEN {outcome} ELSE {_STATE} END"))
+    return staged.withColumns({column: F.expr(f"{_STATE}.v"), "err": F.expr(f"{_STATE}.err")}).drop(_STATE)
+
+
+# --- steps on the typed payload -------------------------------------------------
 
 
 def apply_flows(events: DataFrame, config: Config, zero_is_false: bool = False) -> DataFrame:
-    """Apply to each row the steps of all its matched flows, in configured order."""
-    staged = _open(events)
+    """Apply to each row the steps of all its matched flows, in configured order.
+
+    A row matches flows of its own row type only, so the first steps of all row
+    types share one round, the second steps the next, and so on: the number of
+    projections is that of the longest list, not of all steps together.
+    """
+    by_type: dict[str, list[tuple[int, Step]]] = {}
     for i, flow in enumerate(config.flows):
-        for step in flow.steps:
-            staged = _advance(staged, step, guards_for(flow.row_type), f"matched[{i}]", zero_is_false)
-    return _close(staged)
+        by_type.setdefault(flow.row_type, []).extend((i, step) for step in flow.steps)
+    rounds = zip_longest(*[[(row_type, *s) for s in steps] for row_type, steps in by_type.items()])
+    for round_ in rounds:
+        events = _advance(events, [s for s in round_ if s is not None], zero_is_false)
+    return events
+
+
+def apply_payload_steps(events: DataFrame, steps: list[Step], row_type: str, zero_is_false: bool = False) -> DataFrame:
+    """Apply steps to the typed payload of rows of one type, whatever flows they match."""
+    staged = events.withColumn("matched", F.expr(f"array(row_type <=> {V.quote(row_type)})"))
+    for step in steps:
+        staged = _advance(staged, [(row_type, 0, step)], zero_is_false)
+    return staged
+
+
+def _advance(events: DataFrame, round_: list[tuple[str, int, Step]], zero_is_false: bool) -> DataFrame:
+    """One step per row type, on rows that matched its flow and have no error yet."""
+    results: dict[str, Sql] = {}
+    by_slot: dict[str, list[str]] = {}
+    for n, (row_type, flow, step) in enumerate(round_):
+        shape = known_shape(row_type, repaired=True)
+        change, missing = _change(step, zero_is_false)
+        place = access.locate(step.path, shape)
+        name = f"_result{n}"
+        if place is None:
+            outcome = V.fail(missing)
+        else:
+            outcome = access.edit(place, shape, change, missing)
+            by_slot.setdefault(place.slot, []).append(name)
+        results[name] = f"CASE WHEN err IS NULL AND matched[{flow}] THEN {outcome} END"
+
+    def chosen(slot: str, kept: Sql) -> Sql:
+        done = [f"WHEN {r} IS NOT NULL AND {r}.err IS NULL THEN {r}.v" for r in by_slot[slot]]
+        return f"CASE {' '.join(done)} ELSE {kept} END"
+
+    values = {n: chosen(n, f"payload.{n}") if n in by_slot else f"payload.{n}" for n in EVENT_FIELDS}
+    payload = f"CASE WHEN payload IS NOT NULL THEN {payload_struct(**values)} END"
+    if access.WHOLE in by_slot:
+        payload = chosen(access.WHOLE, payload)
+    return (
+        events.withColumns({name: F.expr(sql) for name, sql in results.items()})
+        .withColumns(
+            {
+                "payload": F.expr(payload),
+                "err": F.expr(f"coalesce(err, {', '.join(f'{r}.err' for r in results)})"),
+            }
+        )
+        .drop(*results)
+    )
 
 
-def edit_path(events: DataFrame, path: str, change: Leaf, missing: Sql, column: str = "payload") -> DataFrame:
+def edit_path(frame: DataFrame, path: str, change: Leaf, missing: Sql, column: str = "document") -> DataFrame:
     """Apply any expression at a path of a VARIANT column; an error is left in `err`."""
     return (
-        events.withColumn(_STATE, F.expr(edit(column, path, change, missing)))
+        frame.withColumn(_STATE, F.expr(edit(column, path, change, missing)))
         .withColumns({column: F.expr(f"coalesce({_STATE}.v, {column})"), "err": F.expr(f"{_STATE}.err")})
         .drop(_STATE)
     )
 
 
-def replace(events: DataFrame, path: str, value: Any, match: str | None = None, guards: Guards | None = None) -> DataFrame:
-    return apply_steps(events, [Replace(path, value, match)], guards)
+def replace(frame: DataFrame, path: str, value: Any, match: str | None = None, column: str = "document") -> DataFrame:
+    return apply_steps(frame, [Replace(path, value, match)], column)
 
 
-def remove(events: DataFrame, path: str, match: str | None = None, guards: Guards | None = None) -> DataFrame:
-    return apply_steps(events, [Remove(path, match)], guards)
+def remove(frame: DataFrame, path: str, match: str | None = None, column: str = "document") -> DataFrame:
+    return apply_steps(frame, [Remove(path, match)], column)
 
 
 def cast(
-    events: DataFrame, path: str, from_: str, to: str, guards: Guards | None = None, zero_is_false: bool = False
+    frame: DataFrame, path: str, from_: str, to: str, column: str = "document", zero_is_false: bool = False
 ) -> DataFrame:
-    return apply_steps(events, [Cast(path, from_, to)], guards, zero_is_false)
+    return apply_steps(frame, [Cast(path, from_, to)], column, zero_is_false)
 
 
-def add(events: DataFrame, path: str, value: Any, guards: Guards | None = None) -> DataFrame:
-    return apply_steps(events, [Add(path, value)], guards)
+def add(frame: DataFrame, path: str, value: Any, column: str = "document") -> DataFrame:
+    return apply_steps(frame, [Add(path, value)], column)
