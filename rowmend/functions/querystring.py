@@ -127,7 +127,7 @@ def as_nvps(v: Sql) -> Sql:
         return f"CASE WHEN NOT {V.any_of(pairs, unfit)} THEN {V.each(pairs, typed)} END"
 
     def from_object(entries: Sql) -> Sql:
-        nested = V.any_of(entries, lambda e: f"{V.kind_of_text(V.text(f'{e}.value'))} IN ('a', 'o')")
+        nested = V.any_of(entries, lambda e: f"{V.kind(f'{e}.value')} IN ('a', 'o')")
 
         def typed(e: Sql) -> Sql:
             value = f"{e}.value"

@@ -54,10 +54,16 @@ def let(value: Sql, body: Callable[[Sql], Sql]) -> Sql:
     """Evaluate `value` once and use it any number of times in `body`.
 
     Without it a nested rewrite would repeat its input at every level and the
-    expression would grow exponentially with the depth of the path.
+    expression would grow exponentially with the depth of the path. (Not `[0]`:
+    that works out the type of everything below it again for every row.)
     """
     name = fresh()
-    return f"transform(array({value}), {name} -> {body(name)})[0]"
+    return f"element_at(transform(array({value}), {name} -> {body(name)}), 1)"
+
+
+def first(items: Sql) -> Sql:
+    """First element, NULL when there is none."""
+    return f"try_element_at({items}, 1)"
 
 
 def each(items: Sql, body: Callable[[Sql], Sql]) -> Sql:
@@ -105,8 +111,27 @@ def literal_text(value: Any) -> str:
 
 
 def literal(value: Any) -> Sql:
-    """A JSON value as a VARIANT constant; folded once by the optimizer."""
-    return f"parse_json({quote(literal_text(value))})"
+    """A JSON value as a VARIANT constant.
+
+    Built from casts, which the optimizer folds; `parse_json` of a constant
+    would be parsed again for every row.
+    """
+    if value is None:
+        return "variant_get(to_variant_object(named_struct('n', CAST(NULL AS STRING))), '\\u0024.n', 'variant')"
+    if isinstance(value, bool):
+        return f"CAST({str(value).lower()} AS VARIANT)"
+    if isinstance(value, int):
+        return f"CAST({value if abs(value) < 2**31 else f'{value}L' if abs(value) < 2**63 else f'{value}BD'} AS VARIANT)"
+    if isinstance(value, float):
+        shown = repr(value)
+        return f"CAST({shown + ('D' if 'e' in shown else 'BD')} AS VARIANT)"
+    if isinstance(value, str):
+        return f"CAST({quote(value)} AS VARIANT)"
+    if isinstance(value, list):
+        items = f"array({', '.join(literal(x) for x in value)})" if value else "CAST(array() AS ARRAY<VARIANT>)"
+        return f"to_variant_object({items})"
+    fields = ", ".join(f"{quote(k)}, {literal(x)}" for k, x in value.items())
+    return f"to_variant_object({f'map({fields})' if value else 'CAST(map() AS MAP<STRING, VARIANT>)'})"
 
 
 def text(v: Sql) -> Sql:
@@ -132,9 +157,16 @@ def missing_or_null(v: Sql) -> Sql:
     return f"({v} IS NULL OR is_variant_null({v}))"
 
 
-def kind_of_text(json_text: Sql) -> Sql:
-    """One-letter JSON type from compact text: n null, b boolean, d number, s string, a array, o object."""
-    return f"""translate(substring({json_text}, 1, 1), '"{{[tfn-0123456789', 'soabbnddddddddddd')"""
+def kind(v: Sql) -> Sql:
+    """One-letter JSON type: n null, b boolean, d number, s string, a array, o object."""
+    return let(
+        f"schema_of_variant({v})",
+        lambda t: (
+            f"CASE WHEN {t} = 'STRING' THEN 's' WHEN startswith({t}, 'OBJECT') THEN 'o'"
+            f" WHEN startswith({t}, 'ARRAY') THEN 'a' WHEN {t} = 'BOOLEAN' THEN 'b' WHEN {t} = 'VOID' THEN 'n'"
+            f" WHEN {t} IS NOT NULL THEN 'd' END"
+        ),
+    )
 
 
 def as_array(v: Sql) -> Sql:

@@ -90,12 +90,12 @@ def _read_pairs(node: Node) -> Sql:
     if isinstance(node, AtPair):
         named = V.where("payload.pairs", lambda p: f"{p}.name = {V.quote(node.name)}")
         if node.codec:
-            return _read_text(f"get({named}, 0).value", node.codec, node.child)
-        first = f"get({V.each(named, lambda p: text_document(f'{p}.value'))}, 0)"
-        return paths.read_below(first, node.child)
+            return _read_text(f"{V.first(named)}.value", node.codec, node.child)
+        documents = V.each(named, lambda p: text_document(f"{p}.value"))
+        return paths.read_below(V.first(documents), node.child)
     if isinstance(node, AtItem):
         return V.let(
-            f"get({V.each('payload.pairs', _pair_document)}, {node.index})", lambda d: paths.read(d, node.child)
+            f"try_element_at({V.each('payload.pairs', _pair_document)}, {node.index + 1})", lambda d: paths.read(d, node.child)
         )
     if not isinstance(node, AtMatches):
         return "CAST(NULL AS VARIANT)"
@@ -236,10 +236,9 @@ def _edit_pairs(node: Node, list_name: str, leaf: Leaf, missing: Sql) -> Sql:
         return _checked(whole, _PAIR_TYPE, read_back, list_name)
 
     absent = missing
-    pair, i = V.fresh(), V.fresh("i")
+    pair, i, position = V.fresh(), V.fresh("i"), V.fresh()
     if isinstance(node, AtPair):
-        named = V.each("payload.pairs", lambda p: f"{p}.name")
-        wanted = f"{i} = array_position({named}, {V.quote(node.name)}) - 1"
+        wanted = f"{i} = {position} - 1"
         change = (
             paths.encoded_change(node.codec, node.child, leaf, missing)
             if node.codec
@@ -255,11 +254,15 @@ def _edit_pairs(node: Node, list_name: str, leaf: Leaf, missing: Sql) -> Sql:
     else:
         wanted, outcome = _pair_hit(pair, node.where), in_pair(pair, node.child)
     results = f"transform(payload.pairs, ({pair}, {i}) -> CASE WHEN {wanted} THEN {outcome} END)"
+    if isinstance(node, AtPair):
+        named = V.each("payload.pairs", lambda p: f"{p}.name")
+        found_at = f"array_position({named}, {V.quote(node.name)})"
+        results = f"element_at(transform(array({found_at}), {position} -> {results}), 1)"
 
     def collect(found: Sql) -> Sql:
         old, at = V.fresh(), V.fresh("i")
         rebuilt = f"transform(payload.pairs, ({old}, {at}) -> coalesce({found}[{at}].v, {old}))"
-        failed = f"get({V.where(found, lambda r: f'{r}.err IS NOT NULL')}, 0).err"
+        failed = V.first(V.where(found, lambda r: f"{r}.err IS NOT NULL")) + ".err"
         return (
             f"CASE WHEN NOT {V.any_of(found, lambda r: f'{r} IS NOT NULL')} THEN {_fail_as(absent, list_type)}"
             f" WHEN {V.any_of(found, lambda r: f'{r}.err IS NOT NULL')} THEN {_fail_as(failed, list_type)}"

@@ -58,36 +58,36 @@ def accepts(matcher: Matcher, value: Sql) -> Sql:
         test = _equal(value, matcher.value)
     else:
         test = _size(value, matcher)
-    return f"coalesce({test}, false)"
+    return f"coalesce(({test}), false)"
 
 
 def _equal(value: Sql, expected: Any) -> Sql:
-    constant = V.text(V.literal(expected))
-    if isinstance(expected, bool) or not isinstance(expected, (int, float)):
-        return f"{V.text(value)} = {constant}"
-
-    # A number written with an exponent is held as a double and has another text.
-    def same_number(v: Sql) -> Sql:
+    def same(v: Sql) -> Sql:
+        if expected is None:
+            return f"is_variant_null({v})"
+        if isinstance(expected, str):
+            return f"{V.is_string(v)} AND {V.string(v)} = {V.quote(expected)}"
+        same_text = f"{V.text(v)} = {V.text(V.literal(expected))}"
+        if isinstance(expected, bool) or not isinstance(expected, (int, float)):
+            return same_text
+        # A number written with an exponent is held as a double and has another text.
         return (
-            f"({V.text(v)} = {constant} OR (schema_of_variant({v}) = 'DOUBLE'"
+            f"({same_text} OR (schema_of_variant({v}) = 'DOUBLE'"
             f" AND CAST({v} AS DOUBLE) = double('{float(expected)!r}')))"
         )
 
-    return V.let(value, same_number)
+    return V.let(value, same)
 
 
 def _size(value: Sql, size: Size) -> Sql:
     sign = {"eq": "=", "gt": ">", "lt": "<"}[size.op]
 
+    # Text counts in UTF-16 units, numbers count as their ceiling.
     def measured(v: Sql) -> Sql:
-        return V.let(
-            V.kind_of_text(V.text(v)),
-            # Text counts in UTF-16 units, numbers count as their ceiling.
-            lambda kind: (
-                f"CASE {kind} WHEN 's' THEN octet_length(encode({V.string(v)}, 'UTF-16BE')) div 2"
-                f" WHEN 'a' THEN size({V.as_array(v)})"
-                f" WHEN 'd' THEN least(ceil(CAST({v} AS DOUBLE)), {_MAX_INT}) END"
-            ),
+        return (
+            f"CASE {V.kind(v)} WHEN 's' THEN octet_length(encode({V.string(v)}, 'UTF-16BE')) div 2"
+            f" WHEN 'a' THEN size({V.as_array(v)})"
+            f" WHEN 'd' THEN least(ceil(CAST({v} AS DOUBLE)), {_MAX_INT}) END"
         )
 
     return f"{V.let(value, measured)} {sign} {size.limit}"
@@ -145,16 +145,20 @@ def match_flows(events: DataFrame, config: Config) -> DataFrame:
         tests = [accepts(c.matcher, values[c.path, flow.row_type]) for c in flow.conditions]
         return " AND ".join([fits[flow.pattern], *tests])
 
-    def array(parts: list[Sql], kind: str) -> Column:
-        return F.expr(f"CAST(array({', '.join(parts)}) AS ARRAY<{kind}>)")
-
-    index = V.fresh("i")
-    name = V.fresh()
+    # One column per flow: as one array, it would be inlined and worked out anew for every element.
+    holding = {f"_holds{i}": f for i, f in enumerate(config.flows)}
+    if holding:
+        staged = staged.withColumns({c: F.expr(flow_holds(f)) for c, f in holding.items()})
+    flags = ", ".join(f"coalesce({c}, false)" for c in holding)
+    names = ", ".join(f"CASE WHEN {c} THEN {V.quote(f.name)} END" for c, f in holding.items())
     no_flow = failure("FailedToMatchConfiguration", "row_schema")
     return (
-        staged.withColumn("matched", array([flow_holds(f) for f in config.flows], "BOOLEAN"))
-        .withColumn("_names", array([V.quote(f.name) for f in config.flows], "STRING"))
-        .withColumn("flows", F.expr(f"filter(_names, ({name}, {index}) -> matched[{index}])"))
+        staged.withColumns(
+            {
+                "matched": F.expr(f"CAST(array({flags}) AS ARRAY<BOOLEAN>)"),
+                "flows": F.expr(f"array_compact(CAST(array({names}) AS ARRAY<STRING>))"),
+            }
+        )
         .withColumn("err", F.expr(f"CASE WHEN err IS NULL AND size(flows) = 0 THEN {no_flow} ELSE err END"))
-        .drop("_names", *fits.values(), *values.values())
+        .drop(*fits.values(), *values.values(), *holding)
     )

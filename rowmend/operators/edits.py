@@ -44,21 +44,20 @@ def replaced(current: Sql, value: Any, match: str | None = None) -> Sql:
     array otherwise: the rule for text on their JSON text, read back.
     """
 
-    def by_type(t: Sql) -> Sql:
-        kind = V.kind_of_text(t)
-        content = f"CASE WHEN {t} = 'null' THEN '' ELSE {V.string(current)} END"
+    def by_type(kind: Sql) -> Sql:
+        content = f"CASE WHEN {kind} = 's' THEN {V.string(current)} ELSE '' END"
         cases = [
             f"WHEN {kind} IN ('s', 'n') THEN {_in_string(content, value, match)}",
-            f"WHEN {kind} = 'a' THEN {_in_array(current, t, value, match)}",
-            f"WHEN {kind} = 'o' THEN {_in_text(t, 'o', value, match)}",
+            f"WHEN {kind} = 'a' THEN {_in_array(current, value, match)}",
+            f"WHEN {kind} = 'o' THEN {_in_text(current, 'o', value, match)}",
         ]
         if isinstance(value, bool):
             cases.append(f"WHEN {kind} = 'b' THEN {V.ok(V.literal(value))}")
         elif _is_number(value):
             cases.append(f"WHEN {kind} = 'd' THEN {V.ok(V.literal(value))}")
-        return f"CASE {' '.join(cases)} ELSE {V.fail(replacement_failure(t, value, match))} END"
+        return f"CASE {' '.join(cases)} ELSE {V.fail(replacement_failure(V.text(current), value, match))} END"
 
-    return V.let(V.text(current), by_type)
+    return V.let(V.kind(current), by_type)
 
 
 def _substituted(content: Sql, value: Any, match: str | None) -> Sql:
@@ -83,23 +82,23 @@ def _in_string(content: Sql, value: Any, match: str | None) -> Sql:
     return V.let(content, change)
 
 
-def _in_text(json_text: Sql, kind: str, value: Any, match: str | None) -> Sql:
+def _in_text(current: Sql, kind: str, value: Any, match: str | None) -> Sql:
     """Rewrite the JSON text of an array or object and read it back as the same type."""
 
     def read_back(new_text: Sql) -> Sql:
+        other = V.fail(replacement_failure(V.text(current), value, match))
         return V.let(
             V.parse(new_text),
             lambda v: (
                 f"CASE WHEN {v} IS NULL THEN {V.fail(failure('InvalidJsonFormat', new_text))}"
-                f" WHEN {V.kind_of_text(V.text(v))} = '{kind}' THEN {V.ok(v)}"
-                f" ELSE {V.fail(replacement_failure(json_text, value, match))} END"
+                f" WHEN {V.kind(v)} = '{kind}' THEN {V.ok(v)} ELSE {other} END"
             ),
         )
 
-    return V.let(_substituted(json_text, value, match), read_back)
+    return V.let(_substituted(V.text(current), value, match), read_back)
 
 
-def _in_array(current: Sql, json_text: Sql, value: Any, match: str | None) -> Sql:
+def _in_array(current: Sql, value: Any, match: str | None) -> Sql:
     if isinstance(value, list):
         if match is None:
             return V.ok(V.literal(value))
@@ -107,7 +106,7 @@ def _in_array(current: Sql, json_text: Sql, value: Any, match: str | None) -> Sq
         return V.ok(f"to_variant_object(concat({kept}, {V.as_array(V.literal(value))}))")
     if match is None:
         return V.ok(V.literal([value]))
-    return _in_text(json_text, "a", value, match)
+    return _in_text(current, "a", value, match)
 
 
 # --- cast ---------------------------------------------------------------------
@@ -126,35 +125,31 @@ def casted(current: Sql, from_type: str, to_type: str, zero_is_false: bool = Fal
     text the number it spells.
     """
 
-    def by_type(t: Sql) -> Sql:
-        refused = V.fail(cast_failure(t, from_type, to_type))
-
-        def only(kind: str, outcome: Sql) -> Sql:
-            return f"CASE WHEN {V.kind_of_text(t)} = '{kind}' THEN {outcome} ELSE {refused} END"
-
-        if to_type == "Array":
-            wrapped = V.ok(f"to_variant_object(array({current}))")
-            return f"CASE WHEN {V.kind_of_text(t)} <> 'a' THEN {wrapped} ELSE {refused} END"
-        if to_type == "String":
-            return V.ok(V.of(t))
-        if (from_type, to_type) == ("Numeric", "Boolean"):
-            truth = f"(CAST({current} AS DOUBLE) <> 0)" if zero_is_false else "true"
-            return only("d", V.ok(V.of(truth)))
-        if (from_type, to_type) == ("Boolean", "Numeric"):
-            return only("b", V.ok(V.of(f"CASE WHEN {t} = 'true' THEN 1 ELSE 0 END")))
-        if (from_type, to_type) == ("String", "Numeric"):
-            return only("s", V.let(f"try_cast({V.string(current)} AS DOUBLE)", lambda n: number(n, refused)))
-        return refused
-
-    def number(n: Sql, refused: Sql) -> Sql:
+    def refused() -> Sql:
+        return V.fail(cast_failure(V.text(current), from_type, to_type))
+
+    def only(test: Sql, outcome: Sql) -> Sql:
+        return f"CASE WHEN {V.kind(current)} {test} THEN {outcome} ELSE {refused()} END"
+
+    def number(n: Sql) -> Sql:
         # A double that JSON cannot hold is written as null.
         return (
-            f"CASE WHEN {n} IS NULL THEN {refused}"
+            f"CASE WHEN {n} IS NULL THEN {refused()}"
             f" WHEN isnan({n}) OR abs({n}) = double('Infinity') THEN {V.ok(V.literal(None))}"
             f" ELSE {V.ok(V.of(n))} END"
         )
 
-    return V.let(V.text(current), by_type)
+    if to_type == "Array":
+        return only("<> 'a'", V.ok(f"to_variant_object(array({current}))"))
+    if to_type == "String":
+        return V.ok(V.of(V.text(current)))
+    if (from_type, to_type) == ("Numeric", "Boolean"):
+        return only("= 'd'", V.ok(V.of(f"(CAST({current} AS DOUBLE) <> 0)" if zero_is_false else "true")))
+    if (from_type, to_type) == ("Boolean", "Numeric"):
+        return only("= 'b'", V.ok(V.of(f"CASE WHEN CAST({current} AS BOOLEAN) THEN 1 ELSE 0 END")))
+    if (from_type, to_type) == ("String", "Numeric"):
+        return only("= 's'", V.let(f"try_cast({V.string(current)} AS DOUBLE)", number))
+    return refused()
 
 
 # --- add ----------------------------------------------------------------------
@@ -193,4 +188,4 @@ def added(current: Sql, value: Any) -> Sql:
             f" ELSE {merged()} END"
         )
 
-    return V.let(V.kind_of_text(V.text(current)), by_type)
+    return V.let(V.kind(current), by_type)

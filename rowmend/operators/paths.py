@@ -155,7 +155,7 @@ def hit(element: Sql, where: Where) -> Sql:
 
 
 def _named(pair: Sql, name: str) -> Sql:
-    return f"(to_json({V.get(pair, 'name')}) <=> {V.quote(V.literal_text(name))})"
+    return f"({V.get_string(pair, 'name')} <=> {V.quote(name)})"
 
 
 # --- reading ------------------------------------------------------------------
@@ -194,8 +194,8 @@ def read_encoded(value: Sql, codec: str, child: Node | None) -> Sql:
 
 
 def _read_pair(pairs: Sql, node: AtPair) -> Sql:
-    first = f"get({V.where(V.as_array(pairs), lambda p: _named(p, node.name))}, 0)"
-    value = V.get(first, "value")
+    named = V.where(V.as_array(pairs), lambda p: _named(p, node.name))
+    value = V.get(V.first(named), "value")
     return read_encoded(value, node.codec, node.child) if node.codec else read_below(value, node.child)
 
 
@@ -336,7 +336,7 @@ def _matches_change(node: AtMatches, leaf: Leaf, missing: Sql) -> Leaf:
             )
 
         def collect(items: Sql, found: Sql) -> Sql:
-            failed = f"get({V.where(found, lambda r: f'{r}.err IS NOT NULL')}, 0)"
+            failed = V.first(V.where(found, lambda r: f"{r}.err IS NOT NULL"))
             element, i = V.fresh(), V.fresh("i")
             rebuilt = f"to_variant_object(transform({items}, ({element}, {i}) -> coalesce({found}[{i}].v, {element})))"
             return (

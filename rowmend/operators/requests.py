@@ -79,7 +79,7 @@ def _webhook_parts() -> Sql:
     """struct<content, parsed, schema, data> of the self-describing parameter."""
     named = V.where("payload.pairs", lambda p: f"{p}.name = {V.quote(wire.SELF_DESCRIBING_PARAMETER)}")
     return V.let(
-        f"get({named}, 0).value",
+        f"{V.first(named)}.value",
         lambda content: V.let(
             V.wrapped(content),
             lambda w: (
