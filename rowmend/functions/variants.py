@@ -66,6 +66,15 @@ def first(items: Sql) -> Sql:
     return f"try_element_at({items}, 1)"
 
 
+def opaque(value: Sql) -> Sql:
+    """The same value, as one the optimizer does not move.
+
+    A filter on an outcome would otherwise be pushed through every stage below
+    it and take a copy of all their expressions along, many times over.
+    """
+    return f"CASE WHEN spark_partition_id() >= 0 THEN {value} END"
+
+
 def each(items: Sql, body: Callable[[Sql], Sql]) -> Sql:
     name = fresh()
     return f"transform({items}, {name} -> {body(name)})"

@@ -156,9 +156,9 @@ def match_flows(events: DataFrame, config: Config) -> DataFrame:
         staged.withColumns(
             {
                 "matched": F.expr(f"CAST(array({flags}) AS ARRAY<BOOLEAN>)"),
-                "flows": F.expr(f"array_compact(CAST(array({names}) AS ARRAY<STRING>))"),
+                "flows": F.expr(V.opaque(f"array_compact(CAST(array({names}) AS ARRAY<STRING>))")),
             }
         )
-        .withColumn("err", F.expr(f"CASE WHEN err IS NULL AND size(flows) = 0 THEN {no_flow} ELSE err END"))
+        .withColumn("err", F.expr(V.opaque(f"CASE WHEN err IS NULL AND size(flows) = 0 THEN {no_flow} ELSE err END")))
         .drop(*fits.values(), *values.values(), *holding)
     )

@@ -107,7 +107,8 @@ def decode_payloads(events: DataFrame) -> DataFrame:
         ]
     )
     unfit = failure("InvalidDataFormat", "line", Known("Fields do not fit the row type"))
-    return typed.withColumn("err", F.expr(f"CASE WHEN err IS NULL AND NOT ({fits}) THEN {unfit} ELSE err END"))
+    err = f"CASE WHEN err IS NULL AND NOT ({fits}) THEN {unfit} ELSE err END"
+    return typed.withColumn("err", F.expr(V.opaque(err)))
 
 
 def _read_enrichment(enriched: Sql) -> Sql:

@@ -97,7 +97,7 @@ def repair_format_violations(events: DataFrame) -> DataFrame:
     )
     return staged.withColumns(
         {
-            "err": F.expr(err),
+            "err": F.expr(V.opaque(err)),
             "payload": F.expr("coalesce(_typed, payload)"),
             "shape": F.expr(f"CASE WHEN _typed IS NOT NULL THEN '{COLLECTOR}' ELSE shape END"),
         }

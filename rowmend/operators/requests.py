@@ -137,7 +137,7 @@ def to_request(events: DataFrame) -> DataFrame:
     )
     return (
         events.withColumn("_built", F.expr(built))
-        .withColumns({"request": F.expr("_built.request"), "err": F.expr("coalesce(err, _built.err)")})
+        .withColumns({"request": F.expr("_built.request"), "err": F.expr(V.opaque("coalesce(err, _built.err)"))})
         .drop("_built")
     )
 

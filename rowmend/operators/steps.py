@@ -112,7 +112,7 @@ def _advance(events: DataFrame, round_: list[tuple[str, int, Step]], zero_is_fal
         .withColumns(
             {
                 "payload": F.expr(payload),
-                "err": F.expr(f"coalesce(err, {', '.join(f'{r}.err' for r in results)})"),
+                "err": F.expr(V.opaque(f"coalesce(err, {', '.join(f'{r}.err' for r in results)})")),
             }
         )
         .drop(*results)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from typing import Any
 
@@ -78,6 +79,11 @@ class LiveCounters(StreamingQueryListener):
 
     def __init__(self) -> None:
         self.counts = dict.fromkeys(STATUSES, 0)
+        self._ended = threading.Event()
+
+    def wait(self, seconds: float = 60) -> bool:
+        """Wait until the counts of an ended query are complete; events arrive later than the query ends."""
+        return self._ended.wait(seconds)
 
     def onQueryStarted(self, event: Any) -> None:
         pass
@@ -92,4 +98,4 @@ class LiveCounters(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event: Any) -> None:
-        pass
+        self._ended.set()
