@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import secrets
+from llm import bpe, repeats, secrets
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,5 +18,13 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digests(_documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_secrets": op1_secrets}
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.quality_counts(_documents(spark, sf_dir))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digests(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_secrets": op1_secrets, "op6_quality": op6_quality, "op9_bpe": op9_bpe}
 ORACLES: dict[str, str] = {}
