@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, repeats, secrets
+from llm import bpe, langid, repeats, secrets, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,14 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digests(_documents(spark, sf_dir))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_held_out(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_held_out(_documents(spark, sf_dir))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.quality_counts(_documents(spark, sf_dir))
 
@@ -26,5 +34,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_secrets": op1_secrets, "op6_quality": op6_quality, "op9_bpe": op9_bpe}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
+    "op5_toxicity": op5_toxicity,
+    "op6_quality": op6_quality,
+    "op7_language": op7_language,
+    "op9_bpe": op9_bpe,
+}
 ORACLES: dict[str, str] = {}
