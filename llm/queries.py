@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, langid, repeats, secrets, toxicity
+from llm import bpe, langid, neighbours, repeats, secrets, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,11 +34,16 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id % 50 = 0")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
     "op9_bpe": op9_bpe,
+    "op10_neighbours": op10_neighbours,
 }
 ORACLES: dict[str, str] = {}
