@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, langid, neighbours, packing, repeats, secrets, toxicity
+from llm import bpe, exact_dups, langid, neighbours, packing, repeats, secrets, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dups.removal_digests(_documents(spark, sf_dir))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_held_out(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -45,6 +49,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_packing": op2_packing,
+    "op4_substrings": op4_substrings,
     "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
