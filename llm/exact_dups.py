@@ -31,20 +31,20 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), F.octet_length(text).cast("long").alias("n"), F.xxhash64("doc_id", text).alias("key"))
 
 
-def groups(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
-    """Rows sorted by `hash` in tables of `least` bytes of `segment_text` or more, cut between hashes."""
+def groups(batches: Iterator[pa.RecordBatch], least: int, key: str = "hash", text: str = "segment_text") -> Iterator[pa.Table]:
+    """Rows sorted by the number `key` in tables of `least` bytes of `text` or more, cut between keys."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
         if not batch.num_rows:
             continue
         held.append(batch)
-        size += batch.column("segment_text").nbytes
+        size += batch.column(text).nbytes
         if size >= least:
             table = pa.Table.from_batches(held)
-            hashes = table["hash"].to_numpy()
+            hashes = table[key].to_numpy()
             end = int(np.searchsorted(hashes, hashes[-1], "left"))
-            ends = np.cumsum(pc.binary_length(table["segment_text"]).to_numpy())
+            ends = np.cumsum(pc.binary_length(table[text]).to_numpy())
             at = 0
             while at < end:
                 cut = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + least, "left")) + 1
@@ -52,7 +52,7 @@ def groups(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
                 yield table.slice(at, cut - at)
                 at = cut
             held = table.slice(end).to_batches()
-            size = sum(x.column("segment_text").nbytes for x in held)
+            size = sum(x.column(text).nbytes for x in held)
     if held:
         yield pa.Table.from_batches(held)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, exact_dups, langid, neighbours, packing, repeats, secrets, toxicity
+from llm import bpe, exact_dups, langid, neighbours, packing, phrases, repeats, secrets, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.quality_counts(_documents(spark, sf_dir))
 
 
+def op8_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.removal_digests(_documents(spark, sf_dir))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
+    "op8_phrases": op8_phrases,
     "op9_bpe": op9_bpe,
     "op10_neighbours": op10_neighbours,
 }
