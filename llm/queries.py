@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, exact_dups, langid, neighbours, packing, phrases, repeats, secrets, toxicity
+from llm import bpe, exact_dups, langid, near_dups, neighbours, packing, phrases, repeats, secrets, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.grouped(_documents(spark, sf_dir))
+
+
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dups.removal_digests(_documents(spark, sf_dir))
 
@@ -53,6 +57,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_packing": op2_packing,
+    "op3_near_dups": op3_near_dups,
     "op4_substrings": op4_substrings,
     "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
