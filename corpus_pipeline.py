@@ -8,11 +8,19 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from llm import near_dups, packing, phrases, secrets, toxicity
 from llm.columns import staged
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """n_chars of the text as it is now, in the type it had."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.coalesce(F.length("text"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more go; the classifier learns from the labelled ones that are in `docs`."""
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -25,12 +33,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more that an earlier document has go from the text. A text may become empty; its row stays."""
-    return phrases.without_recurring(docs)
+    return _counted(phrases.without_recurring(docs))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the text become marks that name their kind."""
-    return secrets.redact_secrets(docs)
+    return _counted(secrets.redact_secrets(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, exact_dups, langid, near_dups, neighbours, packing, phrases, repeats, secrets, toxicity
+from llm import bpe, exact_dups, langid, near_dups, neighbours, oracles, packing, phrases, repeats, secrets, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.quality_counts(_documents(spark, sf_dir))
+    return repeats.quality_counts(_documents(spark, sf_dir)).drop("repeat_share", "longest_repeat")
 
 
 def op8_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,4 +66,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_neighbours": op10_neighbours,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_secrets": oracles.OP1, "op3_near_dups": oracles.OP3, "op4_substrings": oracles.OP4, "op6_quality": oracles.OP6, "op8_phrases": oracles.OP8}
