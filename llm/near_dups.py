@@ -178,7 +178,8 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     # in a task of one block all pairs count, in one of two blocks those between them
     met = met.select("node", F.xxhash64("leader", F.least("block", "other"), F.greatest("block", "other")).alias("family"), F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("side"))
     texts = docs.select(F.col("doc_id").alias("node"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return _compare(met.join(texts, "node"), kind)
+    # a merge join at every size: the members may be any share of all texts
+    return _compare(met.hint("merge").join(texts, "node"), kind)
 
 
 def grouped(docs: DataFrame) -> DataFrame:
