@@ -24,10 +24,10 @@ PERCENT = 85
 COLLECTIONS = 12
 ROWS = 2
 #: Texts, and shingles, of a family that are compared in one task; larger families are cut into blocks.
-BLOCK_TEXTS = 2000
+BLOCK_TEXTS = 1000
 BLOCK_SHINGLES = 2_000_000
-#: Bytes of texts that a task turns into sets at once.
-TEXT_BYTES = 2 << 20
+#: Bytes of texts that a task turns into sets at once; some hundred times as many are held meanwhile.
+TEXT_BYTES = 1 << 20
 
 _SEEDS = np.random.default_rng(85).integers(1, 1 << 63, (COLLECTIONS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
 
@@ -74,7 +74,7 @@ def signatures(docs: DataFrame) -> DataFrame:
         return {"doc_id": chunk.column("doc_id"), "n_shingles": size, "set_a": a, "set_b": b, "bands": lists}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return over_chunks(docs, ["doc_id", "text"], work, f"doc_id {kind}, n_shingles long, set_a long, set_b long, bands array<long>")
+    return over_chunks(docs, ["doc_id", "text"], work, f"doc_id {kind}, n_shingles long, set_a long, set_b long, bands array<long>", TEXT_BYTES)
 
 
 def table_keys(sets: DataFrame) -> DataFrame:
