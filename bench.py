@@ -14,7 +14,7 @@ from checks import fixtures as X
 from rowmend import configure, decode_events, execute, match_flows, parse_events
 from rowmend.operators.steps import apply_payload_steps
 from rowmend.plans.config import Replace
-from rowmend.plans.recovery import stage, staging_dir
+from rowmend.plans.recovery import stage
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -47,7 +47,7 @@ def timed(frame: DataFrame) -> float:
 
 def main() -> None:
     spark = session()
-    source = f"{staging_dir(spark)}/lines"
+    source = f"{X.scratch_dir(spark)}/lines"
     X.bad_rows(spark, SF_DIR).select("value").repartition(int(CPUS)).write.text(source)
     lines = spark.read.text(source)
     count = lines.count()
@@ -67,7 +67,7 @@ def main() -> None:
     }
     seconds = {name: round(timed(frame), 3) for name, frame in frames.items()}
     start = time.perf_counter()
-    staged = stage(execute(lines, config), staging_dir(spark))
+    staged = stage(execute(lines, config), X.scratch_dir(spark))
     staged.groupBy("status").agg(F.count("*")).collect()
     seconds["full_job_staged"] = round(time.perf_counter() - start, 3)
     print(

@@ -16,7 +16,7 @@ from rowmend.operators import paths, steps as T
 from rowmend.operators.decode import decode_events, parse_events, unwrap_recovery_errors
 from rowmend.operators.recover import recover, refuse_unrecoverable, repair_format_violations
 from rowmend.operators.requests import from_request, to_request
-from rowmend.plans.recovery import execute, staging_dir
+from rowmend.plans.recovery import execute
 from rowmend.sources import files
 from rowmend.streaming.job import LiveCounters, stream_recover, write_batch
 
@@ -47,7 +47,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFr
     key = (spark.sparkContext.applicationId, sf_dir, name)
     V.configure(spark)
     if key not in _written:
-        path = f"{staging_dir(spark)}/{name}"
+        path = f"{X.scratch_dir(spark)}/{name}"
         make().write.parquet(path)
         _written[key] = path
     return spark.read.parquet(_written[key])
@@ -62,7 +62,7 @@ def text_dir(spark: SparkSession, sf_dir: str) -> str:
     """Folder of text files with the lines."""
     key = (spark.sparkContext.applicationId, sf_dir, "text")
     if key not in _written:
-        path = f"{staging_dir(spark)}/text"
+        path = f"{X.scratch_dir(spark)}/text"
         lines(spark, sf_dir).select("value").write.text(path)
         _written[key] = path
     return _written[key]
@@ -116,7 +116,7 @@ def _(spark, sf_dir):
 
 @check("stream_failed_events", _BY_TYPE_SQL)
 def _(spark, sf_dir):
-    where = staging_dir(spark)
+    where = X.scratch_dir(spark)
     stream = files.stream_failed_events(spark, text_dir(spark, sf_dir))
     started = stream.writeStream.format("parquet").option("checkpointLocation", f"{where}/c").trigger(availableNow=True)
     started.start(f"{where}/out").awaitTermination()
@@ -146,7 +146,7 @@ def _(spark, sf_dir):
 
 @check("recovered_sink", with_outcomes("SELECT vendor, count(*) AS n FROM o WHERE status = 'recovered' GROUP BY 1"))
 def _(spark, sf_dir):
-    where = f"{staging_dir(spark)}/recovered"
+    where = f"{X.scratch_dir(spark)}/recovered"
     files.write_recovered(outcomes(spark, sf_dir), where)
     return spark.read.parquet(where).groupBy("vendor").agg(F.count("*").alias("n"))
 
@@ -159,7 +159,7 @@ _LEAD_SQL = """CASE code WHEN 'InvalidJsonFormat' THEN 'Failed to parse' WHEN 'I
 
 
 def _written_errors(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
-    base = staging_dir(spark)
+    base = X.scratch_dir(spark)
     files.write_errors(outcomes(spark, sf_dir), base, status)
     message = F.coalesce(
         F.get_json_object("value", "$.data.failure.error"), F.get_json_object("value", "$.data.failure.message")
@@ -194,16 +194,19 @@ def _(spark, sf_dir):
 
 @check(
     "output_paths",
-    """SELECT page_id, regexp_replace(url, '/$', '') || '/unrecovered' AS failed, url || '/unrecoverable' AS unrecoverable
-       FROM pages""",
+    """SELECT page_id, u || '/unrecovered' AS failed, u || '/unrecoverable' AS unrecoverable,
+         u || '/bad' AS told_failed, u || '/bad/unrecoverable' AS below_failed
+       FROM (SELECT page_id, regexp_replace(url, '/$', '') AS u FROM pages)""",
 )
 def _(spark, sf_dir):
-    pages = X.table(spark, sf_dir, "pages")
-    return pages.select(
+    rule = F.udf(lambda *told: files.default_error_bases(*told), "struct<failed:string, unrecoverable:string>")
+    pages = X.table(spark, sf_dir, "pages").withColumn("u", F.regexp_replace("url", "/$", ""))
+    bases = pages.select(
         "page_id",
-        files.failed_path(F.concat(F.lit(" "), "url", F.lit("*"))).alias("failed"),
-        files.unrecoverable_path(F.concat("url", F.lit("/ "))).alias("unrecoverable"),
+        rule(F.concat(F.lit(" "), "u", F.lit("/*"))).alias("beside"),
+        rule("url", F.concat("u", F.lit("/bad"))).alias("told"),
     )
+    return bases.select("page_id", "beside.*", F.col("told.failed").alias("told_failed"), F.col("told.unrecoverable").alias("below_failed"))
 
 
 # --- parse and decode --------------------------------------------------------------
@@ -387,14 +390,14 @@ _CLEAN_SQL = """array_to_string(list_transform(regexp_extract_all({x}, '(?s)(%[0
     with_facts(
         f"""SELECT id, {_CLEAN_SQL.format(x='value')} AS cleaned FROM (
           SELECT 'd' || doc_id AS id, text AS value FROM documents
-          UNION ALL SELECT 'e' || event_id, '{{' || et || '}} ${{js}}&[p !@] 100% %7b (a,b) ''' || k || '''' FROM f)"""
+          UNION ALL SELECT 'e' || event_id, '<' || et || '> 50% off %7e |x^y` \\' || k || '\\' FROM f)"""
     ),
 )
 def _(spark, sf_dir):
     texts = X.table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), F.col("text").alias("value"))
     built = X.facts(spark, sf_dir).select(
         F.concat(F.lit("e"), "event_id"),
-        F.concat(F.lit("{"), "et", F.lit("} ${js}&[p !@] 100% %7b (a,b) '"), "k", F.lit("'")),
+        F.concat(F.lit("<"), "et", F.lit("> 50% off %7e |x^y` \\"), "k", F.lit("\\")),
     )
     return texts.unionAll(built).select("id", F.expr(Q.qs_clean("value")).alias("cleaned"))
 
@@ -512,11 +515,11 @@ _DECODED_SQL = "NOT (event_id % 13 = 0 AND kind IN (0, 1, 2, 3, 6)) AND NOT (kin
 _FLOWS_SQL = f"""flows AS (SELECT event_id, kind, flow FROM (
   SELECT event_id, kind, unnest(list_filter([
     CASE WHEN kind IN (0, 6) AND has_ue AND et = 'click' THEN 'fix-schema' END,
-    CASE WHEN kind IN (0, 6) AND et = 'purchase' THEN 'purchase-currency' END,
+    CASE WHEN kind IN (0, 6) AND et = 'purchase' THEN 'purchase-price' END,
     CASE WHEN kind IN (0, 6) AND et = 'signup' THEN 'signup-as-is' END,
     CASE WHEN kind IN (0, 6) AND has_ue AND et = 'view' THEN 'view-timing' END,
     CASE WHEN kind IN (0, 6) AND has_ue AND et = 'view' THEN 'view-page' END,
-    CASE WHEN kind = 1 THEN 'main' END,
+    CASE WHEN kind = 1 THEN 'enrich-tidy' END,
     CASE WHEN kind = 2 THEN CASE et WHEN 'click' THEN 'click-page' WHEN 'view' THEN 'view-all' WHEN 'error' THEN 'error-time'
       WHEN 'purchase' THEN 'purchase-add' ELSE 'signup-cast' END END,
     CASE WHEN kind = 3 AND et = 'purchase' THEN 'mid-failure' END,
@@ -990,11 +993,11 @@ _DATA_SQL = "CASE WHEN has_ue AND kind = 0 AND et = 'purchase' THEN 1000 WHEN ha
 @check(
     "recover_enrichment_types",
     with_outcomes(
-        f"""SELECT event_id, CASE WHEN code IS NULL OR code = 'UncoerciblePayload' THEN CASE WHEN kind = 1 THEN 'https://console.example.com/'
+        f"""SELECT event_id, CASE WHEN code IS NULL OR code = 'UncoerciblePayload' THEN CASE WHEN kind = 1 THEN 'https://docs.example.org/from/' || et
           ELSE 'https://example.com/' || et END END AS referer,
         CASE WHEN code IS NULL THEN CASE WHEN has_ue THEN 'iglu:com.acme/' || et || '/jsonschema/1-0-'
           || CASE WHEN kind = 0 AND et = 'click' THEN '1' ELSE '0' END END END AS schema,
-        CASE WHEN code IS NULL THEN CASE WHEN kind = 1 THEN '1' WHEN et = 'view' THEN 'true' ELSE '0' END END AS zero,
+        CASE WHEN code IS NULL THEN CASE WHEN kind = 1 THEN 'none' WHEN et = 'view' THEN 'true' ELSE '0' END END AS zero,
         CASE WHEN code IS NULL THEN CASE WHEN kind = 0 AND et = 'view' THEN k + 1 ELSE k END END AS timing_k,
         CASE WHEN code IS NULL THEN {_DATA_SQL} END AS k,
         CASE WHEN code = 'UncoerciblePayload' THEN NULL ELSE code END AS code FROM o WHERE kind IN (0, 1)"""
@@ -1019,8 +1022,8 @@ def _(spark, sf_dir):
     )
 
 
-_REPAIRED_SQL = """SELECT event_id, code, CASE WHEN code IS NULL THEN '{' || et || '}' END AS e,
-  CASE WHEN code IS NULL THEN '[p !@]' END AS pv, CASE WHEN code IS NULL THEN '100%' END AS k,
+_REPAIRED_SQL = """SELECT event_id, code, CASE WHEN code IS NULL THEN '<' || et || '>' END AS e,
+  CASE WHEN code IS NULL THEN 'p|q ^r' END AS pv, CASE WHEN code IS NULL THEN '50% off' END AS k,
   CASE WHEN code IS NULL THEN aid END AS aid, CASE WHEN code IS NULL THEN vendor END AS vendor
   FROM o WHERE kind = 4 AND event_id % 16 <> 12"""
 
@@ -1366,14 +1369,14 @@ _COUNTS_SQL = with_outcomes("SELECT status, count(*) AS n FROM o GROUP BY 1")
 
 @check("stream_recover", _COUNTS_SQL)
 def _(spark, sf_dir):
-    out = staging_dir(spark)
+    out = X.scratch_dir(spark)
     stream_recover(spark, text_dir(spark, sf_dir), X.check_config(), f"{out}/o", f"{out}/c").awaitTermination()
     return _streamed_counts(spark, f"{out}/o")
 
 
 @check("stream_replay", _COUNTS_SQL)
 def _(spark, sf_dir):
-    out = staging_dir(spark)
+    out = X.scratch_dir(spark)
     for _attempt in range(2):
         write_batch(outcomes(spark, sf_dir).withColumn("err", F.struct("code")), 0, out)
     return _streamed_counts(spark, out)
@@ -1381,7 +1384,7 @@ def _(spark, sf_dir):
 
 @check("live_counters", _SUMMARY_SQL)
 def _(spark, sf_dir):
-    out = staging_dir(spark)
+    out = X.scratch_dir(spark)
     counters = LiveCounters()
     spark.streams.addListener(counters)
     try:

@@ -43,13 +43,28 @@ def qs_pairs(qs: Sql) -> Sql:
     def last_wins(found: Sql) -> Sql:
         names = f"array_distinct({V.each(found, lambda p: f'{p}.name')})"
 
-        def pick(n: Sql) -> Sql:
-            same = V.where(found, lambda p: f"{p}.name = {n}")
-            return f"element_at({same}, -1)"
+        # Sorted by name and place, each pair that no other of its name follows is the last one, and with its first
+        # place it goes back into the order of first places: linear but for two sorts.
+        def by_name(order: str) -> Sql:
+            at = V.fresh("i")
+            p = V.fresh()
+            return f"transform({found}, ({p}, {at}) -> named_struct('n', {p}.name, 'i', {order}{at}, 'v', {p}.value))"
+
+        def picked(ns: Sql) -> Sql:
+            ups, downs = f"array_sort({by_name('')})", f"array_sort({by_name('-')})"
+
+            def heads(items: Sql) -> Sql:
+                x, at = V.fresh(), V.fresh("i")
+                return f"filter({items}, ({x}, {at}) -> {at} = 0 OR {items}[{at} - 1].n <> {x}.n)"
+
+            both = V.let(ups, heads), V.let(downs, heads)
+            a, b = V.fresh(), V.fresh()
+            placed = f"zip_with({both[0]}, {both[1]}, ({a}, {b}) -> named_struct('i', {a}.i, 'name', {a}.n, 'value', {b}.v))"
+            return V.each(f"array_sort({placed})", lambda p: _pair(f"{p}.name", f"{p}.value"))
 
         return (
             f"CASE WHEN size({found}) > 0 THEN"
-            f" {V.let(names, lambda ns: f'CASE WHEN size({ns}) = size({found}) THEN {found} ELSE {V.each(ns, pick)} END')}"
+            f" {V.let(names, lambda ns: f'CASE WHEN size({ns}) = size({found}) THEN {found} ELSE {picked(ns)} END')}"
             " END"
         )
 

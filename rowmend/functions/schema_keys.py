@@ -32,9 +32,13 @@ class SchemaPattern:
 
 def schema_key(uri: Sql) -> Sql:
     """The six parts as a struct; NULL when the text is not a schema key."""
-    pattern = quote(SCHEMA_KEY)
-    parts = ", ".join(f"'{p}', regexp_extract({uri}, {pattern}, {i + 1})" for i, p in enumerate(PARTS))
-    return f"CASE WHEN {uri} RLIKE {pattern} THEN named_struct({parts}) END"
+    # A key that fits has no other `/` than those between its parts, and no `-` in its version but two.
+    def parts(s: Sql) -> Sql:
+        named = [f"'{p}', {s}[{i}]" for i, p in enumerate(PARTS[:3])]
+        versions = let(f"split({s}[3], '-')", lambda v: "named_struct(" + ", ".join([*named, *(f"'{p}', {v}[{i}]" for i, p in enumerate(PARTS[3:]))]) + ")")
+        return versions
+
+    return f"CASE WHEN {uri} RLIKE {quote(SCHEMA_KEY)} THEN {let(f"split(substring({uri}, 6), '/')", parts)} END"
 
 
 def is_full_key(uri: Sql) -> Sql:

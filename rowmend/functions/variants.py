@@ -24,6 +24,9 @@ Sql = str
 ERROR_TYPE = "STRUCT<code: STRING, message: STRING>"
 NO_ERROR = f"CAST(NULL AS {ERROR_TYPE})"
 
+# Numbers that a VARIANT does not hold as written: more than 38 digits, many digits with an exponent, or out of range.
+_HARD_NUMBER = r"[0-9.]{39,}|[0-9.]{18,}[eE]|[eE][+-]?0*(3[0-9]{2}|[4-9][0-9]{2}|[1-9][0-9]{3,})"
+
 # Marks the end of a wrapped document, see `parse`.
 _END = "\u0002end-of-document"
 
@@ -101,17 +104,29 @@ def wrapped(text: Sql) -> Sql:
     return f"try_parse_json(concat('[', {text}, {quote(',' + json.dumps(_END) + ']')}))"
 
 
-def is_whole(w: Sql) -> Sql:
-    """Whether wrapped text was exactly one JSON value."""
+def keeps_numbers(text: Sql) -> Sql:
+    """Whether every number in JSON text comes out of a VARIANT with its value.
+
+    The text is searched as a whole first. Only where something like a hard
+    number is found are strings taken out, escapes before them, and is the rest
+    searched again.
+    """
+    hard = quote(_HARD_NUMBER)
+    bare = f"regexp_replace(regexp_replace({text}, {quote(chr(92) * 2 + '.')}, ''), {quote(chr(34) + '[^' + chr(34) + ']*' + chr(34))}, '')"
+    return f"NOT ({text} RLIKE {hard} AND {bare} RLIKE {hard})"
+
+
+def is_whole(w: Sql, text: Sql) -> Sql:
+    """Whether wrapped text was exactly one JSON value, with no number that would be altered."""
     return (
         f"(variant_get({w}, '\\u0024[1]', 'string') <=> {quote(_END)}"
-        f" AND variant_get({w}, '\\u0024[2]', 'variant') IS NULL)"
+        f" AND variant_get({w}, '\\u0024[2]', 'variant') IS NULL AND {keeps_numbers(text)})"
     )
 
 
 def parse(text: Sql) -> Sql:
-    """JSON text to VARIANT; SQL NULL when the text is not exactly one JSON value."""
-    return let(wrapped(text), lambda w: f"CASE WHEN {is_whole(w)} THEN {get(w, 0)} END")
+    """JSON text to VARIANT; SQL NULL when the text is not exactly one JSON value or holds a number that would be altered."""
+    return let(text, lambda t: let(wrapped(t), lambda w: f"CASE WHEN {is_whole(w, t)} THEN {get(w, 0)} END"))
 
 
 def literal_text(value: Any) -> str:

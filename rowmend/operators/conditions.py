@@ -62,13 +62,19 @@ def accepts(matcher: Matcher, value: Sql) -> Sql:
 
 
 def _equal(value: Sql, expected: Any) -> Sql:
+    """Equal as JSON: numbers by value, arrays and objects along the configured value, whatever the order of keys."""
+
     def same(v: Sql) -> Sql:
+        if isinstance(expected, list):
+            return V.let(V.as_array(v), lambda a: _all(len(expected), a, [(str(i + 1), x) for i, x in enumerate(expected)]))
+        if isinstance(expected, dict):
+            return V.let(V.as_map(v), lambda m: _all(len(expected), m, [(V.quote(k), x) for k, x in expected.items()]))
         if expected is None:
             return f"is_variant_null({v})"
         if isinstance(expected, str):
             return f"{V.is_string(v)} AND {V.string(v)} = {V.quote(expected)}"
         same_text = f"{V.text(v)} = {V.text(V.literal(expected))}"
-        if isinstance(expected, bool) or not isinstance(expected, (int, float)):
+        if isinstance(expected, bool):
             return same_text
         # A number written with an exponent is held as a double and has another text.
         return (
@@ -79,6 +85,12 @@ def _equal(value: Sql, expected: Any) -> Sql:
     return V.let(value, same)
 
 
+def _all(size: int, container: Sql, wanted: list[tuple[Sql, Any]]) -> Sql:
+    """The container has that size, and what it holds at each place equals what is wanted there."""
+    tests = [f"coalesce({_equal(f'try_element_at({container}, {at})', x)}, false)" for at, x in wanted]
+    return " AND ".join([f"coalesce(size({container}) = {size}, false)", *tests])
+
+
 def _size(value: Sql, size: Size) -> Sql:
     sign = {"eq": "=", "gt": ">", "lt": "<"}[size.op]
 

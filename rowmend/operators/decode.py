@@ -54,7 +54,7 @@ def parse_events(events: DataFrame, column: str = "value") -> DataFrame:
     """Parse lines and read the `{schema, data}` envelope of a known failed-event type."""
     parsed = events.withColumnRenamed(column, "line").withColumn("doc", F.expr(V.wrapped("line")))
     envelope = parsed.withColumns(
-        {"_whole": F.expr(V.is_whole("doc")), "schema": F.expr(V.get_string("doc", 0, "schema"))}
+        {"_whole": F.expr(V.is_whole("doc", "line")), "schema": F.expr(V.get_string("doc", 0, "schema"))}
     )
     unknown = failure("InvalidDataFormat", "line", Known("Not a self-describing failed event of a known type"))
     known = _is_failed_event("schema", V.get("doc", *_PLAIN, "processor"))
@@ -75,7 +75,7 @@ def unwrap_recovery_errors(events: DataFrame) -> DataFrame:
             ),
             "recoveries": F.expr(
                 "CASE WHEN nested THEN"
-                f" coalesce(try_cast({V.get('doc', 0, 'data', 'recoveries')} AS INT), 0) ELSE 0 END"
+                f" coalesce(try_cast({V.get('doc', 0, 'data', 'recoveries')} AS BIGINT), 0) ELSE 0 END"
             ),
         }
     )

@@ -45,23 +45,25 @@ def split_outcomes(events: DataFrame) -> Outcomes:
 def error_rows(events: DataFrame, now: Sql = "current_timestamp()") -> DataFrame:
     """Add `error_row`, the failed event to write for a row with an error (NULL otherwise).
 
-    A readable line is wrapped as a recovery error: earlier wrapping is taken
-    off and the number of recoveries goes up by one. A line that is no JSON
-    becomes a format violation holding the line.
+    A readable line is wrapped as a recovery error, as it was read: its text is
+    put in unchanged. Of a recovery error, the event inside is put in, in the
+    order it had, and the number of recoveries goes up by one (at the largest
+    BIGINT it stays). A line that is no JSON, or holds a number that cannot be
+    kept, becomes a format violation holding the line.
     """
     processor = (
         f"named_struct('artifact', {V.quote(wire.PROCESSOR_ARTIFACT)}, 'version', {V.quote(wire.PROCESSOR_VERSION)})"
     )
     stamp = f"date_format({now}, 'yyyy-MM-dd\\'T\\'HH:mm:ss.SSS\\'Z\\'')"
-    inner = V.let(V.wrapped("line"), lambda w: V.get(w, 0, "data", "payload"))
-    original = f"CASE WHEN nested AND row_type IS NOT NULL THEN {inner} ELSE {V.parse('line')} END"
+    inner = "get_json_object(line, '\\u0024.data.payload')"
+    original = f"CASE WHEN nested AND row_type IS NOT NULL THEN {inner} ELSE trim(line) END"
     flow_names = "CASE WHEN size(flows) > 0 THEN array_join(flows, ',') END"
+    failed = f"named_struct('error', err.message, 'configName', {flow_names})"
+    recoveries = "coalesce(try_add(coalesce(recoveries, 0L), 1L), recoveries)"
+    head = f'{{"schema":"{ERROR_SCHEMA}","data":{{"processor":'
     wrapped = (
-        f"to_json(named_struct('schema', {V.quote(ERROR_SCHEMA)}, 'data', named_struct("
-        f"'processor', {processor},"
-        f" 'failure', named_struct('error', err.message, 'configName', {flow_names}),"
-        f" 'payload', {original},"
-        " 'recoveries', coalesce(recoveries, 0) + 1)))"
+        f"concat({V.quote(head)}, to_json({processor}), ',\"failure\":', to_json({failed}),"
+        f" ',\"payload\":', {original}, ',\"recoveries\":', {recoveries}, '}}}}')"
     )
     violation = (
         f"to_json(named_struct('schema', {V.quote(VIOLATION_SCHEMA)}, 'data', named_struct("

@@ -15,7 +15,7 @@ from ..plans.config import Config
 from .conditions import match_flows
 from .decode import row_get
 from .payloads import COLLECTOR
-from .requests import REQUEST_TYPE, collector_payload, url_codec_failure
+from .requests import REQUEST_TYPE, collector_payload, request_failure
 from .steps import apply_flows
 
 # Fixed value: failure message of a record that was base64-encoded twice.
@@ -93,7 +93,7 @@ def repair_format_violations(events: DataFrame) -> DataFrame:
         f" WHEN NOT _twice AND {querystring} IS NULL"
         f" THEN {unexpected(Known('empty payload line'), 'nullified querystring')}"
         f" WHEN NOT _twice AND _pairs IS NULL THEN {unexpected(querystring, 'empty')}"
-        f" WHEN _typed IS NULL THEN {url_codec_failure(querystring)} END"
+        f" WHEN _typed IS NULL THEN {request_failure('_request')} END"
     )
     return staged.withColumns(
         {

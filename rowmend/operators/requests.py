@@ -83,7 +83,7 @@ def _webhook_parts() -> Sql:
         lambda content: V.let(
             V.wrapped(content),
             lambda w: (
-                f"named_struct('content', {content}, 'parsed', {V.is_whole(w)},"
+                f"named_struct('content', {content}, 'parsed', {V.is_whole(w, content)},"
                 f" 'schema', {V.get_string(w, 0, 'data', 'schema')}, 'data', {V.get(w, 0, 'data', 'data')})"
             ),
         ),
@@ -156,10 +156,16 @@ def split_path(path: Sql) -> Sql:
     )
 
 
+def _stamp_fits(request: Sql) -> Sql:
+    """Whether the timestamp is one that can be written: years 1 to 9999."""
+    return f"coalesce({request}.timestamp BETWEEN -62135596800000 AND 253402300799999, true)"
+
+
 def collector_payload(request: Sql, pairs: Sql | None = None) -> Sql:
-    """Typed collector payload of a request struct; NULL when its querystring cannot be decoded."""
+    """Typed collector payload of a request struct; NULL when its querystring cannot be decoded or its timestamp not be written."""
     nvps = qs_to_nvps(f"{request}.querystring") if pairs is None else pairs
-    stamp = f"date_format(timestamp_millis(nullif({request}.timestamp, 0)), 'yyyy-MM-dd\\'T\\'HH:mm:ss.SSS\\'Z\\'')"
+    millis = f"CASE WHEN {_stamp_fits(request)} THEN nullif({request}.timestamp, 0) END"
+    stamp = f"date_format(timestamp_millis({millis}), 'yyyy-MM-dd\\'T\\'HH:mm:ss.SSS\\'Z\\'')"
 
     def build(s: Sql) -> Sql:
         built = payload_struct(
@@ -178,11 +184,17 @@ def collector_payload(request: Sql, pairs: Sql | None = None) -> Sql:
             headers=f"coalesce({request}.headers, CAST(array() AS ARRAY<STRING>))",
             user=f"CASE WHEN {is_uuid(f'{request}.networkUserId')} THEN {lower_hex(f'{request}.networkUserId')} END",
         )
-        return f"CASE WHEN {s}.nvps IS NOT NULL THEN {built} END"
+        return f"CASE WHEN {s}.nvps IS NOT NULL AND {_stamp_fits(request)} THEN {built} END"
 
     return V.let(f"named_struct('at', {split_path(f'{request}.path')}, 'nvps', {nvps})", build)
 
 
+def request_failure(request: Sql) -> Sql:
+    """Why a request has no collector payload."""
+    stamp = failure("InvalidDataFormat", f"CAST({request}.timestamp AS STRING)", Known("Timestamp out of range"))
+    return f"CASE WHEN {_stamp_fits(request)} THEN {url_codec_failure(f'{request}.querystring')} ELSE {stamp} END"
+
+
 def url_codec_failure(querystring: Sql) -> Sql:
     return failure("UrlCodecFailure", querystring, Known("Malformed percent escape"))
 
@@ -190,5 +202,5 @@ def url_codec_failure(querystring: Sql) -> Sql:
 def from_request(requests: DataFrame) -> DataFrame:
     """Add `payload` (typed collector payload) and `err` for a frame with `request`."""
     return requests.withColumn("payload", F.expr(collector_payload("request"))).withColumn(
-        "err", F.expr(f"CASE WHEN payload IS NULL THEN {url_codec_failure('request.querystring')} END")
+        "err", F.expr(f"CASE WHEN payload IS NULL THEN {request_failure('request')} END")
     )

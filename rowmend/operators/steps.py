@@ -7,7 +7,6 @@ document expression into every place that mentions it.
 
 from __future__ import annotations
 
-from itertools import zip_longest
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import variants as V
 from ..functions.errors import Known
 from ..functions.variants import Sql
-from ..plans.config import Add, Cast, Config, Remove, Replace, Step
+from ..plans.config import Add, Cast, Compare, Config, Flow, Remove, Replace, Step
 from . import access, edits
 from .paths import Leaf, edit
 from .payloads import EVENT_FIELDS, known_shape, payload_struct
@@ -62,19 +61,34 @@ def apply_steps(
 def apply_flows(events: DataFrame, config: Config, zero_is_false: bool = False) -> DataFrame:
     """Apply to each row the steps of all its matched flows, in configured order.
 
-    A row matches flows of its own row type only, so the first steps of all row
-    types share one round, the second steps the next, and so on: the number of
-    projections is that of the longest list, not of all steps together.
+    A flow starts in the round after the last step of the flows before it that
+    may match the same row. Flows of different row types, and flows that compare
+    one path with different values, cannot, so they share rounds: the number of
+    projections is that of the longest chain, not of all steps together.
     """
-    by_type: dict[str, list[tuple[int, Step]]] = {}
+    rounds: list[list[tuple[str, int, Step]]] = []
+    ends: list[int] = []
     for i, flow in enumerate(config.flows):
-        by_type.setdefault(flow.row_type, []).extend((i, step) for step in flow.steps)
-    rounds = zip_longest(*[[(row_type, *s) for s in steps] for row_type, steps in by_type.items()])
+        start = max((end for end, other in zip(ends, config.flows) if not exclusive(flow, other)), default=0)
+        ends.append(start + len(flow.steps))
+        rounds += [[] for _ in range(ends[-1] - len(rounds))]
+        for n, step in enumerate(flow.steps):
+            rounds[start + n].append((flow.row_type, i, step))
     for round_ in rounds:
-        events = _advance(events, [s for s in round_ if s is not None], zero_is_false)
+        events = _advance(events, round_, zero_is_false)
     return events
 
 
+def exclusive(a: Flow, b: Flow) -> bool:
+    """Whether no row can match both: of different types, or one path compared with different values."""
+    if a.row_type != b.row_type:
+        return True
+    compared = {c.path: c.matcher.value for c in a.conditions if isinstance(c.matcher, Compare)}
+    return any(
+        isinstance(c.matcher, Compare) and c.path in compared and c.matcher.value != compared[c.path] for c in b.conditions
+    )
+
+
 def apply_payload_steps(events: DataFrame, steps: list[Step], row_type: str, zero_is_false: bool = False) -> DataFrame:
     """Apply steps to the typed payload of rows of one type, whatever flows they match."""
     staged = events.withColumn("matched", F.expr(f"array(row_type <=> {V.quote(row_type)})"))
@@ -104,7 +118,9 @@ def _advance(events: DataFrame, round_: list[tuple[str, int, Step]], zero_is_fal
         return f"CASE {' '.join(done)} ELSE {kept} END"
 
     values = {n: chosen(n, f"payload.{n}") if n in by_slot else f"payload.{n}" for n in EVENT_FIELDS}
-    payload = f"CASE WHEN payload IS NOT NULL THEN {payload_struct(**values)} END"
+    # A row that no step of the round is for keeps its payload as it is, not a copy of it.
+    touched = " OR ".join(f"{r} IS NOT NULL" for r in results)
+    payload = f"CASE WHEN payload IS NOT NULL AND ({touched}) THEN {payload_struct(**values)} ELSE payload END"
     if access.WHOLE in by_slot:
         payload = chosen(access.WHOLE, payload)
     return (

@@ -11,6 +11,8 @@ import re
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark.sql import SparkSession
+
 from ..functions.schema_keys import SchemaPattern
 from ..operators.edits import CAST_TYPES, json_value
 
@@ -98,6 +100,68 @@ class Config:
         return tuple(dict.fromkeys(f.pattern for f in self.flows))
 
 
+def check_patterns(config: Config, spark: SparkSession) -> None:
+    """Compile every regular expression with the engine that will run it, and hold replacements against its groups.
+
+    What does not compile raises `ConfigError` here, on the driver, and not in a
+    task. Paths that name nothing are refused as well.
+    """
+    java = spark._jvm.java.util.regex.Pattern
+
+    def compiled(regex: str, where: str) -> Any:
+        try:
+            return java.compile(regex)
+        except Exception as e:
+            raise ConfigError(f"{where}: not a pattern: {regex}") from e
+
+    def path(text: str, where: str) -> None:
+        segments = _path_parts(text)
+        if not segments:
+            raise ConfigError(f"{where}: names nothing: {text}")
+        for regex in segments:
+            if regex is not None:
+                compiled(regex, where)
+
+    for flow in config.flows:
+        for condition in flow.conditions:
+            path(condition.path, f"{flow.name}, condition")
+            if isinstance(condition.matcher, Regex):
+                compiled(condition.matcher.regex, f"{flow.name}, {condition.path}")
+        for step in flow.steps:
+            where = f"{flow.name}, {step.path}"
+            path(step.path, where)
+            if isinstance(step, (Replace, Remove)) and step.match is not None:
+                found = compiled(step.match, where)
+                value = step.value if isinstance(step, Replace) else ""
+                if isinstance(value, str):
+                    _check_replacement(value, found.matcher("").groupCount(), step.match, where)
+
+
+def _check_replacement(value: str, groups: int, regex: str, where: str) -> None:
+    """A `$` has to name a group of the pattern, a backslash has to stand before the character it escapes."""
+    at = 0
+    while at < len(value):
+        if value[at] == "\\":
+            if at + 1 == len(value):
+                raise ConfigError(f"{where}: the value ends in a backslash")
+            at += 2
+        elif value[at] == "$":
+            rest = value[at + 1 :]
+            named = re.match(r"\{([A-Za-z][A-Za-z0-9]*)\}", rest)
+            if named and f"(?<{named[1]}>" not in regex or not named and not (rest[:1].isascii() and rest[:1].isdigit() and int(rest[0]) <= groups):
+                raise ConfigError(f"{where}: `$` names no group of {regex}")
+            at += 2
+        else:
+            at += 1
+
+
+def _path_parts(text: str) -> list[str | None]:
+    """One item per segment of a path: its regular expression, if it filters."""
+    from ..operators.paths import Where, tokenize
+
+    return [s.regex if isinstance(s, Where) else None for s in tokenize(text)]
+
+
 def load_config(text: str) -> Config:
     """Configuration from its JSON text `{schema, data: {pattern: [flow, ...]}}`."""
     try:

@@ -2,19 +2,41 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.variants import Sql, configure
 from ..operators.decode import decode_events
-from ..operators.outcomes import FAILED, RECOVERED, UNRECOVERABLE, classify, error_rows, summary_columns
+from ..operators.outcomes import FAILED, RECOVERED, UNRECOVERABLE, classify, error_rows, metrics_frame, summary, summary_columns
 from ..operators.recover import recover
 from ..operators.requests import to_request
-from ..sources.files import default_error_bases, read_failed_events, write_errors, write_recovered
-from .config import Config
+from ..sources.files import default_error_bases, read_failed_events, to_stream_records, write_errors, write_recovered
+from .config import Config, check_patterns
+
+@dataclass(frozen=True)
+class Reports:
+    """What a job gives besides its three sinks, each written by a function that takes the frame.
+
+    `metrics` gets the counters, named after `namespace` and `dimensions` (none
+    without a namespace); `records` gets the rows for a message sink `topic`.
+    """
+
+    metrics: Callable[[DataFrame], None] | None = None
+    namespace: str | None = None
+    dimensions: Mapping[str, str] | None = None
+    records: Callable[[DataFrame], None] | None = None
+    topic: str | None = None
+
+    def write(self, outcomes: DataFrame) -> None:
+        if self.metrics is not None and self.namespace:
+            self.metrics(metrics_frame(summary(outcomes), self.namespace, self.dimensions))
+        if self.records is not None:
+            self.records(to_stream_records(outcomes, self.topic))
+
 
 STAGED = ("status", "request", "error_row", "err_code", "flows", "row_type")
 
@@ -27,15 +49,23 @@ def execute(
     Narrow from end to end: no shuffle, no Python per row; the same for a batch
     and for a stream.
     """
-    configure(lines.sparkSession)
+    check_patterns(config, configure(lines.sparkSession))
     recovered = recover(decode_events(lines, column), config, zero_is_false)
     return error_rows(classify(to_request(recovered)), now)
 
 
 def staging_dir(spark: SparkSession) -> str:
-    """A new folder in the shared place the cluster names for checkpoints."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(shared or tempfile.gettempdir()).rstrip('/')}/rowmend-{uuid.uuid4().hex}"
+    """A new folder in the shared place the cluster names for checkpoints; without one there is no place to stage."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        raise ValueError("set spark.checkpoint.dir, or give a staging folder that driver and executors share")
+    return f"{shared.rstrip('/')}/rowmend-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the job itself made."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def stage(events: DataFrame, path: str) -> DataFrame:
@@ -45,7 +75,8 @@ def stage(events: DataFrame, path: str) -> DataFrame:
     files, never a second recovery of the input.
     """
     staged = events.withColumn("err_code", F.col("err")["code"]).select(*STAGED)
-    staged.write.mode("overwrite").partitionBy("status").parquet(path)
+    # Static: a status that a replay lacks must not keep the rows of the earlier try.
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("status").parquet(path)
     return events.sparkSession.read.schema(staged.schema).parquet(path)
 
 
@@ -57,18 +88,24 @@ def run_batch(
     failed: str | None = None,
     unrecoverable: str | None = None,
     staging: str | None = None,
+    reports: Reports | None = None,
 ) -> dict[str, int]:
     """Batch job over a folder of lines; gives the counts per outcome.
 
     The recovery is computed in one pass over the input. Counting the staged
-    rows reads file footers only.
+    rows reads file footers only. The staged copy is removed when all sinks are
+    written; after a failure it stays, for a look at it.
     """
     failed, unrecoverable = default_error_bases(source, failed, unrecoverable)
-    outcomes = stage(execute(read_failed_events(spark, source), config), staging or staging_dir(spark))
+    where = staging or staging_dir(spark)
+    outcomes = stage(execute(read_failed_events(spark, source), config), where)
     counts = outcomes.agg(*summary_columns()).first().asDict()
-    write_recovered(outcomes, recovered)
+    write_recovered(outcomes, recovered, rows=counts[RECOVERED])
     if counts[FAILED]:
         write_errors(outcomes, failed, FAILED)
     if counts[UNRECOVERABLE]:
         write_errors(outcomes, unrecoverable, UNRECOVERABLE)
+    if reports is not None:
+        reports.write(outcomes)
+    remove_dir(spark, where)
     return {s: counts[s] for s in (RECOVERED, FAILED, UNRECOVERABLE)}

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import wire
 from ..functions.variants import configure
 from ..operators.outcomes import FAILED, RECOVERED, UNRECOVERABLE, partition_key
 
+#: Folders of recovered requests, rows that make a file of good size, and most tasks that write them.
+VENDOR_BUCKETS = 64
+ROWS_PER_FILE = 1_000_000
+MOST_TASKS = 10_000
+
 # --- sources ------------------------------------------------------------------
 
 
@@ -28,22 +33,9 @@ def stream_failed_events(spark: SparkSession, path: str, max_files_per_trigger:
 # --- output paths -------------------------------------------------------------
 
 
-def trim_dir(directory: Column) -> Column:
-    """Without `*`, outer blanks and one closing `/`."""
-    return F.regexp_replace(F.trim(F.translate(directory, "*", "")), "/$", "")
-
-
-def output_dir(directory: str) -> str:
-    """`trim_dir` for a path known when the job is set up."""
-    return directory.replace("*", "").strip().removesuffix("/")
-
-
-def failed_path(directory: Column) -> Column:
-    return F.concat(trim_dir(directory), F.lit("/unrecovered"))
-
-
-def unrecoverable_path(directory: Column) -> Column:
-    return F.concat(trim_dir(directory), F.lit("/unrecoverable"))
+def below(directory: str, name: str) -> str:
+    """A folder in another, which may end in `/` or `/*` and have blanks around it."""
+    return directory.replace("*", "").strip().removesuffix("/") + "/" + name
 
 
 def error_dir(base: str) -> str:
@@ -52,9 +44,8 @@ def error_dir(base: str) -> str:
 
 
 def default_error_bases(source: str, failed: str | None = None, unrecoverable: str | None = None) -> tuple[str, str]:
-    """Where failed and unrecoverable rows go when not told: beside the input."""
-    failed = failed or output_dir(source) + "/unrecovered"
-    return failed, unrecoverable or output_dir(failed) + "/unrecoverable"
+    """Where failed and unrecoverable rows go: as told, or else below the input; unrecoverable ones below a told failed folder."""
+    return failed or below(source, "unrecovered"), unrecoverable or below(failed or source, "unrecoverable")
 
 
 # --- sinks --------------------------------------------------------------------
@@ -80,16 +71,32 @@ def to_stream_records(events: DataFrame, topic: str | None = None) -> DataFrame:
 
 
 def recovered_records(events: DataFrame) -> DataFrame:
-    """Recovered requests as columns, with the vendor they are filed under."""
-    vendor = F.split(F.col("request")["path"], "/")
-    return events.filter(F.col("status") == RECOVERED).select(
-        "request.*", F.coalesce(F.get(vendor, F.lit(1)), F.lit("")).alias("vendor")
+    """Recovered requests as columns, with their vendor and the folder number it is filed under.
+
+    Vendors come from the paths of rejected traffic, so there may be any number
+    of them. A folder for each would have no bound; a hash of the vendor has.
+    """
+    vendor = F.coalesce(F.get(F.split(F.col("request")["path"], "/"), F.lit(1)), F.lit(""))
+    return (
+        events.filter(F.col("status") == RECOVERED)
+        .select("request.*", vendor.alias("vendor"))
+        .withColumn("vendor_bucket", F.pmod(F.xxhash64("vendor"), F.lit(VENDOR_BUCKETS)).cast("int"))
     )
 
 
-def write_recovered(events: DataFrame, path: str, mode: str = "append") -> None:
-    """Recovered requests to Parquet, one folder per vendor."""
-    recovered_records(events).write.mode(mode).partitionBy("vendor").parquet(path)
+def write_recovered(events: DataFrame, path: str, mode: str = "append", rows: int | None = None) -> None:
+    """Recovered requests to Parquet, VENDOR_BUCKETS folders at most.
+
+    With the number of `rows`, a folder's rows are dealt to one task for each
+    ROWS_PER_FILE of all rows, so files are neither small nor, for a vendor with
+    most of the rows, written by one task.
+    """
+    records = recovered_records(events)
+    if rows is not None:
+        parts = max(1, -(-rows // ROWS_PER_FILE))
+        salt = F.pmod(F.xxhash64(*records.columns), F.lit(parts))
+        records = records.repartition(min(parts * VENDOR_BUCKETS, MOST_TASKS), "vendor_bucket", salt)
+    records.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("vendor_bucket").parquet(path)
 
 
 def write_errors(events: DataFrame, base: str, status: str, mode: str = "append") -> None:

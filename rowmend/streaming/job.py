@@ -12,8 +12,8 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.outcomes import FAILED, RECOVERED, STATUSES, UNRECOVERABLE, summary_columns
 from ..plans.config import Config
-from ..plans.recovery import execute, stage
-from ..sources.files import error_dir, recovered_records, stream_failed_events
+from ..plans.recovery import Reports, execute, stage
+from ..sources.files import error_dir, stream_failed_events, write_recovered
 
 COUNTERS = "outcomes"
 
@@ -27,8 +27,8 @@ def batch_paths(out: str, batch_id: int) -> dict[str, str]:
     }
 
 
-def write_batch(outcomes: DataFrame, batch_id: int, out: str) -> None:
-    """Write the outcomes of one micro-batch, replacing an earlier try of the same batch.
+def write_batch(outcomes: DataFrame, batch_id: int, out: str) -> DataFrame:
+    """Write the outcomes of one micro-batch, replacing an earlier try of the same batch; gives the staged outcomes.
 
     The batch is staged once next to its output and the three sinks read it
     from there, so a lost executor never repeats the recovery work. Batches of
@@ -36,10 +36,11 @@ def write_batch(outcomes: DataFrame, batch_id: int, out: str) -> None:
     """
     paths = batch_paths(out, batch_id)
     staged = stage(outcomes, f"{out}/_staged")
-    recovered_records(staged).write.mode("overwrite").partitionBy("vendor").parquet(paths[RECOVERED])
+    write_recovered(staged, paths[RECOVERED], "overwrite")
     for status in (FAILED, UNRECOVERABLE):
         rows = staged.filter(F.col("status") == status).select(F.col("error_row").alias("value"))
         rows.write.mode("overwrite").text(paths[status])
+    return staged
 
 
 def stream_recover(
@@ -51,20 +52,24 @@ def stream_recover(
     trigger: dict[str, Any] | None = None,
     max_files_per_trigger: int | None = None,
     on_batch: Callable[[DataFrame, int], None] | None = None,
+    reports: Reports | None = None,
 ) -> StreamingQuery:
     """Recover a stream of files into three folders below `out`.
 
     `checkpoint` keeps which files were read; with the per-batch folders each
     input line has its outcome exactly once. The counts are observed in the
-    same pass under the name `outcomes`.
+    same pass under the name `outcomes`. `on_batch` and `reports` get the staged
+    outcomes of a micro-batch, so they repeat no recovery.
     """
     lines = stream_failed_events(spark, source, max_files_per_trigger)
     outcomes = execute(lines, config).observe(COUNTERS, *summary_columns())
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, out)
+        staged = write_batch(batch, batch_id, out)
+        if reports is not None:
+            reports.write(staged)
         if on_batch is not None:
-            on_batch(batch, batch_id)
+            on_batch(staged, batch_id)
 
     return (
         outcomes.writeStream.foreachBatch(sink)
@@ -75,9 +80,14 @@ def stream_recover(
 
 
 class LiveCounters(StreamingQueryListener):
-    """Running counts per outcome, fed by the observed metrics of each micro-batch."""
+    """Running counts per outcome of one query, fed by the observed metrics of each micro-batch.
 
-    def __init__(self) -> None:
+    Without the id of a query (`StreamingQuery.id`, as text) all queries that
+    observe outcomes add up.
+    """
+
+    def __init__(self, query_id: str | None = None) -> None:
+        self.query_id = query_id
         self.counts = dict.fromkeys(STATUSES, 0)
         self._ended = threading.Event()
 
@@ -90,7 +100,7 @@ class LiveCounters(StreamingQueryListener):
 
     def onQueryProgress(self, event: Any) -> None:
         observed = event.progress.observedMetrics.get(COUNTERS)
-        if observed is not None:
+        if observed is not None and self.query_id in (None, str(event.progress.id)):
             for status in STATUSES:
                 self.counts[status] += observed[status] or 0
 
@@ -98,4 +108,5 @@ class LiveCounters(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event: Any) -> None:
-        self._ended.set()
+        if self.query_id in (None, str(event.id)):
+            self._ended.set()

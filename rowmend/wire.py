@@ -64,9 +64,13 @@ MESSAGES = {
     "FailedToMatchConfiguration": (
         "Failed to load recovery configuration for %s. No schema-configuration mapping found."  # schema
     ),
-    "UnrecoverableBadRowType": "Failed to recover bad row of type %s.",  # row type
     "ReplacementFailure": "Failed to replace %s with %s in %s",  # match, value, data
     "CastFailure": "Failed to cast %s from %s to %s",  # data, from, to
+}
+
+# --- our own error messages: where the original text names classes of its runtime, which mean nothing here ---
+MESSAGES |= {
+    "UnrecoverableBadRowType": "Failed to recover bad row of type %s.",  # row type
     "AdditionFailure": "Failed to add %s to path %s on %s",  # value, path, data
     "UncoerciblePayload": "Unable to coerce payload to a collector request: %s. Data: %s",  # reason, data
     "UncocoerciblePayload": "Unable to read payload from a collector request: %s. Data: %s",  # reason, data
