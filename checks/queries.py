@@ -717,7 +717,7 @@ def _(spark, sf_dir):
     "replace_scalar",
     with_facts(
         """SELECT event_id, CASE WHEN event_id % 6 = 2 THEN 7 WHEN event_id % 6 = 4 THEN NULL END AS number,
-        CASE WHEN event_id % 6 IN (1, 5) THEN 'ReplacementFailure' END AS number_code,
+        CASE WHEN event_id % 6 IN (1, 4, 5) THEN 'ReplacementFailure' END AS number_code,
         CASE WHEN event_id % 6 = 1 THEN true END AS flag,
         CASE WHEN event_id % 6 IN (2, 5) THEN 'ReplacementFailure' END AS flag_code FROM f"""
     ),
@@ -731,8 +731,6 @@ def _(spark, sf_dir):
         .drop("err")
         .withColumn("document", F.col("kept"))
     )
-    # An array and a pattern give the text of the number, which is no array.
-    number = number.withColumn("number_code", F.expr("CASE WHEN event_id % 6 <> 4 THEN number_code END"))
     flag = T.replace(number, "$.v", True)
     return flag.select(
         "event_id",
@@ -838,12 +836,14 @@ def _(spark, sf_dir):
     "cast_string",
     with_facts(
         """SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'null' WHEN 1 THEN CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END
-          WHEN 3 THEN '"' || et || '"' WHEN 4 THEN '[' || k || ',' || uid || ']' END AS value, CAST(NULL AS VARCHAR) AS code FROM f"""
+          WHEN 2 THEN CAST(CAST(val AS DECIMAL(18, 2)) AS VARCHAR) WHEN 3 THEN '"' || et || '"' WHEN 4 THEN '[' || k || ',' || uid || ']'
+          ELSE '{"k":' || k || ',"t":"' || et || '"}' END AS value, CAST(NULL AS VARCHAR) AS code FROM f"""
     ),
 )
 def _(spark, sf_dir):
     done = T.cast(values(spark, sf_dir), "$.v", "Numeric", "String")
-    return _stepped(done, value=f"CASE WHEN event_id % 6 NOT IN (2, 5) THEN CAST({_V} AS STRING) END")
+    shown = f"CASE WHEN event_id % 6 = 2 THEN CAST(CAST(CAST({_V} AS STRING) AS DECIMAL(18, 2)) AS STRING) ELSE CAST({_V} AS STRING) END"
+    return _stepped(done, value=shown)
 
 
 @check(
@@ -916,7 +916,8 @@ def _(spark, sf_dir):
 @check(
     "step_chain",
     with_facts(
-        """SELECT event_id, CASE WHEN event_id % 6 IN (0, 3) THEN 'two' WHEN event_id % 6 = 4 THEN '["one"]' END AS value,
+        """SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'two' WHEN 3 THEN 'two' WHEN 4 THEN '["one"]'
+          WHEN 1 THEN CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END WHEN 5 THEN '{"k":' || k || ',"t":"' || et || '"}' END AS value,
         CASE WHEN event_id % 6 IN (1, 2) THEN 'ReplacementFailure' WHEN event_id % 6 = 5 THEN 'InvalidJsonFormat'
           ELSE 'CastFailure' END AS code FROM f"""
     ),
@@ -928,9 +929,8 @@ def _(spark, sf_dir):
     done = T.apply_steps(values(spark, sf_dir), chain)
     return _stepped(
         done,
-        value=f"CASE {_KIND} WHEN 's' THEN CASE WHEN event_id % 6 IN (0, 3) THEN CAST({_V} AS STRING) END"
-        f" WHEN 'a' THEN CASE WHEN err.code = 'CastFailure' THEN to_json({_V}) END END",
-    ).withColumn("value", F.expr("CASE WHEN value = '[\"one\"]' OR value = 'two' THEN value END"))
+        value=f"CASE {_KIND} WHEN 's' THEN CAST({_V} AS STRING) WHEN 'd' THEN NULL ELSE to_json({_V}) END",
+    )
 
 
 @check(
