@@ -6,6 +6,7 @@ import json
 import os
 import statistics
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as X
 from rowmend import configure, decode_events, execute, match_flows, parse_events
 from rowmend.operators.steps import apply_payload_steps
-from rowmend.plans.config import Replace
+from rowmend.plans.config import Config, Replace, load_config
 from rowmend.plans.recovery import stage
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -35,6 +36,30 @@ def session() -> SparkSession:
     return configure(spark)
 
 
+def planned(make: Callable[[], DataFrame]) -> float:
+    """Seconds to build a frame and plan it, without running it."""
+    start = time.perf_counter()
+    make()._jdf.queryExecution().executedPlan()
+    return round(time.perf_counter() - start, 3)
+
+
+def many_flows(count: int) -> Config:
+    """Flows of two steps for one row type, told apart by the vendor."""
+    flows = [
+        {
+            "name": f"flow{i}",
+            "conditions": [{"op": "Test", "path": "$.payload.raw.vendor", "value": {"value": f"vendor{i}"}}],
+            "steps": [
+                {"op": "Replace", "path": "$.raw.refererUri", "value": f"to{i}"},
+                {"op": "Replace", "path": "$.raw.parameters.cx.data.[1].schema", "value": f"s{i}"},
+            ],
+        }
+        for i in range(count)
+    ]
+    data = {X.schema_of("schema_violations", "*-*-*"): flows}
+    return load_config(json.dumps({"schema": "iglu:com.acme/bench/jsonschema/1-0-0", "data": data}))
+
+
 def timed(frame: DataFrame) -> float:
     """Median time of writing a frame nowhere, after one warm-up run."""
     seconds = []
@@ -66,6 +91,14 @@ def main() -> None:
         "full_job": execute(lines, config).select("status", "request", "error_row"),
     }
     seconds = {name: round(timed(frame), 3) for name, frame in frames.items()}
+    def whole(used: Config) -> DataFrame:
+        return execute(lines, used).select("status", "request", "error_row")
+
+    planning = {"full_job": planned(lambda: whole(config))}
+    for flows in (20, 40):
+        used = many_flows(flows)
+        planning[f"flows_{flows}"] = planned(lambda used=used: whole(used))
+        seconds[f"flows_{flows}"] = round(timed(whole(used)), 3)
     start = time.perf_counter()
     staged = stage(execute(lines, config), X.scratch_dir(spark))
     staged.groupBy("status").agg(F.count("*")).collect()
@@ -77,6 +110,7 @@ def main() -> None:
                 "value": seconds["full_job"],
                 "unit": "sec",
                 "queries": seconds,
+                "planning": planning,
                 "sf": SF_DIR.rsplit("sf", 1)[-1],
                 "lines": count,
                 "lines_per_second": round(count / seconds["full_job"]),
