@@ -9,7 +9,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from llm.columns import flat, over_chunks, staged
 from llm.components import connected_components
@@ -186,9 +185,10 @@ def grouped(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row.
 
     Null, empty and wordless texts have no shingles and stand alone. Texts of equal sets are copies and link at once. Rows
-    that share a doc_id count as one document, which has the links of all its texts."""
+    that share a doc_id count as one document, which has the links of all its texts. Rows without a doc_id link with nothing:
+    their component is null, and they are kept."""
     found = staged(signatures(docs))
-    some = found.where("n_shingles > 0")
+    some = found.where("n_shingles > 0 AND doc_id IS NOT NULL")
     copies = some.groupBy("set_a", "set_b").agg(F.min(F.struct("doc_id", "n_shingles", "bands")).alias("one"))
     copies = staged(copies.select("set_a", "set_b", F.col("one.doc_id").alias("node"), F.col("one.n_shingles").alias("n_shingles"), F.col("one.bands").alias("bands")))
     # the texts of one doc_id are joined by links to its first set
@@ -196,8 +196,8 @@ def grouped(docs: DataFrame) -> DataFrame:
     own = some.join(shared_ids, "doc_id").join(copies.select("set_a", "set_b", "node"), ["set_a", "set_b"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     joined = connected_components(links(docs, copies).union(own))
     of_set = copies.select("set_a", "set_b", "node").join(joined, "node", "left").select("set_a", "set_b", F.coalesce("component", "node").alias("__component"))
-    component = F.coalesce(F.col("__component"), F.col("doc_id"))
-    return found.join(of_set, ["set_a", "set_b"], "left").select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.col("__component"), F.col("doc_id")))
+    return found.join(of_set, ["set_a", "set_b"], "left").select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

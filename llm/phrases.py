@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from llm.anchors import cover, owned_runs, runs
 from llm.columns import flat, over_chunks, staged
-from llm.exact_dups import groups, keyed
+from llm.exact_dups import ANCHOR_BYTES, groups, keyed
 from llm.hashing import byte_values, prefix, stretches, word_bounds
 
 #: Words of a phrase, and of the grams among which its anchor is chosen.
@@ -85,8 +85,8 @@ def recurring_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, mos
         return {"doc_id": chunk.column("doc_id").take(row), "key": chunk.column("key").take(row), "n": chunk.column("n").take(row), "lo": found["lo"].astype(np.int32), "size": found["size"].astype(np.int32), "hash": found["hash"], "segment": found["segment"]}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    all_runs = over_chunks(texts.where(F.col("n") >= 2 * window - 1), ["doc_id", "key", "n", "text"], anchors, f"doc_id {kind}, key long, n long, lo int, size int, hash long, segment long")
-    across = all_runs.groupBy("hash").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.min("segment").alias("a"), F.max("segment").alias("b")).where("first_doc < last_doc")
+    all_runs = over_chunks(texts.where((F.col("n") >= 2 * window - 1) & F.col("doc_id").isNotNull()), ["doc_id", "key", "n", "text"], anchors, f"doc_id {kind}, key long, n long, lo int, size int, hash long, segment long", ANCHOR_BYTES)
+    across = staged(all_runs.groupBy("hash").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.min("segment").alias("a"), F.max("segment").alias("b")).where("first_doc < last_doc"))
     shared = staged(all_runs.join(across.select("hash", "first_doc", (F.col("a") == F.col("b")).alias("alike")), "hash"))
 
     # where an anchor's segments are all alike, all but the first document's go; others are compared, one of each kind
@@ -178,7 +178,8 @@ def removal_digests(docs: DataFrame, window: int = WINDOW, **options: int) -> Da
     """doc_id, n_words, n_removed and kept_sha256 (of the kept words, joined by single spaces) for every row.
 
     A word goes if a phrase of `window` words covers it that also starts in a text of smaller doc_id. Null counts as
-    empty; shorter texts lose nothing; rows that share a doc_id take nothing from each other."""
+    empty; shorter texts lose nothing; rows that share a doc_id take nothing from each other, and rows without one take and
+    lose nothing."""
 
     def work(chunk: pa.RecordBatch) -> dict[str, object]:
         total, removed, digests = [], [], []

@@ -106,6 +106,20 @@ def test_recurring_words(spark, most):
     assert rows_of(found) == plain.recurring_words(rows, 12)
 
 
+def test_rows_without_ids(spark):
+    text = " ".join(f"w{i}" for i in range(70))
+    docs = spark.createDataFrame([(None, text), (2, text), (None, text), (1, text)], DOCS)
+    near = sorted(map(str, near_dups.grouped(docs).select("doc_id", "component_id", "kept").collect()))
+    assert near == sorted(map(str, [near_row(spark, *x) for x in [(None, None, True), (None, None, True), (1, 1, True), (2, 1, False)]]))
+    gone = sorted((r["doc_id"] or 0, r["n_removed"]) for r in phrases.removal_digests(docs).collect())
+    assert gone == [(0, 0), (0, 0), (1, 0), (2, 70)]
+    assert {r["n_removed"] for r in exact_dups.removal_digests(docs).collect()} == {len(text)}
+
+
+def near_row(spark, doc_id, component_id, kept):
+    return spark.createDataFrame([(doc_id, component_id, kept)], "doc_id long, component_id long, kept boolean").first()
+
+
 def test_automata_in_shards(monkeypatch):
     monkeypatch.setattr(phrases, "MOST_PHRASES", 2)
     segments = ["abcdefgh", "xabcdefy", "zzcdefgh", "q"]
