@@ -21,6 +21,8 @@ WINDOW = 200
 GRAM = 32
 #: Segments of one anchor that a task compares. Beyond, they are cut into single windows, each a key of its own.
 MOST_SEGMENTS = 20_000
+#: Bytes of text whose anchors are found at once: some hundred times as many are held meanwhile.
+ANCHOR_BYTES = 1 << 20
 #: Bytes of segments that are sorted at once.
 SORTED_BYTES = 1 << 20
 
@@ -67,8 +69,8 @@ def repeated_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, most
         row = pa.array(found["text"])
         return {"key": chunk.column("key").take(row), "n": chunk.column("n").take(row), "lo": found["lo"].astype(np.int32), "size": found["size"].astype(np.int32), "hash": found["hash"], "segment": found["segment"]}
 
-    all_runs = over_chunks(texts.where(F.col("n") >= window), ["key", "n", "text"], anchors, "key long, n long, lo int, size int, hash long, segment long")
-    twice = all_runs.groupBy("hash").agg(F.count("*").alias("times"), F.min("segment").alias("a"), F.max("segment").alias("b")).where("times > 1")
+    all_runs = over_chunks(texts.where(F.col("n") >= window), ["key", "n", "text"], anchors, "key long, n long, lo int, size int, hash long, segment long", ANCHOR_BYTES)
+    twice = staged(all_runs.groupBy("hash").agg(F.count("*").alias("times"), F.min("segment").alias("a"), F.max("segment").alias("b")).where("times > 1"))
     shared = staged(all_runs.join(twice.select("hash", (F.col("a") == F.col("b")).alias("alike")), "hash"))
 
     # segments of one anchor that are all alike repeat as a whole; others are compared, one of each kind
