@@ -42,8 +42,8 @@ def strings(texts: pa.Array) -> list[str]:
     return [x or "" for x in texts.to_pylist()]
 
 
-def over_chunks(docs: DataFrame, columns: list[str], work: Callable[[pa.RecordBatch], dict[str, object]], schema: str | T.StructType) -> DataFrame:
-    """`work` over chunks of the named columns, within the partitions that there are: no shuffle.
+def over_chunks(docs: DataFrame, columns: list[str], work: Callable[[pa.RecordBatch], dict[str, object]], schema: str | T.StructType, limit: int = CHUNK_BYTES) -> DataFrame:
+    """`work` over chunks of the named columns with about `limit` bytes of text, within the partitions that there are: no shuffle.
 
     It gets a record batch and gives one array or list for each column of `schema`, in that order."""
     shape = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -52,7 +52,7 @@ def over_chunks(docs: DataFrame, columns: list[str], work: Callable[[pa.RecordBa
         from pyspark.sql.pandas.types import to_arrow_schema
 
         kinds = to_arrow_schema(shape)
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, limit=limit):
             made = work(chunk)
             yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(made.values(), kinds, strict=True)], schema=kinds)
 
