@@ -156,7 +156,7 @@ def _segments(texts: DataFrame, window: int, kind: str) -> DataFrame:
             "start": np.r_[np.zeros(len(whole), np.int32), start.astype(np.int32)], "window_hash": np.r_[np.zeros(len(whole), np.int64), hashes],
         }
 
-    return over_chunks(texts, ["text", "wanted"], read, f"hash long, segment long, first_doc {kind}, segment_text binary, start int, window_hash long")
+    return over_chunks(texts, ["text", "wanted"], read, f"hash long, segment long, first_doc {kind}, segment_text binary, start int, window_hash long", ANCHOR_BYTES)
 
 
 def _removed(chunk: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
