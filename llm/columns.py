@@ -75,6 +75,8 @@ def staged(frame: DataFrame) -> DataFrame:
     Files stay until the cluster clears its checkpoint folder, as the result is read after this returns."""
     path = shared_dir(frame.sparkSession)
     frame.write.parquet(path)
+    # The finished job's shuffle files go when the driver next collects its garbage; asking for that keeps the disk small.
+    frame.sparkSession.sparkContext._jvm.System.gc()
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
