@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from llm import near_dups, packing, phrases, secrets, toxicity
 from llm.columns import staged
 
+#: Documents whose five-word shingles are alike to this percent or more are near duplicates here; op3_near_dups links from 85.
+NEAR_PERCENT = 80
+
 
 def _counted(docs: DataFrame) -> DataFrame:
     """n_chars of the text as it is now, in the type it had."""
@@ -28,7 +31,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest doc_id stays."""
-    return near_dups.one_of_each(docs)
+    return near_dups.one_of_each(docs, NEAR_PERCENT)
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

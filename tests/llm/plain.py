@@ -58,7 +58,7 @@ def recurring_words(rows, window):
     return sorted(out)
 
 
-def near_duplicates(rows):
+def near_duplicates(rows, percent=85):
     sets = []
     for _, t in rows:
         w = WORD.findall((t or "").translate(LOWER))
@@ -73,7 +73,7 @@ def near_duplicates(rows):
     for i, a in enumerate(sets):
         for j in range(i):
             shared = len(a & sets[j])
-            if shared and 100 * shared >= 85 * len(a | sets[j]):
+            if shared and 100 * shared >= percent * len(a | sets[j]):
                 x, y = find(rows[i][0]), find(rows[j][0])
                 parent[max(x, y)] = min(x, y)
     return sorted((d, len(s), find(d), find(d) == d) for (d, _), s in zip(rows, sets, strict=True))

@@ -188,6 +188,24 @@ def test_near_duplicates(spark, monkeypatch, block):
     assert sorted(r["doc_id"] for r in left.collect()) == [d for d, _, _, kept in wanted if kept]
 
 
+def test_pipeline_links_from_80_percent(spark):
+    # of n shingles the last k differ: similarity (n - k) / (n + k)
+    pairs = {(96, 8): 0.846, (96, 9): 0.828, (96, 10): 0.811, (90, 10): 0.8, (96, 11): 0.794, (900, 100): 0.8, (900, 101): 0.798, (900, 74): 0.848, (900, 72): 0.851}
+    rows = []
+    for i, (n, k) in enumerate(pairs):
+        w = [f"d{i}w{j}" for j in range(n + 4)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join([*w[:-k], *(f"e{i}w{j}" for j in range(k))]))]
+    docs = spark.createDataFrame(rows, DOCS)
+    evens = set(range(0, 2 * len(pairs), 2))
+    kept = lambda least: sorted(evens | {2 * i + 1 for i, x in enumerate(pairs.values()) if x < least})
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()) == kept(0.8)
+    assert sorted(r["doc_id"] for r in near_dups.grouped(docs).where("kept").collect()) == kept(0.85)
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    left = corpus_pipeline.drop_near_duplicates(spark, table, "")
+    assert sorted(r["doc_id"] for r in left.collect()) == [d for d, _, _, kept in plain.near_duplicates([*map(tuple, table.collect())], 80) if kept]
+    assert near_dups.collections(85) == 12 and near_dups.missed(80, near_dups.collections(80)) < 1e-5
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(200, 230)] + [(rng.randint(0, 80), rng.randint(0, 80)) for _ in range(50)] + [(5, 5), (0, 100), (100, 0)]
