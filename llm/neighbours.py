@@ -154,9 +154,12 @@ def lists(x: np.ndarray) -> pa.ListArray:
 
 
 def best_pairs(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each query the k rows of largest cosine, ties to smaller ids; rows that share the query's id are left out."""
+    """Of each query the k rows of largest cosine, ties to smaller ids; rows that share the query's id are left out.
+
+    Rows of one id and score count once, so as many more are looked at as ids repeat."""
     order = np.argsort(ids, kind="stable")
     ids, rows = ids[order], rows[order]
+    most = k + int((ids[1:] == ids[:-1]).sum())
     lengths, unit = np.sqrt((rows * rows).sum(1)), units(rows)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for at in range(0, len(queries), 256):
@@ -164,11 +167,15 @@ def best_pairs(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows
         q_length = np.sqrt((q * q).sum(1))
         scores = (q / q_length[:, None]) @ unit.T
         scores[q_ids[:, None] == ids[None, :]] = -np.inf
-        last = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(q), -2.0)
+        last = np.partition(scores, len(ids) - most, axis=1)[:, len(ids) - most] if len(ids) > most else np.full(len(q), -2.0)
         for i in range(len(q)):
             near = np.flatnonzero(scores[i] >= max(last[i] - CLOSE, -2.0))
             exact = (rows[near] * q[i]).sum(1) / (lengths[near] * q_length[i])
-            top = np.lexsort((ids[near], -exact))[:k]
+            top = np.lexsort((ids[near], -exact))
+            if most > k:
+                a, b = ids[near][top], exact[top]
+                top = top[np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(top)]]
+            top = top[:k]
             out.append((np.full(len(top), q_ids[i]), ids[near][top], exact[top]))
     empty = np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (empty, empty, np.zeros(0))
@@ -179,7 +186,8 @@ def search(vectors: DataFrame, is_query: str, k: int = 5) -> DataFrame:
 
     Vectors that are null, zero, of another length than most, or with null or non-finite components take no part. Rows
     with the query's vec_id are no candidates; equal scores rank by vec_id. Every row is filed under its likeliest part,
-    and a query is compared with all rows of `Router.probes` parts. Parts are cut into blocks of rows, so a part of any
+    and a query is compared with all rows of `Router.probes` parts, and of further ones while they hold fewer than k ids
+    besides its own. Parts are cut into blocks of rows, so a part of any
     size is searched in bounded tasks."""
     spark = vectors.sparkSession
     columns = vectors.select("vec_id", "embedding").where("vec_id IS NOT NULL AND embedding IS NOT NULL")
@@ -200,13 +208,20 @@ def search(vectors: DataFrame, is_query: str, k: int = 5) -> DataFrame:
             part = router.parts(units(x), 1)[:, 0]
             yield pa.RecordBatch.from_arrays([pa.array(ids), lists(x), pa.array(part.astype(np.int32))], names=["vec_id", "vec", "part"])
 
+    rows = columns.mapInArrow(filed, "vec_id long, vec array<double>, part int")
+    held = np.zeros(len(router.b2), np.int64)  # ids of each part; one that is in several counts in one
+    for r in rows.groupBy("vec_id").agg(F.min("part").alias("part")).groupBy("part").count().collect():
+        held[r["part"]] = r["count"]
+
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, x = matrix(batch, size)
-            to = router.parts(units(x), router.probes)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, to.shape[1])), lists(np.repeat(x, to.shape[1], axis=0)), pa.array(to.ravel().astype(np.int32))], names=["query_id", "vec", "part"])
+            ranked = router.parts(units(x), len(held))
+            before = np.cumsum(held[ranked], 1) - held[ranked]
+            taken = (np.arange(len(held)) < router.probes) | (before < k + 1)
+            times = taken.sum(1)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, times)), lists(np.repeat(x, times, axis=0)), pa.array(ranked[taken].astype(np.int32))], names=["query_id", "vec", "part"])
 
-    rows = columns.mapInArrow(filed, "vec_id long, vec array<double>, part int")
     asked = columns.where(is_query).mapInArrow(routed, "query_id long, vec array<double>, part int")
     count = {r["part"]: (r["rows"], r["asked"]) for r in rows.select("part", F.lit(1).alias("r"), F.lit(0).alias("a")).union(asked.select("part", F.lit(0), F.lit(1))).groupBy("part").agg(F.sum("r").alias("rows"), F.sum("a").alias("asked")).collect()}
     if not count:

@@ -248,6 +248,16 @@ def test_neighbours_edges(spark, monkeypatch):
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.search(vectors, "vec_id % 50 = 0").orderBy("query_id", "rank").collect()] == found
 
 
+def test_neighbours_of_small_parts(spark, monkeypatch):
+    router = neighbours.Router(np.eye(3), np.zeros(3), np.eye(3), np.zeros(3), 1)
+    monkeypatch.setattr(neighbours, "fit", lambda unit, parts: router)
+    # parts by the largest component: three ids, then one that comes twelve times, then ten
+    rows = [(i, [1.0, 0.1 + 0.01 * i, 0.0]) for i in range(3)] + [(3, [0.1, 1.0, 0.0])] * 12 + [(i, [0.0, 0.01 * i, 1.0]) for i in range(4, 14)]
+    found = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id = 0").collect()
+    wanted = neighbours.best_pairs(np.array([0]), np.array([rows[0][1]]), *(np.array(x) for x in zip(*{i: (i, v) for i, v in rows}.values(), strict=True)), 5)[1]
+    assert [r["vec_id"] for r in sorted(found, key=lambda r: r["rank"])] == wanted.tolist() == [1, 2, 3, 13, 12]
+
+
 def test_parts_are_balanced():
     rng = np.random.default_rng(0)
     unit = neighbours.units(rng.normal(size=(600, 8)))
