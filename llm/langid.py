@@ -161,8 +161,8 @@ def best_path(scores: np.ndarray, sizes: np.ndarray, switch: float = SWITCH) ->
     alive = np.searchsorted(-long, -np.arange(1, BLOCK + 1), "right")
     enter = np.where(np.eye(size, dtype=bool), 0, -switch).astype(np.float32)
     best = np.broadcast_to(enter, (len(start), size, size)).copy()  # block, label before, label now
-    turn = np.zeros((total, size), np.int8)
-    jumped = np.zeros((total, size), np.int32)  # a bit for each label now: came by a switch
+    turn = np.zeros((total, size), np.min_scalar_type(size))
+    jumped = np.zeros((total, size, -(-size // 8)), np.uint8)  # a bit for each label now: came by a switch
     for t in range(int(long[0])):
         k = alive[t]
         now, at = best[:k], start[:k] + t
@@ -170,8 +170,7 @@ def best_path(scores: np.ndarray, sizes: np.ndarray, switch: float = SWITCH) ->
             top = now.argmax(2)
             turn[at] = top
             value = np.take_along_axis(now, top[:, :, None], 2) - switch
-            jump = value > now
-            jumped[at] = (jump * (1 << np.arange(size))).sum(2)
+            jumped[at] = np.packbits(value > now, axis=2, bitorder="little")
             np.maximum(now, value, out=now)
         now += scores[at][:, None, :]
     back = np.empty_like(order)
@@ -200,7 +199,7 @@ def best_path(scores: np.ndarray, sizes: np.ndarray, switch: float = SWITCH) ->
         at, now = start[:k] + t, label[:k]
         labels[at] = now
         if t:
-            from_other = (jumped[at, before[:k]] >> now) & 1
+            from_other = (jumped[at, before[:k], now >> 3] >> (now & 7)) & 1
             label[:k] = np.where(from_other == 1, turn[at, before[:k]], now)
     return labels
 

@@ -123,6 +123,15 @@ def test_viterbi(monkeypatch):
         at += n
 
 
+@pytest.mark.parametrize("size", [33, 40, 130])
+def test_viterbi_of_many_labels(size):
+    scores = (np.random.default_rng(size).normal(size=(200, size)) * 3).astype(np.float32)
+    scores[:, 32:] += 2
+    path = langid.best_path(scores, np.array([200]), 4.0)
+    value = scores[np.arange(200), path].sum() - 4.0 * (np.diff(path) != 0).sum()
+    assert value == pytest.approx(best_value(scores, 4.0), abs=1e-2)
+
+
 def test_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = langid.predict_held_out(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
