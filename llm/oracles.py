@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from llm.licenses import PHRASES, TEMPLATES
+
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -107,3 +109,70 @@ kept AS (SELECT rid, string_agg(word, ' ' ORDER BY i) AS k, count(*) AS n FROM w
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (rid)
 """
+
+
+# crc32 of a short text: a step for each bit, eight for each byte
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length({0}) + 1), lambda k: [ascii({0}[k])::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda x, y: xor(xor(x, y) >> 1, CASE WHEN xor(x, y) % 2 = 1 THEN 3988292384 ELSE 0 END)), 4294967295)"""
+
+OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.format("coalesce(text, '')")} AS w, {_CRC.format("(doc_id::VARCHAR)")} AS h FROM documents),
+placed AS (SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+step AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM placed),
+t AS (SELECT rid, doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM step),
+words AS (SELECT rid, unnest(w) AS word, unnest(range(0, n)) AS i FROM t),
+pairs AS (SELECT x.rid, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.rid = y.rid AND x.word = y.word AND x.i < y.i),
+islands AS (SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS g FROM pairs),
+same AS (SELECT rid, q, min(i) AS s, count(*) + q AS l FROM islands GROUP BY rid, q, g HAVING count(*) >= q AND count(*) + q >= 12),
+runs AS (SELECT rid, s, l, min(q) AS q FROM same GROUP BY rid, s, l),
+listed AS (SELECT rid, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS r FROM runs GROUP BY rid),
+best AS (SELECT rid, s, l, q FROM runs QUALIFY row_number() OVER (PARTITION BY rid ORDER BY l DESC, s, q) = 1),
+gone AS (SELECT DISTINCT rid, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (SELECT rid, string_agg(word, ' ' ORDER BY i) AS k FROM words ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, l::BIGINT AS length, q::BIGINT AS period, (1000 * l // q)::BIGINT AS exponent_milli,
+    sha256(coalesce(r, '')) AS runs_sha256, sha256(coalesce(k, '')) AS collapsed_sha256
+FROM t LEFT JOIN listed USING (rid) LEFT JOIN best USING (rid) LEFT JOIN kept USING (rid)
+"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _license_sql() -> str:
+    """Every block against every template, and every place against every phrase."""
+    notices = ", ".join(f"({i}, '{t.label}', [{', '.join(map(_quoted, t.tokens))}], {t.least}, {t.width})" for i, t in enumerate(TEMPLATES))
+    phrases = " UNION ALL ".join(
+        f"SELECT rid, i, '{label}' AS label FROM (SELECT rid, w, unnest(range(0, len(w))) AS i FROM d) WHERE " + " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(phrase.split(), 1))
+        for phrase, label in PHRASES
+    )
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array({_FOLDED}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+notices AS (SELECT * FROM (VALUES {notices}) AS v(template, label, tokens, least, width)),
+widths AS (SELECT DISTINCT width FROM notices),
+placed AS (SELECT rid, w, width, unnest(range(0, len(w), width)) AS b FROM d, widths),
+blocks AS (SELECT rid, width, list_distinct(w[b + 1:b + 2 * width]) AS held FROM placed),
+met AS (SELECT rid, label, len(list_intersect(tokens, held)) AS n, least, len(tokens) AS m FROM blocks JOIN notices USING (width)),
+found AS (SELECT rid, list(DISTINCT label) AS labels, max(n / m) AS best FROM met WHERE n >= least GROUP BY rid),
+places AS ({phrases}),
+base AS (SELECT rid, count(*) AS n, min(i) AS a, max(i) AS z, list(DISTINCT label) AS labels FROM places GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, z::BIGINT AS last_word,
+    coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+    coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(found.labels, [])))), ','), '') AS labels,
+    CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0)::DOUBLE END AS score
+FROM d LEFT JOIN found USING (rid) LEFT JOIN base USING (rid)
+"""
+
+
+OP12 = _license_sql()
+
+OP13 = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (SELECT a.r, a.vec_id AS anchor_id, a.label AS own, b.r AS other, b.vec_id AS id, b.label, coalesce(list_sum(list_transform(range(1, len(a.e) + 1), lambda i: a.e[i] * b.e[i])), 0)::BIGINT AS s
+    FROM v a JOIN v b ON len(a.e) = len(b.e) AND a.r <> b.r WHERE a.vec_id % 100 = 0),
+positives AS (SELECT r, other, id, s FROM scores WHERE label = own QUALIFY row_number() OVER (PARTITION BY r ORDER BY s DESC, id, other) <= 5),
+found AS (SELECT p.r, anchor_id, p.id AS positive_id, n.id AS negative_id, p.s AS positive_score, n.s AS negative_score, row_number() OVER (PARTITION BY p.r, p.other ORDER BY n.s DESC, n.id) AS rank
+    FROM positives p JOIN scores n ON n.r = p.r AND n.label <> n.own AND 30 * p.s <= 100 * n.s AND 100 * n.s <= 90 * p.s)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 10
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import bpe, exact_dups, langid, near_dups, neighbours, oracles, packing, phrases, repeats, secrets, toxicity
+from llm import bpe, exact_dups, hard_negatives, langid, licenses, near_dups, neighbours, oracles, packing, periodic_runs, phrases, repeats, secrets, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,18 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id % 50 = 0")
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(_documents(spark, sf_dir))
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(_documents(spark, sf_dir))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_packing": op2_packing,
@@ -65,5 +77,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_phrases": op8_phrases,
     "op9_bpe": op9_bpe,
     "op10_neighbours": op10_neighbours,
+    "op11_runs": op11_runs,
+    "op12_licenses": op12_licenses,
+    "op13_hard_negatives": op13_hard_negatives,
+}
+ORACLES: dict[str, str] = {
+    "op1_secrets": oracles.OP1,
+    "op3_near_dups": oracles.OP3,
+    "op4_substrings": oracles.OP4,
+    "op6_quality": oracles.OP6,
+    "op8_phrases": oracles.OP8,
+    "op11_runs": oracles.OP11,
+    "op12_licenses": oracles.OP12,
+    "op13_hard_negatives": oracles.OP13,
 }
-ORACLES: dict[str, str] = {"op1_secrets": oracles.OP1, "op3_near_dups": oracles.OP3, "op4_substrings": oracles.OP4, "op6_quality": oracles.OP6, "op8_phrases": oracles.OP8}
