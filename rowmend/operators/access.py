@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from ..functions import json_text as J
 from ..functions import variants as V
 from ..functions.errors import Known, failure
 from ..functions.variants import Sql
@@ -102,17 +103,28 @@ def _read_pairs(node: Node) -> Sql:
 
     def last(hits: Sql) -> Sql:
         values = V.each(hits, lambda p: _read_in_pair(p, node.child))
-        return V.let(
-            values,
-            lambda vs: (
-                f"CASE WHEN size({vs}) > 0 AND NOT {V.any_of(vs, lambda v: f'{v} IS NULL')}"
-                f" THEN element_at({vs}, -1) END"
-            ),
-        )
+        return V.let(values, paths.last_of_all)
 
     return V.let(V.where("payload.pairs", lambda p: _pair_hit(p, node.where)), last)
 
 
+def read_printed(path_node: Node | None, shape: str) -> Sql:
+    """JSON text of the value at a path; inside an encoded pair value it is the text as it stands."""
+    place = locate_node(path_node, shape)
+    if place is not None and place.slot == ENRICHED:
+        return paths.read_printed("payload.enriched", place.node)
+    node = place.node if place is not None and place.field is not None and place.field.kind == "pairs" else None
+    if isinstance(node, AtPair) and node.codec:
+        named = V.where("payload.pairs", lambda p: f"{p}.name = {V.quote(node.name)}")
+        return V.let(f"{V.first(named)}.value", lambda c: paths.encoded_as_text(c, node.codec, node.child))
+    child = node.child if isinstance(node, AtMatches) else None
+    if isinstance(child, AtField) and child.name == "value" and child.codec:
+        hits = V.where("payload.pairs", lambda p: _pair_hit(p, node.where))
+        values = V.each(hits, lambda p: V.let(f"{p}.value", lambda c: paths.encoded_as_text(c, child.codec, child.child)))
+        return V.let(values, paths.last_of_all)
+    return V.text(read(path_node, shape))
+
+
 def _read_text(text: Sql, codec: str, child: Node | None) -> Sql:
     """Document inside an encoded text."""
     plain = paths.b64_decode(text) if codec == "base64" else text
@@ -216,10 +228,21 @@ def _edit_pairs(node: Node, list_name: str, leaf: Leaf, missing: Sql) -> Sql:
             ),
         )
 
+    def in_encoded(pair: Sql, codec: str, child: Node | None) -> Sql:
+        no_text = J.fail(failure("InvalidJsonFormat", V.quote("null")))
+        inside = V.let(f"{pair}.value", lambda c: f"CASE WHEN {c} IS NULL THEN {no_text} ELSE {paths.encoded_text(c, codec, child, leaf, missing)} END")
+        return V.let(
+            inside,
+            lambda r: (
+                f"CASE WHEN {r}.err IS NOT NULL THEN {_fail_as(f'{r}.err', _PAIR_TYPE)} ELSE"
+                f" named_struct('v', named_struct('name', {pair}.name, 'value', {r}.v), 'err', {V.NO_ERROR}) END"
+            ),
+        )
+
     def in_pair(pair: Sql, child: Node | None) -> Sql:
         if isinstance(child, AtField) and child.name == "value":
             if child.codec:
-                return in_value(pair, paths.encoded_change(child.codec, child.child, leaf, missing))
+                return in_encoded(pair, child.codec, child.child)
             return in_value(pair, paths.below(child.child, leaf, missing))
         whole = V.let(_pair_document(pair), lambda d: paths.edit(d, child, leaf, missing))
 
@@ -239,12 +262,10 @@ def _edit_pairs(node: Node, list_name: str, leaf: Leaf, missing: Sql) -> Sql:
     pair, i, position = V.fresh(), V.fresh("i"), V.fresh()
     if isinstance(node, AtPair):
         wanted = f"{i} = {position} - 1"
-        change = (
-            paths.encoded_change(node.codec, node.child, leaf, missing)
-            if node.codec
-            else paths.below(node.child, leaf, missing)
-        )
-        outcome = in_value(pair, change)
+        if node.codec:
+            outcome = in_encoded(pair, node.codec, node.child)
+        else:
+            outcome = in_value(pair, paths.below(node.child, leaf, missing))
         if node.last:
             absent = failure(
                 "InvalidDataFormat", V.text("to_variant_object(payload.pairs)"), Known(f"Cannot access field {list_name}")

@@ -39,6 +39,8 @@ def size_is(
 
 
 def holds(condition: Condition, document: Sql = "document") -> Sql:
+    if isinstance(condition.matcher, Regex):
+        return accepts_text(condition.matcher, paths.read_printed(document, condition.path))
     return accepts(condition.matcher, paths.read(document, condition.path))
 
 
@@ -53,14 +55,19 @@ def all_of(conditions: list[Column]) -> Column:
 def accepts(matcher: Matcher, value: Sql) -> Sql:
     """A matcher on a value; a missing value (SQL NULL) is refused."""
     if isinstance(matcher, Regex):
-        test = f"{V.text(value)} RLIKE {V.quote(matcher.regex)}"
-    elif isinstance(matcher, Compare):
+        return accepts_text(matcher, V.text(value))
+    if isinstance(matcher, Compare):
         test = _equal(value, matcher.value)
     else:
         test = _size(value, matcher)
     return f"coalesce(({test}), false)"
 
 
+def accepts_text(matcher: Regex, text: Sql) -> Sql:
+    """A pattern on the JSON text of a value; a missing one (SQL NULL) is refused."""
+    return f"coalesce({text} RLIKE {V.quote(matcher.regex)}, false)"
+
+
 def _equal(value: Sql, expected: Any) -> Sql:
     """Equal as JSON: numbers by value, arrays and objects along the configured value, whatever the order of keys."""
 
@@ -108,13 +115,19 @@ def _size(value: Sql, size: Size) -> Sql:
 # --- flows --------------------------------------------------------------------
 
 
-def _condition_value(path: str, row_type: str) -> Sql:
-    """Value a condition of a flow for `row_type` looks at: in the typed payload, or in the row around it."""
+def _condition_value(path: str, row_type: str, printed: bool = False) -> Sql:
+    """Value a condition of a flow for `row_type` looks at: in the typed payload, or in the row around it.
+
+    With `printed`, its JSON text: as it stands in the line or in the encoded document that it is in."""
     segments = paths.tokenize(path)
     shape = known_shape(row_type, repaired=False)
     if segments and segments[0] == paths.Name("payload") and shape != OTHER:
-        return access.read(paths.resolve(segments[1:], (segments[0],)), shape)
+        return (access.read_printed if printed else access.read)(paths.resolve(segments[1:], (segments[0],)), shape)
     node = paths.compile_path(path)
+    if printed:
+        plain = paths.AtField("data", None, node)
+        nested = paths.AtField("data", None, paths.AtField("payload", None, plain))
+        return f"CASE WHEN nested THEN {paths.read_text('line', nested)} ELSE {paths.read_text('line', plain)} END"
     outer = paths.AtItem(0, paths.AtField("data", None, node))
     inner = paths.AtItem(
         0, paths.AtField("data", None, paths.AtField("payload", None, paths.AtField("data", None, node)))
@@ -136,10 +149,10 @@ def match_flows(events: DataFrame, config: Config) -> DataFrame:
         staged = staged.withColumns(
             {c: F.expr(f"err IS NULL AND {schema_matches('row_schema', p)}") for p, c in fits.items()}
         )
-    wanted: dict[tuple[str, str], list[str]] = {}
+    wanted: dict[tuple[str, str, bool], list[str]] = {}
     for flow in config.flows:
         for condition in flow.conditions:
-            users = wanted.setdefault((condition.path, flow.row_type), [])
+            users = wanted.setdefault((condition.path, flow.row_type, isinstance(condition.matcher, Regex)), [])
             if flow.pattern not in users:
                 users.append(flow.pattern)
     values = {key: f"_value{i}" for i, key in enumerate(wanted)}
@@ -154,7 +167,10 @@ def match_flows(events: DataFrame, config: Config) -> DataFrame:
         )
 
     def flow_holds(flow: Flow) -> Sql:
-        tests = [accepts(c.matcher, values[c.path, flow.row_type]) for c in flow.conditions]
+        tests = []
+        for c in flow.conditions:
+            printed = isinstance(c.matcher, Regex)
+            tests.append((accepts_text if printed else accepts)(c.matcher, values[c.path, flow.row_type, printed]))
         return " AND ".join([fits[flow.pattern], *tests])
 
     # One column per flow: as one array, it would be inlined and worked out anew for every element.

@@ -1,6 +1,8 @@
 """What a step does to one value: replace, remove, cast, add.
 
-Each function takes a VARIANT expression and gives an outcome struct<v, err>.
+Each function takes a VARIANT expression and gives an outcome struct<v, err>. Its
+`_text` twin takes JSON text and gives an outcome over text, in which what is not
+changed keeps the order of its keys and the digits of its numbers.
 """
 
 from __future__ import annotations
@@ -9,6 +11,7 @@ import json
 from typing import Any
 
 from .. import wire
+from ..functions import json_text as J
 from ..functions import variants as V
 from ..functions.codecs import b64_decode
 from ..functions.errors import Known, failure
@@ -109,6 +112,52 @@ def _in_array(current: Sql, value: Any, match: str | None) -> Sql:
     return _in_text(current, "a", value, match)
 
 
+def replaced_text(current: Sql, value: Any, match: str | None = None) -> Sql:
+    """`replaced` on JSON text."""
+    other = J.fail(replacement_failure(current, value, match))
+
+    def by_type(first: Sql) -> Sql:
+        content = f"coalesce({J.string(current)}, '')"
+        cases = [
+            f"WHEN {first} IN ('\"', 'n') THEN {J.printed(_in_string(content, value, match))}",
+            f"WHEN {first} = '[' THEN {_in_array_text(current, value, match, other)}",
+            f"WHEN {first} = '{{' THEN {_in_json_text(current, '{', value, match, other)}",
+        ]
+        if isinstance(value, bool):
+            cases.append(f"WHEN {first} IN ('t', 'f') THEN {V.ok(V.quote(V.literal_text(value)))}")
+        elif _is_number(value):
+            cases.append(f"WHEN {first} NOT IN ('t', 'f') THEN {V.ok(V.quote(V.literal_text(value)))}")
+        return f"CASE {' '.join(cases)} ELSE {other} END"
+
+    return V.let(J.starts(current), by_type)
+
+
+def _in_json_text(current: Sql, first: str, value: Any, match: str | None, other: Sql) -> Sql:
+    """Rewrite the text of an array or object; it must still be one."""
+
+    def read_back(new_text: Sql) -> Sql:
+        bad = J.fail(failure("InvalidJsonFormat", new_text))
+        kept = V.let(J.compact(new_text), lambda t: f"CASE WHEN startswith({t}, '{first}') THEN {V.ok(t)} ELSE {other} END")
+        return f"CASE WHEN {V.parse(new_text)} IS NULL THEN {bad} ELSE {kept} END"
+
+    return V.let(_substituted(current, value, match), read_back)
+
+
+def _in_array_text(current: Sql, value: Any, match: str | None, other: Sql) -> Sql:
+    if isinstance(value, list):
+        if match is None:
+            return V.ok(V.quote(V.literal_text(value)))
+        kept = V.where(J.members(current), lambda e: f"NOT ({e} RLIKE {V.quote(match)})")
+        return V.ok(J.array_of(f"concat({kept}, {_texts(value)})"))
+    if match is None:
+        return V.ok(V.quote(V.literal_text([value])))
+    return _in_json_text(current, "[", value, match, other)
+
+
+def _texts(values: list[Any]) -> Sql:
+    return f"CAST(array({', '.join(V.quote(V.literal_text(x)) for x in values)}) AS ARRAY<STRING>)"
+
+
 # --- cast ---------------------------------------------------------------------
 
 
@@ -152,6 +201,16 @@ def casted(current: Sql, from_type: str, to_type: str, zero_is_false: bool = Fal
     return refused()
 
 
+def casted_text(current: Sql, from_type: str, to_type: str, zero_is_false: bool = False) -> Sql:
+    """`casted` on JSON text."""
+    if to_type == "Array":
+        refused = J.fail(cast_failure(current, from_type, to_type))
+        return f"CASE WHEN startswith({current}, '[') THEN {refused} ELSE {V.ok(J.array_of(f'array({current})'))} END"
+    if to_type == "String":
+        return V.ok(J.quoted(current))
+    return V.let(f"try_parse_json({current})", lambda v: J.printed(casted(v, from_type, to_type, zero_is_false)))
+
+
 # --- add ----------------------------------------------------------------------
 
 
@@ -189,3 +248,26 @@ def added(current: Sql, value: Any) -> Sql:
         )
 
     return V.let(V.kind(current), by_type)
+
+
+def added_text(current: Sql, value: Any) -> Sql:
+    """`added` on JSON text; of an object's keys those that are there keep their places."""
+    items = _texts(value if isinstance(value, list) else [])
+    new_fields = value if isinstance(value, dict) else {}
+
+    def merged(fields: Sql) -> Sql:
+        named = {k: V.quote(f"{V.literal_text(k)}:{V.literal_text(x)}") for k, x in new_fields.items()}
+        cases = " ".join(f"WHEN {V.quote(k)} THEN {x}" for k, x in named.items())
+        kept = V.each(fields, lambda m: f"CASE {J.key_of(m)} {cases} ELSE {m} END")
+        absent = [f"CASE WHEN NOT {V.any_of(fields, lambda m, k=k: f'{J.key_of(m)} <=> {V.quote(k)}')} THEN {x} END" for k, x in named.items()]
+        return J.object_of(f"concat({kept}, array_compact(array({', '.join(absent)})))")
+
+    def by_type(first: Sql) -> Sql:
+        scalar = V.let(f"try_parse_json({current})", lambda v: J.printed(added(v, value)))
+        return (
+            f"CASE {first} WHEN '[' THEN {V.ok(J.array_of(f'concat({J.members(current)}, {items})'))}"
+            f" WHEN '{{' THEN {V.ok(V.let(J.members(current), merged) if new_fields else current)}"
+            f" WHEN 'n' THEN {V.ok(V.quote(V.literal_text(value)))} ELSE {scalar} END"
+        )
+
+    return V.let(J.starts(current), by_type)

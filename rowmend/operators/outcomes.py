@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import wire
+from ..functions import json_text as J
 from ..functions import variants as V
 from ..functions.variants import Sql
 
@@ -47,15 +48,15 @@ def error_rows(events: DataFrame, now: Sql = "current_timestamp()") -> DataFrame
 
     A readable line is wrapped as a recovery error, as it was read: its text is
     put in unchanged. Of a recovery error, the event inside is put in, in the
-    order it had, and the number of recoveries goes up by one (at the largest
-    BIGINT it stays). A line that is no JSON, or holds a number that cannot be
+    order and with the digits it had, and the number of recoveries goes up by one
+    (at the largest BIGINT it stays). A line that is no JSON, or holds a number that cannot be
     kept, becomes a format violation holding the line.
     """
     processor = (
         f"named_struct('artifact', {V.quote(wire.PROCESSOR_ARTIFACT)}, 'version', {V.quote(wire.PROCESSOR_VERSION)})"
     )
     stamp = f"date_format({now}, 'yyyy-MM-dd\\'T\\'HH:mm:ss.SSS\\'Z\\'')"
-    inner = "get_json_object(line, '\\u0024.data.payload')"
+    inner = J.get("line", "data", "payload")
     original = f"CASE WHEN nested AND row_type IS NOT NULL THEN {inner} ELSE trim(line) END"
     flow_names = "CASE WHEN size(flows) > 0 THEN array_join(flows, ',') END"
     failed = f"named_struct('error', err.message, 'configName', {flow_names})"

@@ -6,7 +6,8 @@ expressions can be made from a chain: `read` (used by conditions) and `edit`
 (used by steps, giving a new document or an error).
 
 Some field names imply an encoding: pairs are addressed by name, JSON kept as
-text is parsed and written back, base64 is decoded and encoded again.
+text is edited in its text, base64 is decoded and encoded again. Within such a
+text nothing but the place itself changes, see `functions.json_text`.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from .. import wire
+from ..functions import json_text as J
 from ..functions import variants as V
 from ..functions.codecs import b64_decode, b64_encode
 from ..functions.errors import Known, failure
@@ -24,6 +26,24 @@ from ..functions.variants import Sql
 Leaf = Callable[[Sql], Sql]
 
 
+@dataclass(frozen=True)
+class Change:
+    """What is done at a path: to a VARIANT, and to JSON text. Each gives an outcome over what it takes."""
+
+    value: Leaf
+    text: Leaf
+
+    def __call__(self, value: Sql) -> Sql:
+        return self.value(value)
+
+
+def text_change(leaf: Leaf) -> Leaf:
+    """The change on JSON text; one that knows VARIANTs only goes through one."""
+    if isinstance(leaf, Change):
+        return leaf.text
+    return lambda text: V.let(f"try_parse_json({text})", lambda v: J.printed(leaf(v)))
+
+
 _TOKEN = re.compile(
     r"\[\?\(@\.(?P<field>[A-Za-z0-9._-]+)=~(?P<regex>.+?)\)\](?=\.|$)"
     r"|\[(?P<item>[0-9]+)\]"
@@ -199,17 +219,15 @@ def _read_pair(pairs: Sql, node: AtPair) -> Sql:
     return read_encoded(value, node.codec, node.child) if node.codec else read_below(value, node.child)
 
 
+def last_of_all(values: Sql) -> Sql:
+    """The last value, where no one is missing."""
+    return f"CASE WHEN size({values}) > 0 AND NOT {V.any_of(values, lambda v: f'{v} IS NULL')} THEN element_at({values}, -1) END"
+
+
 def _read_matches(document: Sql, node: AtMatches) -> Sql:
     def last(items: Sql) -> Sql:
         hits = V.where(items, lambda e: hit(e, node.where))
-        values = hits if node.child is None else V.each(hits, lambda e: read(e, node.child))
-        return V.let(
-            values,
-            lambda vs: (
-                f"CASE WHEN size({vs}) > 0 AND NOT {V.any_of(vs, lambda v: f'{v} IS NULL')}"
-                f" THEN element_at({vs}, -1) END"
-            ),
-        )
+        return V.let(hits if node.child is None else V.each(hits, lambda e: read(e, node.child)), last_of_all)
 
     return V.let(
         V.items_or_none(document),
@@ -259,32 +277,225 @@ def below(child: Node | None, leaf: Leaf, missing: Sql) -> Leaf:
 
 
 def encoded_change(codec: str, child: Node | None, leaf: Leaf, missing: Sql) -> Leaf:
-    """Decode, edit inside, encode."""
+    """Decode, edit the text inside, encode."""
+
+    def change(value: Sql) -> Sql:
+        inside = V.let(V.string(value), lambda content: encoded_text(content, codec, child, leaf, missing))
+        no_text = V.fail(failure("InvalidJsonFormat", V.text(value)))
+        done = V.let(inside, lambda r: f"named_struct('v', {V.of(f'{r}.v')}, 'err', {r}.err)")
+        return f"CASE WHEN {V.is_string(value)} THEN {done} ELSE {no_text} END"
+
+    return change
 
-    def encoded(new: Sql) -> Sql:
-        return V.of(b64_encode(V.text(new)) if codec == "base64" else V.text(new))
 
-    def in_document(inner: Sql, source: Sql) -> Sql:
-        changed = V.then(edit(inner, child, leaf, missing), lambda new: V.ok(encoded(new)))
-        return f"CASE WHEN {inner} IS NULL THEN {V.fail(failure('InvalidJsonFormat', source))} ELSE {changed} END"
+def encoded_text(content: Sql, codec: str, child: Node | None, leaf: Leaf, missing: Sql) -> Sql:
+    """Outcome, over text, of a change in the document that an encoded content holds."""
 
     def in_text(plain: Sql) -> Sql:
-        return V.let(V.parse(plain), lambda inner: in_document(inner, plain))
+        bad = J.fail(failure("InvalidJsonFormat", plain))
+        return f"CASE WHEN {V.parse(plain)} IS NULL THEN {bad} ELSE {edit_text(plain, child, leaf, missing)} END"
 
-    def in_base64(content: Sql) -> Sql:
-        bad = V.fail(failure("Base64Failure", content, Known("Data is not properly base64-encoded")))
-        return V.let(
-            b64_decode(content), lambda plain: f"CASE WHEN {plain} IS NULL THEN {bad} ELSE {in_text(plain)} END"
-        )
+    def in_base64(plain: Sql) -> Sql:
+        bad = J.fail(failure("Base64Failure", content, Known("Data is not properly base64-encoded")))
+        done = V.then(in_text(plain), lambda new: V.ok(b64_encode(new)))
+        return f"CASE WHEN {plain} IS NULL THEN {bad} ELSE {done} END"
+
+    return V.let(b64_decode(content), in_base64) if codec == "base64" else in_text(content)
+
+
+# --- editing and reading JSON text ------------------------------------------------
 
+
+def edit_text(text: Sql, node: Node | None, leaf: Leaf, missing: Sql) -> Sql:
+    """`edit` of JSON text (one whole value): an outcome over text, in which all but the place edited stays as it is."""
+    steps: list[str | int] = []
+    change = text_change(leaf)
+    while node is not None:
+        if isinstance(node, AtMatches):
+            change = _matches_in_text(node, leaf, missing)
+            break
+        if isinstance(node, AtItem):
+            steps.append(node.index)
+        elif isinstance(node, AtPair):
+            steps.append(node.list_name)
+            change = _pair_in_text(node, leaf, missing)
+            break
+        else:
+            steps.append(node.name)
+            if node.codec:
+                change = _encoded_in_text(node.codec, node.child, leaf, missing)
+                break
+        node = node.child
+    return J.edit_at(text, tuple(steps), lambda value: V.let(value, change), missing)
+
+
+def _encoded_in_text(codec: str, child: Node | None, leaf: Leaf, missing: Sql) -> Leaf:
     def change(value: Sql) -> Sql:
-        inside = V.let(V.string(value), in_base64 if codec == "base64" else in_text)
-        no_text = V.fail(failure("InvalidJsonFormat", V.text(value)))
-        return f"CASE WHEN {V.is_string(value)} THEN {inside} ELSE {no_text} END"
+        def inside(content: Sql) -> Sql:
+            done = V.then(encoded_text(content, codec, child, leaf, missing), lambda new: V.ok(J.quoted(new)))
+            return f"CASE WHEN {content} IS NULL THEN {J.fail(failure('InvalidJsonFormat', value))} ELSE {done} END"
+
+        return V.let(J.string(value), inside)
+
+    return change
+
+
+def _below_in_text(child: Node | None, leaf: Leaf, missing: Sql) -> Leaf:
+    return text_change(leaf) if child is None else lambda value: edit_text(value, child, leaf, missing)
+
+
+def _name_in_text(pair: Sql) -> Sql:
+    return V.let(J.get(pair, "name"), J.string)
+
+
+def _pair_in_text(node: AtPair, leaf: Leaf, missing: Sql) -> Leaf:
+    change = _encoded_in_text(node.codec, node.child, leaf, missing) if node.codec else _below_in_text(node.child, leaf, missing)
+
+    def by_name(value: Sql) -> Sql:
+        reason = Known(f"Cannot access field {node.list_name}")
+        unknown = failure("InvalidDataFormat", value, reason) if node.last else missing
+
+        def in_pairs(pairs: Sql, position: Sql) -> Sql:
+            pair, i = V.fresh(), V.fresh("i")
+            edited = J.edit_at(f"{pairs}[{position} - 1]", ("value",), lambda v: V.let(v, change), missing)
+            return V.then(
+                edited,
+                lambda new: V.ok(J.array_of(f"transform({pairs}, ({pair}, {i}) -> CASE WHEN {i} = {position} - 1 THEN {new} ELSE {pair} END)")),
+            )
+
+        def in_list(pairs: Sql) -> Sql:
+            hits = V.each(pairs, lambda p: f"({_name_in_text(p)} <=> {V.quote(node.name)})")
+            return V.let(
+                f"CAST(coalesce(array_position({hits}, true), 0) AS INT)",
+                lambda n: f"CASE WHEN {n} = 0 THEN {J.fail(unknown)} ELSE {in_pairs(pairs, n)} END",
+            )
+
+        return V.let(_items_in_text(value), in_list)
+
+    return by_name
+
+
+def _items_in_text(value: Sql) -> Sql:
+    return f"CASE WHEN startswith({value}, '[') THEN {J.members(value)} ELSE CAST(array() AS ARRAY<STRING>) END"
+
+
+def hit_text(element: Sql, where: Where) -> Sql:
+    return f"(coalesce({J.get(element, *where.field)}, 'null') RLIKE {V.quote(where.regex)})"
+
+
+def _matches_in_text(node: AtMatches, leaf: Leaf, missing: Sql) -> Leaf:
+    inner = _below_in_text(node.child, leaf, missing)
+
+    def change(document: Sql) -> Sql:
+        def results(items: Sql) -> Sql:
+            return V.each(
+                f"CASE WHEN size({items}) = 0 THEN array({document}) ELSE {items} END",
+                lambda e: f"CASE WHEN size({items}) = 0 OR {hit_text(e, node.where)} THEN {inner(e)} END",
+            )
+
+        def collect(items: Sql, found: Sql) -> Sql:
+            failed = V.first(V.where(found, lambda r: f"{r}.err IS NOT NULL"))
+            element, i = V.fresh(), V.fresh("i")
+            rebuilt = J.array_of(f"transform({items}, ({element}, {i}) -> coalesce({found}[{i}].v, {element}))")
+            return (
+                f"CASE WHEN NOT {V.any_of(found, lambda r: f'{r} IS NOT NULL')} THEN {J.fail(missing)}"
+                f" WHEN {V.any_of(found, lambda r: f'{r}.err IS NOT NULL')} THEN {failed}"
+                f" WHEN size({items}) = 0 THEN {found}[0] ELSE {V.ok(rebuilt)} END"
+            )
+
+        return V.let(_items_in_text(document), lambda items: V.let(results(items), lambda found: collect(items, found)))
 
     return change
 
 
+def read_text(text: Sql, path: str | Node | None) -> Sql:
+    """`read` of JSON text (one whole value): the text at the path as it stands, NULL when it is not there."""
+    node = _node(path)
+    steps: list[str | int] = []
+    while node is not None:
+        if isinstance(node, AtItem):
+            steps.append(node.index)
+        elif isinstance(node, AtField):
+            steps.append(node.name)
+            if node.codec:
+                return V.let(V.let(J.get(text, *steps), J.string), lambda c, n=node: encoded_as_text(c, n.codec, n.child))
+        elif isinstance(node, AtPair):
+            return _read_pair_text(J.get(text, *steps, node.list_name), node)
+        else:
+            return V.let(J.get(text, *steps), lambda d, n=node: _read_matches_text(d, n))
+        node = node.child
+    return J.get(text, *steps)
+
+
+def encoded_as_text(content: Sql, codec: str, child: Node | None) -> Sql:
+    """Text at a path of the document that an encoded content holds."""
+    return V.let(
+        b64_decode(content) if codec == "base64" else content,
+        lambda plain: f"CASE WHEN {V.parse(plain)} IS NOT NULL THEN {read_text(plain, child)} END",
+    )
+
+
+def _read_pair_text(pairs: Sql, node: AtPair) -> Sql:
+    def value_of(items: Sql) -> Sql:
+        named = V.where(items, lambda p: f"({_name_in_text(p)} <=> {V.quote(node.name)})")
+        value = J.get(V.first(named), "value")
+        if node.codec:
+            return V.let(V.let(value, J.string), lambda c: encoded_as_text(c, node.codec, node.child))
+        return value if node.child is None else V.let(value, lambda v: read_text(v, node.child))
+
+    return V.let(pairs, lambda list_: V.let(_items_in_text(list_), value_of))
+
+
+def _read_matches_text(document: Sql, node: AtMatches) -> Sql:
+    def last(items: Sql) -> Sql:
+        hits = V.where(items, lambda e: hit_text(e, node.where))
+        return V.let(hits if node.child is None else V.each(hits, lambda e: read_text(e, node.child)), last_of_all)
+
+    return V.let(
+        _items_in_text(document),
+        lambda items: f"CASE WHEN size({items}) > 0 THEN {last(items)} ELSE {read_text(document, node.child)} END",
+    )
+
+
+def read_printed(document: Sql, path: str | Node | None) -> Sql:
+    """JSON text of the value at a path of a VARIANT. Below the first encoded text on the way it is the text as it stands."""
+    node = _node(path)
+    steps: list[str | int] = []
+    while node is not None:
+        if isinstance(node, AtItem):
+            steps.append(node.index)
+        elif isinstance(node, AtField):
+            steps.append(node.name)
+            if node.codec:
+                return _encoded_printed(V.get(document, *steps), node.codec, node.child)
+        elif isinstance(node, AtPair):
+            named = V.where(V.as_array(V.get(document, *steps, node.list_name)), lambda p, n=node: _named(p, n.name))
+            value = V.get(V.first(named), "value")
+            if node.codec:
+                return _encoded_printed(value, node.codec, node.child)
+            return V.let(value, lambda v, n=node: read_printed(v, n.child))
+        else:
+            return V.let(V.get(document, *steps), lambda d, n=node: _matches_printed(d, n))
+        node = node.child
+    return V.text(V.get(document, *steps))
+
+
+def _encoded_printed(value: Sql, codec: str, child: Node | None) -> Sql:
+    content = V.let(value, lambda x: f"CASE WHEN {V.is_string(x)} THEN {V.string(x)} END")
+    return V.let(content, lambda c: encoded_as_text(c, codec, child))
+
+
+def _matches_printed(document: Sql, node: AtMatches) -> Sql:
+    def last(items: Sql) -> Sql:
+        values = V.each(V.where(items, lambda e: hit(e, node.where)), lambda e: read_printed(e, node.child))
+        return V.let(values, last_of_all)
+
+    return V.let(
+        V.items_or_none(document),
+        lambda items: f"CASE WHEN size({items}) > 0 THEN {last(items)} ELSE {read_printed(document, node.child)} END",
+    )
+
+
 def _pair_change(node: AtPair, leaf: Leaf, missing: Sql) -> Leaf:
     """Edit the value of the first pair with a name; works on the list of pairs."""
     if node.codec:

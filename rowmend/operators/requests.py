@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import wire
+from ..functions import json_text as J
 from ..functions import variants as V
 from ..functions.errors import Known, failure
 from ..functions.querystring import nvps_to_qs, qs_to_nvps
@@ -84,7 +85,8 @@ def _webhook_parts() -> Sql:
             V.wrapped(content),
             lambda w: (
                 f"named_struct('content', {content}, 'parsed', {V.is_whole(w, content)},"
-                f" 'schema', {V.get_string(w, 0, 'data', 'schema')}, 'data', {V.get(w, 0, 'data', 'data')})"
+                f" 'schema', {V.get_string(w, 0, 'data', 'schema')},"
+                f" 'data', CASE WHEN {V.is_whole(w, content)} THEN {J.get(content, 'data', 'data')} END)"
             ),
         ),
     )
@@ -98,16 +100,20 @@ def _of_webhook() -> Sql:
     """
 
     def merged(w: Sql) -> Sql:
-        key, old = V.fresh("k"), V.fresh()
-        kept = f"map_filter({V.as_map(f'{w}.data')}, ({key}, {old}) -> {key} <> 'event')"
-        none = "CAST(map() AS MAP<STRING, VARIANT>)"
-        event = f"map('event', {V.of(schema_name(f'{w}.schema'))})"
-        return f"to_json(to_variant_object(map_concat(coalesce({kept}, {none}), {event})))"
+        event = f"concat('\"event\":', {J.quoted(schema_name(f'{w}.schema'))})"
+
+        def in_object(fields: Sql) -> Sql:
+            named = V.any_of(fields, lambda m: f"{J.key_of(m)} <=> 'event'")
+            kept = V.each(fields, lambda m: f"CASE WHEN {J.key_of(m)} <=> 'event' THEN {event} ELSE {m} END")
+            return J.object_of(f"CASE WHEN {named} THEN {kept} ELSE array_append({fields}, {event}) END")
+
+        fields = f"CASE WHEN startswith({w}.data, '{{') THEN {J.members(f'{w}.data')} ELSE CAST(array() AS ARRAY<STRING>) END"
+        return V.let(fields, in_object)
 
     def by_vendor(w: Sql) -> Sql:
         is_iglu = f"payload.vendor = {_IGLU}"
         request = _rebuilt(
-            body=f"CASE WHEN {is_iglu} THEN to_json({w}.data) ELSE concat('[', {merged(w)}, ']') END",
+            body=f"CASE WHEN {is_iglu} THEN {w}.data ELSE concat('[', {merged(w)}, ']') END",
             querystring=(
                 f"CASE WHEN {is_iglu} THEN concat('schema=', {w}.schema) ELSE {nvps_to_qs('payload.pairs')} END"
             ),

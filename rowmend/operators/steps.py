@@ -17,23 +17,26 @@ from ..functions.errors import Known
 from ..functions.variants import Sql
 from ..plans.config import Add, Cast, Compare, Config, Flow, Remove, Replace, Step
 from . import access, edits
-from .paths import Leaf, edit
+from .paths import Change, Leaf, edit
 from .payloads import EVENT_FIELDS, known_shape, payload_struct
 
 _STATE = "_state"
 
 
-def _change(step: Step, zero_is_false: bool) -> tuple[Leaf, Sql]:
+def _change(step: Step, zero_is_false: bool) -> tuple[Change, Sql]:
     """What a step does to the value at its path, and its error for a path that leads nowhere."""
     if isinstance(step, Remove):
         step = Replace(step.path, "", step.match)
     if isinstance(step, Replace):
         missing = edits.replacement_failure(Known(step.path), step.value, step.match)
-        return lambda x: edits.replaced(x, step.value, step.match), missing
+        change = Change(lambda x: edits.replaced(x, step.value, step.match), lambda x: edits.replaced_text(x, step.value, step.match))
+        return change, missing
     if isinstance(step, Cast):
         missing = edits.cast_failure(Known(step.path), step.from_type, step.to_type)
-        return lambda x: edits.casted(x, step.from_type, step.to_type, zero_is_false), missing
-    return lambda x: edits.added(x, step.value), edits.addition_failure(step.path, step.value)
+        kinds = (step.from_type, step.to_type, zero_is_false)
+        return Change(lambda x: edits.casted(x, *kinds), lambda x: edits.casted_text(x, *kinds)), missing
+    change = Change(lambda x: edits.added(x, step.value), lambda x: edits.added_text(x, step.value))
+    return change, edits.addition_failure(step.path, step.value)
 
 
 # --- steps on any VARIANT column ------------------------------------------------
