@@ -19,9 +19,10 @@ from .variants import Sql
 # A value with the key before it and the comma after it, an opening bracket with its key, or a closing one with its comma.
 _STRING = r'"(?:[^"\\]++|\\.)*+"'
 _KEY = f"{_STRING}:"
+_BLANK = r"[ \n\r\t]"
+_BETWEEN = rf'^{_BLANK}|[\[{{,:"]{_BLANK}|{_BLANK}[\]}},:"]|{_BLANK}$'
 _TOKEN = rf'(?:{_KEY})?+(?:{_STRING}|[^\[\]{{}},":]++|[\[{{])(?<![\[{{]),?+|(?:{_KEY})?+[\[{{]|[\]}}],?+'
 
-_FOUND = "STRUCT<i: INT, d: INT, m: INT, c: INT, s: INT, e: INT>"
 # A count of elements that no index reaches.
 _NOWHERE = -(1 << 30)
 
@@ -29,11 +30,9 @@ Steps = tuple[str | int, ...]
 
 
 def compact(text: Sql) -> Sql:
-    """The text without blanks between tokens."""
-    return (
-        f"CASE WHEN {text} RLIKE {V.quote('[ ' + chr(92) + 'n' + chr(92) + 'r' + chr(92) + 't]')}"
-        f" THEN regexp_replace({text}, {V.quote(f'({_STRING})|[ {chr(92)}n{chr(92)}r{chr(92)}t]++')}, '\\u00241') ELSE {text} END"
-    )
+    """The text without blanks between tokens. Where none is next to a bracket, comma, colon or quote there are none."""
+    without = f"regexp_replace({text}, {V.quote(f'({_STRING})|{_BLANK}++')}, '\\u00241')"
+    return f"CASE WHEN {text} RLIKE {V.quote(_BETWEEN)} THEN {without} ELSE {text} END"
 
 
 def tokens(text: Sql) -> Sql:
@@ -105,8 +104,8 @@ def found(items: Sql, steps: Steps) -> Sql:
         f" WHEN {_opens(x)} THEN {state(d=f'{at["d"]} + 1', c=f'CASE WHEN {at["d"]} = 0 THEN {inside} ELSE {at["c"]} END')}"
         f" WHEN {at['d']} = {at['m']} + 1 THEN {state(c=counted)} ELSE {state()} END"
     )
-    start = f"CAST(named_struct('i', 1, 'd', 0, 'm', 0, 'c', {_NOWHERE}, 's', 0, 'e', 0) AS {_FOUND})"
-    return f"aggregate({items}, {start}, ({acc}, {x}) -> CAST({merge} AS {_FOUND}))"
+    start = f"named_struct('i', 1, 'd', 0, 'm', 0, 'c', {_NOWHERE}, 's', 0, 'e', 0)"
+    return f"aggregate({items}, {start}, ({acc}, {x}) -> {merge})"
 
 
 def at_span(items: Sql, span: Sql) -> Sql:

@@ -180,6 +180,11 @@ def is_string(v: Sql) -> Sql:
     return f"(schema_of_variant({v}) <=> 'STRING')"
 
 
+def prints_as_written(v: Sql) -> Sql:
+    """Whether a VARIANT's text is the one it was read from: anything but arrays, objects and numbers with more than digits."""
+    return f"(schema_of_variant({v}) IN ('STRING', 'BOOLEAN', 'VOID', 'BIGINT'))"
+
+
 def missing_or_null(v: Sql) -> Sql:
     return f"({v} IS NULL OR is_variant_null({v}))"
 

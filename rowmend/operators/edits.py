@@ -8,6 +8,7 @@ changed keeps the order of its keys and the digits of its numbers.
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 from typing import Any
 
 from .. import wire
@@ -25,19 +26,53 @@ def json_value(value: Any) -> Any:
     return json.loads(json.dumps(value, allow_nan=False))
 
 
-def _is_number(value: Any) -> bool:
-    return isinstance(value, (int, float)) and not isinstance(value, bool)
+@dataclass(frozen=True)
+class Param:
+    """A configured scalar that differs from row to row: its kind (`kind_of`), and expressions of its JSON text and, for a
+    string, of what it holds. Steps of many flows that differ in their values alone become one step with these."""
+
+    kind: str
+    text: Sql
+    content: Sql = "NULL"
+
+
+def kind_of(value: Any) -> str:
+    """JSON type of a configured value: n null, b boolean, d number, s string, a array, o object."""
+    if isinstance(value, Param):
+        return value.kind
+    if value is None:
+        return "n"
+    kinds = ((bool, "b"), ((int, float), "d"), (str, "s"), (list, "a"))
+    return next((kind for types, kind in kinds if isinstance(value, types)), "o")
+
+
+def _text(value: Any) -> Sql:
+    return value.text if isinstance(value, Param) else Known(V.literal_text(value))
+
+
+def _quoted_text(value: Any) -> Sql:
+    return value.text if isinstance(value, Param) else V.quote(V.literal_text(value))
+
+
+def _content(value: Any) -> Sql:
+    return value.content if isinstance(value, Param) else V.quote(value)
+
+
+def _literal(value: Any) -> Sql:
+    if not isinstance(value, Param):
+        return V.literal(value)
+    return V.of(value.content) if value.kind == "s" else f"try_parse_json({value.text})"
 
 
 # --- replace ------------------------------------------------------------------
 
 
-def replacement_failure(data: Sql, value: Any, match: str | None) -> Sql:
-    shown = "full field contents" if match is None else match
-    return failure("ReplacementFailure", Known(shown), Known(V.literal_text(value)), data)
+def replacement_failure(data: Sql, value: Any, match: str | Param | None) -> Sql:
+    shown = match.content if isinstance(match, Param) else Known("full field contents" if match is None else match)
+    return failure("ReplacementFailure", shown, _text(value), data)
 
 
-def replaced(current: Sql, value: Any, match: str | None = None) -> Sql:
+def replaced(current: Sql, value: Any, match: str | Param | None = None) -> Sql:
     """New value for `current`, by its JSON type.
 
     Text (and null, taken as empty text): a string value is put in for every
@@ -54,22 +89,20 @@ def replaced(current: Sql, value: Any, match: str | None = None) -> Sql:
             f"WHEN {kind} = 'a' THEN {_in_array(current, value, match)}",
             f"WHEN {kind} = 'o' THEN {_in_text(current, 'o', value, match)}",
         ]
-        if isinstance(value, bool):
-            cases.append(f"WHEN {kind} = 'b' THEN {V.ok(V.literal(value))}")
-        elif _is_number(value):
-            cases.append(f"WHEN {kind} = 'd' THEN {V.ok(V.literal(value))}")
+        if kind_of(value) in ("b", "d"):
+            cases.append(f"WHEN {kind} = '{kind_of(value)}' THEN {V.ok(_literal(value))}")
         return f"CASE {' '.join(cases)} ELSE {V.fail(replacement_failure(V.text(current), value, match))} END"
 
     return V.let(V.kind(current), by_type)
 
 
-def _substituted(content: Sql, value: Any, match: str | None) -> Sql:
-    if not isinstance(value, str):
-        return V.quote(V.literal_text(value))
-    return V.quote(value) if match is None else f"regexp_replace({content}, {V.quote(match)}, {V.quote(value)})"
+def _substituted(content: Sql, value: Any, match: str | Param | None) -> Sql:
+    if kind_of(value) != "s":
+        return _quoted_text(value)
+    return _content(value) if match is None else f"regexp_replace({content}, {_content(match)}, {_content(value)})"
 
 
-def _in_string(content: Sql, value: Any, match: str | None) -> Sql:
+def _in_string(content: Sql, value: Any, match: str | Param | None) -> Sql:
     """Content that spells the name of a base64 field is taken as base64 and then is no JSON."""
     names = ", ".join(V.quote(n) for n in wire.BASE64_FIELDS)
     longest = max(len(n) for n in wire.BASE64_FIELDS)
@@ -85,7 +118,7 @@ def _in_string(content: Sql, value: Any, match: str | None) -> Sql:
     return V.let(content, change)
 
 
-def _in_text(current: Sql, kind: str, value: Any, match: str | None) -> Sql:
+def _in_text(current: Sql, kind: str, value: Any, match: str | Param | None) -> Sql:
     """Rewrite the JSON text of an array or object and read it back as the same type."""
 
     def read_back(new_text: Sql) -> Sql:
@@ -101,18 +134,18 @@ def _in_text(current: Sql, kind: str, value: Any, match: str | None) -> Sql:
     return V.let(_substituted(V.text(current), value, match), read_back)
 
 
-def _in_array(current: Sql, value: Any, match: str | None) -> Sql:
+def _in_array(current: Sql, value: Any, match: str | Param | None) -> Sql:
     if isinstance(value, list):
         if match is None:
             return V.ok(V.literal(value))
-        kept = V.where(V.as_array(current), lambda e: f"NOT ({V.text(e)} RLIKE {V.quote(match)})")
+        kept = V.where(V.as_array(current), lambda e: f"NOT ({V.text(e)} RLIKE {_content(match)})")
         return V.ok(f"to_variant_object(concat({kept}, {V.as_array(V.literal(value))}))")
     if match is None:
-        return V.ok(V.literal([value]))
+        return V.ok(f"to_variant_object(array({_literal(value)}))")
     return _in_text(current, "a", value, match)
 
 
-def replaced_text(current: Sql, value: Any, match: str | None = None) -> Sql:
+def replaced_text(current: Sql, value: Any, match: str | Param | None = None) -> Sql:
     """`replaced` on JSON text."""
     other = J.fail(replacement_failure(current, value, match))
 
@@ -123,16 +156,14 @@ def replaced_text(current: Sql, value: Any, match: str | None = None) -> Sql:
             f"WHEN {first} = '[' THEN {_in_array_text(current, value, match, other)}",
             f"WHEN {first} = '{{' THEN {_in_json_text(current, '{', value, match, other)}",
         ]
-        if isinstance(value, bool):
-            cases.append(f"WHEN {first} IN ('t', 'f') THEN {V.ok(V.quote(V.literal_text(value)))}")
-        elif _is_number(value):
-            cases.append(f"WHEN {first} NOT IN ('t', 'f') THEN {V.ok(V.quote(V.literal_text(value)))}")
+        if kind_of(value) in ("b", "d"):
+            cases.append(f"WHEN {first} {'IN' if kind_of(value) == 'b' else 'NOT IN'} ('t', 'f') THEN {V.ok(_quoted_text(value))}")
         return f"CASE {' '.join(cases)} ELSE {other} END"
 
     return V.let(J.starts(current), by_type)
 
 
-def _in_json_text(current: Sql, first: str, value: Any, match: str | None, other: Sql) -> Sql:
+def _in_json_text(current: Sql, first: str, value: Any, match: str | Param | None, other: Sql) -> Sql:
     """Rewrite the text of an array or object; it must still be one."""
 
     def read_back(new_text: Sql) -> Sql:
@@ -143,14 +174,14 @@ def _in_json_text(current: Sql, first: str, value: Any, match: str | None, other
     return V.let(_substituted(current, value, match), read_back)
 
 
-def _in_array_text(current: Sql, value: Any, match: str | None, other: Sql) -> Sql:
+def _in_array_text(current: Sql, value: Any, match: str | Param | None, other: Sql) -> Sql:
     if isinstance(value, list):
         if match is None:
             return V.ok(V.quote(V.literal_text(value)))
-        kept = V.where(J.members(current), lambda e: f"NOT ({e} RLIKE {V.quote(match)})")
+        kept = V.where(J.members(current), lambda e: f"NOT ({e} RLIKE {_content(match)})")
         return V.ok(J.array_of(f"concat({kept}, {_texts(value)})"))
     if match is None:
-        return V.ok(V.quote(V.literal_text([value])))
+        return V.ok(J.array_of(f"array({_quoted_text(value)})"))
     return _in_json_text(current, "[", value, match, other)
 
 
@@ -215,7 +246,7 @@ def casted_text(current: Sql, from_type: str, to_type: str, zero_is_false: bool
 
 
 def addition_failure(path: str, value: Any) -> Sql:
-    return failure("AdditionFailure", Known(V.literal_text(value)), Known(path), Known("the payload"))
+    return failure("AdditionFailure", _text(value), Known(path), Known("the payload"))
 
 
 def added(current: Sql, value: Any) -> Sql:
@@ -223,9 +254,10 @@ def added(current: Sql, value: Any) -> Sql:
 
     A value of another type adds nothing (for booleans it counts as false).
     """
-    truth = "true" if value is True else "false"
-    number = repr(float(value)) if _is_number(value) else "0"
-    suffix = V.quote(value if isinstance(value, str) else "")
+    kind_given = kind_of(value)
+    truth = f"({_quoted_text(value)} = 'true')" if kind_given == "b" else "false"
+    number = f"CAST({_quoted_text(value)} AS DOUBLE)" if kind_given == "d" else "0.0D"
+    suffix = _content(value) if kind_given == "s" else "''"
     new_items = V.as_array(V.literal(value if isinstance(value, list) else []))
     new_fields = value if isinstance(value, dict) else {}
 
@@ -239,9 +271,9 @@ def added(current: Sql, value: Any) -> Sql:
 
     def by_type(kind: Sql) -> Sql:
         return V.ok(
-            f"CASE {kind} WHEN 'n' THEN {V.literal(value)}"
+            f"CASE {kind} WHEN 'n' THEN {_literal(value)}"
             f" WHEN 'b' THEN {V.of(f'(CAST({current} AS BOOLEAN) AND {truth})')}"
-            f" WHEN 'd' THEN {V.of(f'(CAST({current} AS DOUBLE) + double({number}))')}"
+            f" WHEN 'd' THEN {V.of(f'(CAST({current} AS DOUBLE) + {number})')}"
             f" WHEN 's' THEN {V.of(f'concat({V.string(current)}, {suffix})')}"
             f" WHEN 'a' THEN to_variant_object(concat({V.as_array(current)}, {new_items}))"
             f" ELSE {merged()} END"
@@ -267,7 +299,7 @@ def added_text(current: Sql, value: Any) -> Sql:
         return (
             f"CASE {first} WHEN '[' THEN {V.ok(J.array_of(f'concat({J.members(current)}, {items})'))}"
             f" WHEN '{{' THEN {V.ok(V.let(J.members(current), merged) if new_fields else current)}"
-            f" WHEN 'n' THEN {V.ok(V.quote(V.literal_text(value)))} ELSE {scalar} END"
+            f" WHEN 'n' THEN {V.ok(_quoted_text(value))} ELSE {scalar} END"
         )
 
     return V.let(J.starts(current), by_type)

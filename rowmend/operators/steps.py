@@ -7,6 +7,7 @@ document expression into every place that mentions it.
 
 from __future__ import annotations
 
+import dataclasses
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -67,7 +68,10 @@ def apply_flows(events: DataFrame, config: Config, zero_is_false: bool = False)
     A flow starts in the round after the last step of the flows before it that
     may match the same row. Flows of different row types, and flows that compare
     one path with different values, cannot, so they share rounds: the number of
-    projections is that of the longest chain, not of all steps together.
+    projections is that of the longest chain, not of all steps together. Within a
+    round, steps that differ in their values alone are one expression whose values
+    come from a constant map by the flow that the row matched, so the plan grows
+    with the different operations and paths, not with the flows.
     """
     rounds: list[list[tuple[str, int, Step]]] = []
     ends: list[int] = []
@@ -82,6 +86,41 @@ def apply_flows(events: DataFrame, config: Config, zero_is_false: bool = False)
     return events
 
 
+# --- steps as data ----------------------------------------------------------------
+
+
+def _alike(step: Step) -> tuple[Any, ...]:
+    """What steps must share to become one: the operation, the path and all that shapes the expression. Values may differ."""
+    if isinstance(step, Cast):
+        return Cast, step.path, step.from_type, step.to_type
+    value = "" if isinstance(step, Remove) else step.value
+    kind = edits.kind_of(value)
+    shape = kind if kind in ("s", "d", "b") else V.literal_text(value)
+    return type(step), step.path, kind, shape, getattr(step, "match", None) is None
+
+
+def _by_flow(flows: list[int], texts: list[str], pick: Sql) -> Sql:
+    """The text that belongs to the flow that was picked: one constant map, however many flows there are."""
+    entries = ", ".join(f"{f}, {V.quote(t)}" for f, t in zip(flows, texts, strict=True))
+    return f"element_at(map({entries}), {pick})"
+
+
+def _merged(flows: list[int], steps: list[Step], pick: Sql, n: int) -> tuple[Step, dict[str, Sql]]:
+    """One step for all of them, and the columns, numbered n, that hold its values; those that do not differ stay constants."""
+    columns: dict[str, Sql] = {}
+    params: dict[str, edits.Param] = {}
+    for field in ("value", "match"):
+        values = [getattr(s, field, None) for s in steps]
+        texts = [V.literal_text(v) for v in values]
+        if len(set(texts)) > 1:
+            kind, text, held = edits.kind_of(values[0]), f"_{field}{n}", f"_{field}_held{n}"
+            columns[text] = _by_flow(flows, texts, pick)
+            if kind == "s":
+                columns[held] = _by_flow(flows, values, pick)
+            params[field] = edits.Param(kind, text, held if kind == "s" else "NULL")
+    return dataclasses.replace(steps[0], **params) if params else steps[0], columns
+
+
 def exclusive(a: Flow, b: Flow) -> bool:
     """Whether no row can match both: of different types, or one path compared with different values."""
     if a.row_type != b.row_type:
@@ -94,36 +133,54 @@ def exclusive(a: Flow, b: Flow) -> bool:
 
 def apply_payload_steps(events: DataFrame, steps: list[Step], row_type: str, zero_is_false: bool = False) -> DataFrame:
     """Apply steps to the typed payload of rows of one type, whatever flows they match."""
-    staged = events.withColumn("matched", F.expr(f"array(row_type <=> {V.quote(row_type)})"))
+    none = "CAST(array() AS ARRAY<INT>)"
+    staged = events.withColumn("matched", F.expr(f"CASE WHEN row_type <=> {V.quote(row_type)} THEN array(0) ELSE {none} END"))
     for step in steps:
         staged = _advance(staged, [(row_type, 0, step)], zero_is_false)
     return staged
 
 
 def _advance(events: DataFrame, round_: list[tuple[str, int, Step]], zero_is_false: bool) -> DataFrame:
-    """One step per row type, on rows that matched its flow and have no error yet."""
+    """One step per row type, on rows that matched its flow and have no error yet. No row has steps of two flows in one round."""
+    groups: dict[tuple[Any, ...], list[tuple[int, Step]]] = {}
+    for row_type, flow, step in round_:
+        groups.setdefault((row_type, *_alike(step)), []).append((flow, step))
     results: dict[str, Sql] = {}
     by_slot: dict[str, list[str]] = {}
-    for n, (row_type, flow, step) in enumerate(round_):
+    picks: dict[str, Sql] = {}
+    values: dict[str, Sql] = {}
+    for n, (key, members) in enumerate(groups.items()):
+        row_type, name = key[0], f"_result{n}"
+        flows = [f for f, _ in members]
+        if len(members) == 1:
+            step, is_for = members[0][1], f"array_contains(matched, {flows[0]})"
+        else:
+            pick = f"_pick{n}"
+            picks[pick] = f"try_element_at(array_intersect(matched, array({', '.join(map(str, flows))})), 1)"
+            step, columns = _merged(flows, [s for _, s in members], pick, n)
+            is_for = f"{pick} IS NOT NULL"
+            values |= columns
         shape = known_shape(row_type, repaired=True)
         change, missing = _change(step, zero_is_false)
         place = access.locate(step.path, shape)
-        name = f"_result{n}"
         if place is None:
             outcome = V.fail(missing)
         else:
             outcome = access.edit(place, shape, change, missing)
             by_slot.setdefault(place.slot, []).append(name)
-        results[name] = f"CASE WHEN err IS NULL AND matched[{flow}] THEN {outcome} END"
+        results[name] = f"CASE WHEN err IS NULL AND {is_for} THEN {outcome} END"
+    for made in (picks, values):
+        if made:
+            events = events.withColumns({name: F.expr(sql) for name, sql in made.items()})
 
     def chosen(slot: str, kept: Sql) -> Sql:
         done = [f"WHEN {r} IS NOT NULL AND {r}.err IS NULL THEN {r}.v" for r in by_slot[slot]]
         return f"CASE {' '.join(done)} ELSE {kept} END"
 
-    values = {n: chosen(n, f"payload.{n}") if n in by_slot else f"payload.{n}" for n in EVENT_FIELDS}
+    fields = {n: chosen(n, f"payload.{n}") if n in by_slot else f"payload.{n}" for n in EVENT_FIELDS}
     # A row that no step of the round is for keeps its payload as it is, not a copy of it.
     touched = " OR ".join(f"{r} IS NOT NULL" for r in results)
-    payload = f"CASE WHEN payload IS NOT NULL AND ({touched}) THEN {payload_struct(**values)} ELSE payload END"
+    payload = f"CASE WHEN payload IS NOT NULL AND ({touched}) THEN {payload_struct(**fields)} ELSE payload END"
     if access.WHOLE in by_slot:
         payload = chosen(access.WHOLE, payload)
     return (
@@ -134,10 +191,11 @@ def _advance(events: DataFrame, round_: list[tuple[str, int, Step]], zero_is_fal
                 "err": F.expr(V.opaque(f"coalesce(err, {', '.join(f'{r}.err' for r in results)})")),
             }
         )
-        .drop(*results)
+        .drop(*results, *picks, *values)
     )
 
 
+
 def edit_path(frame: DataFrame, path: str, change: Leaf, missing: Sql, column: str = "document") -> DataFrame:
     """Apply any expression at a path of a VARIANT column; an error is left in `err`."""
     return (
