@@ -18,7 +18,7 @@ from rowmend.operators.recover import recover, refuse_unrecoverable, repair_form
 from rowmend.operators.requests import from_request, to_request
 from rowmend.plans.recovery import execute
 from rowmend.sources import files
-from rowmend.streaming.job import LiveCounters, stream_recover, write_batch
+from rowmend.streaming.job import LiveCounters, durable_counters, stream_recover, write_batch
 
 from . import fixtures as X
 from .fixtures import with_facts, with_outcomes
@@ -199,12 +199,11 @@ def _(spark, sf_dir):
        FROM (SELECT page_id, regexp_replace(url, '/$', '') AS u FROM pages)""",
 )
 def _(spark, sf_dir):
-    rule = F.udf(lambda *told: files.default_error_bases(*told), "struct<failed:string, unrecoverable:string>")
     pages = X.table(spark, sf_dir, "pages").withColumn("u", F.regexp_replace("url", "/$", ""))
     bases = pages.select(
         "page_id",
-        rule(F.concat(F.lit(" "), "u", F.lit("/*"))).alias("beside"),
-        rule("url", F.concat("u", F.lit("/bad"))).alias("told"),
+        F.expr(files.error_bases("concat(' ', u, '/*')")).alias("beside"),
+        F.expr(files.error_bases("url", "concat(u, '/bad')")).alias("told"),
     )
     return bases.select("page_id", "beside.*", F.col("told.failed").alias("told_failed"), F.col("told.unrecoverable").alias("below_failed"))
 
@@ -319,14 +318,26 @@ def _(spark, sf_dir):
     )
 
 
+# The documents inside the pairs, as text.
+_UE_PR_SQL = (
+    """('{"schema":"iglu:com.acme/unstruct_event/jsonschema/1-0-0","data":{"schema":"iglu:com.acme/' || et || '/jsonschema/1-0-0","data":{"k":'"""
+    """ || k || ',"value":' || val || ',"user_id":' || uid || '}}}')"""
+)
+_CX_SQL = (
+    f"""to_base64(encode('{{"schema":"iglu:com.acme/contexts/jsonschema/1-0-0","data":[{{"schema":"{X.PAGE_CONTEXT}","data":{{"id":"' || h"""
+    f""" || '"}}}},{{"schema":"{X.TIMING_CONTEXT}","data":{{"k":' || k || ',"zero":0}}}}]}}'))"""
+)
+
+
 @check(
     "nvp_decode",
     with_facts(
-        """SELECT event_id, kind, name, value FROM (
-          SELECT event_id, kind, unnest(['e', 'page', 'aid']) AS name, unnest(['ue', et, aid]) AS value FROM f WHERE kind = 0
-          UNION ALL SELECT event_id, kind, unnest(['e', 'page', 'aid', 'n', 'flag', 'note']),
-            unnest(['ue', et, aid, CAST(k AS VARCHAR), CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END, NULL])
+        f"""SELECT event_id, kind, name, value FROM (
+          SELECT event_id, kind, unnest(['e', 'page', 'aid', 'cx']) AS name, unnest(['ue', et, aid, {_CX_SQL}]) AS value FROM f WHERE kind = 0
+          UNION ALL SELECT event_id, kind, unnest(['e', 'page', 'aid', 'n', 'flag', 'note', 'cx']),
+            unnest(['ue', et, aid, CAST(k AS VARCHAR), CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END, NULL, {_CX_SQL}])
           FROM f WHERE kind = 1 AND event_id % 40 <> 1
+          UNION ALL SELECT event_id, kind, 'ue_pr', {_UE_PR_SQL} FROM f WHERE has_ue AND (kind = 0 OR kind = 1 AND event_id % 40 <> 1)
           UNION ALL SELECT event_id, kind, 'failure', NULL FROM f
           WHERE kind NOT IN (0, 1) OR (kind = 1 AND event_id % 40 = 1))"""
     ),
@@ -341,7 +352,6 @@ def _(spark, sf_dir):
     return (
         pairs.select("event_id", "kind", F.explode(F.coalesce("pairs", failure)).alias("p"))
         .select("event_id", "kind", F.col("p")["name"].alias("name"), F.col("p")["value"].alias("value"))
-        .filter(~F.col("name").isin("ue_pr", "cx"))
     )
 
 
@@ -1131,28 +1141,26 @@ def _(spark, sf_dir):
 @check(
     "request_from_enrichment",
     with_facts(
-        f"""SELECT event_id, '/' || vendor || '/v1' AS path, 'e=ue&page=' || et || '&aid=' || aid AS head, CAST(NULL AS VARCHAR) AS body,
+        f"""SELECT event_id, '/' || vendor || '/v1' AS path, CASE WHEN kind = 1
+          THEN 'aid=' || aid || chr(10) || 'cx=' || {_CX_SQL} || chr(10) || 'e=ue' || chr(10) || 'flag=' || CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END
+            || chr(10) || 'n=' || k || chr(10) || 'note=' || chr(10) || 'page=' || et || CASE WHEN has_ue THEN chr(10) || 'ue_pr=' || {_UE_PR_SQL} ELSE '' END
+          ELSE 'e=ue' || chr(10) || 'page=' || et || chr(10) || 'aid=' || aid || CASE WHEN has_ue THEN chr(10) || 'ue_pr=' || {_UE_PR_SQL} ELSE '' END
+            || chr(10) || 'cx=' || {_CX_SQL} END AS pairs, CAST(NULL AS VARCHAR) AS body,
         true AS bare, 'loader' AS collector, ms, uuid AS network_user_id FROM f
         WHERE kind IN (0, 1, 6) AND vendor = 'com.acme' AND {_DECODED_SQL}"""
     ),
 )
 def _(spark, sf_dir):
     r = F.col("request")
-    # Pairs that came as an object are in the order of their names.
-    head = F.array_join(
-        F.filter(
-            F.array(*[F.regexp_extract(r["querystring"], f"(^|&)({n}=[^&]*)", 2) for n in ("e", "page", "aid")]),
-            lambda x: x != "",
-        ),
-        "&",
-    )
+    # The whole querystring, decoded. Pairs that came as an object are in the order of their names.
+    pairs = F.array_join(F.transform(F.split(r["querystring"], "&"), F.url_decode), "\n")
     return (
         _requests(spark, sf_dir)
         .filter((F.col("shape") == "enrichment") & F.col("err").isNull() & (F.col("payload.vendor") == "com.acme"))
         .select(
             "event_id",
             r["path"].alias("path"),
-            head.alias("head"),
+            pairs.alias("pairs"),
             r["body"].alias("body"),
             (r["headers"].isNull() & r["contentType"].isNull()).alias("bare"),
             r["collector"].alias("collector"),
@@ -1384,12 +1392,25 @@ def _(spark, sf_dir):
 
 @check("live_counters", _SUMMARY_SQL)
 def _(spark, sf_dir):
+    """Half of the lines, a restart, the other half and a replay of the last batch: filed and observed counts agree."""
     out = X.scratch_dir(spark)
-    counters = LiveCounters()
-    spark.streams.addListener(counters)
-    try:
-        stream_recover(spark, text_dir(spark, sf_dir), X.check_config(), f"{out}/o", f"{out}/c").awaitTermination()
-        counters.wait()
-    finally:
-        spark.streams.removeListener(counters)
-    return spark.range(1).select(*[F.lit(counters.counts[s]).cast("bigint").alias(s) for s in O.STATUSES])
+    texts = lines(spark, sf_dir)
+
+    def until_ended(start: dict[str, int]) -> dict[str, int]:
+        counters = LiveCounters(start=start)
+        spark.streams.addListener(counters)
+        try:
+            stream_recover(spark, f"{out}/in", X.check_config(), f"{out}/o", f"{out}/c").awaitTermination()
+            counters.wait()
+        finally:
+            spark.streams.removeListener(counters)
+        return counters.counts
+
+    for half in (0, 1):
+        texts.filter(F.col("event_id") % 2 == half).select("value").write.mode("append").text(f"{out}/in")
+        seen = until_ended(durable_counters(spark, f"{out}/o").first().asDict())
+    again = texts.filter(F.col("event_id") % 2 == 1).select("value")
+    write_batch(execute(again, X.check_config()), 1, f"{out}/o")
+    live = [F.lit(seen[s]).cast("bigint") for s in O.STATUSES]
+    # a count that the two do not agree on is none
+    return durable_counters(spark, f"{out}/o").select(*[F.when(F.col(s) == x, x).alias(s) for s, x in zip(O.STATUSES, live, strict=True)])

@@ -17,7 +17,8 @@ from .sources.files import (
     write_errors,
     write_recovered,
 )
-from .streaming.job import stream_recover
+from .sources.runs import read_recovered
+from .streaming.job import durable_counters, stream_recover
 
 __all__ = [
     "Config",
@@ -31,6 +32,7 @@ __all__ = [
     "configure",
     "decode_events",
     "decode_payloads",
+    "durable_counters",
     "edit",
     "edit_path",
     "equals",
@@ -44,6 +46,7 @@ __all__ = [
     "parse_events",
     "read",
     "read_failed_events",
+    "read_recovered",
     "recover",
     "remove",
     "repair_format_violations",

@@ -14,6 +14,7 @@ from ..operators.decode import decode_events
 from ..operators.outcomes import FAILED, RECOVERED, UNRECOVERABLE, classify, error_rows, metrics_frame, summary, summary_columns
 from ..operators.recover import recover
 from ..operators.requests import to_request
+from ..sources import runs
 from ..sources.files import default_error_bases, read_failed_events, to_stream_records, write_errors, write_recovered
 from .config import Config, check_patterns
 
@@ -54,30 +55,32 @@ def execute(
     return error_rows(classify(to_request(recovered)), now)
 
 
-def staging_dir(spark: SparkSession) -> str:
-    """A new folder in the shared place the cluster names for checkpoints; without one there is no place to stage."""
+def staging_base(spark: SparkSession) -> str:
+    """The shared place the cluster names for checkpoints; without one there is no place to stage."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         raise ValueError("set spark.checkpoint.dir, or give a staging folder that driver and executors share")
-    return f"{shared.rstrip('/')}/rowmend-{uuid.uuid4().hex}"
+    return shared.rstrip("/")
 
 
-def remove_dir(spark: SparkSession, path: str) -> None:
-    """Delete a folder that the job itself made."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+def staging_dir(spark: SparkSession) -> str:
+    """A new folder there."""
+    return f"{staging_base(spark)}/rowmend-{uuid.uuid4().hex}"
 
 
-def stage(events: DataFrame, path: str) -> DataFrame:
+def stage(events: DataFrame, path: str, take_up: bool = False) -> DataFrame:
     """Write outcomes once, filed by status, and read them back.
 
     Every sink then reads only its own part; a lost executor costs a re-read of
-    files, never a second recovery of the input.
+    files, never a second recovery of the input. With `take_up`, a folder that an
+    earlier try has written whole is read as it is.
     """
+    spark = events.sparkSession
     staged = events.withColumn("err_code", F.col("err")["code"]).select(*STAGED)
-    # Static: a status that a replay lacks must not keep the rows of the earlier try.
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("status").parquet(path)
-    return events.sparkSession.read.schema(staged.schema).parquet(path)
+    if not (take_up and runs.exists(spark, f"{path}/_SUCCESS")):
+        # Static: a status that a replay lacks must not keep the rows of the earlier try.
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("status").parquet(path)
+    return spark.read.schema(staged.schema).parquet(path)
 
 
 def run_batch(
@@ -93,19 +96,24 @@ def run_batch(
     """Batch job over a folder of lines; gives the counts per outcome.
 
     The recovery is computed in one pass over the input. Counting the staged
-    rows reads file footers only. The staged copy is removed when all sinks are
-    written; after a failure it stays, for a look at it.
+    rows reads file footers only. Each sink gets a folder of this run, and the
+    record that the run is finished comes last: after a failure at any point the
+    same call takes the run up, with the staged outcomes if they were complete,
+    and writes the same folders anew. Reports may then go out twice. The staged
+    copy is removed at the end.
     """
     failed, unrecoverable = default_error_bases(source, failed, unrecoverable)
-    where = staging or staging_dir(spark)
-    outcomes = stage(execute(read_failed_events(spark, source), config), where)
+    job = {"source": source, "config": repr(config), "failed": failed, "unrecoverable": unrecoverable}
+    run = runs.start(spark, recovered, job)
+    where = f"{(staging or staging_base(spark)).rstrip('/')}/rowmend-{run.id}"
+    outcomes = stage(execute(read_failed_events(spark, source), config), where, run.taken_up)
     counts = outcomes.agg(*summary_columns()).first().asDict()
-    write_recovered(outcomes, recovered, rows=counts[RECOVERED])
-    if counts[FAILED]:
-        write_errors(outcomes, failed, FAILED)
-    if counts[UNRECOVERABLE]:
-        write_errors(outcomes, unrecoverable, UNRECOVERABLE)
+    write_recovered(outcomes, run.folder(run.recovered), "overwrite", rows=counts[RECOVERED])
+    for base, status in ((failed, FAILED), (unrecoverable, UNRECOVERABLE)):
+        if counts[status]:
+            write_errors(outcomes, base, status, "overwrite", run.id)
     if reports is not None:
         reports.write(outcomes)
-    remove_dir(spark, where)
+    run.finish(spark, counts)
+    runs.remove(spark, where)
     return {s: counts[s] for s in (RECOVERED, FAILED, UNRECOVERABLE)}

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import wire
-from ..functions.variants import configure
+from ..functions import variants as V
+from ..functions.variants import Sql, configure
 from ..operators.outcomes import FAILED, RECOVERED, UNRECOVERABLE, partition_key
 
 #: Folders of recovered requests, rows that make a file of good size, and most tasks that write them.
@@ -33,9 +34,10 @@ def stream_failed_events(spark: SparkSession, path: str, max_files_per_trigger:
 # --- output paths -------------------------------------------------------------
 
 
-def below(directory: str, name: str) -> str:
+def below(directory: Sql, name: str) -> Sql:
     """A folder in another, which may end in `/` or `/*` and have blanks around it."""
-    return directory.replace("*", "").strip().removesuffix("/") + "/" + name
+    bare = f"regexp_replace(replace({directory}, '*', ''), {V.quote('^' + chr(92) + 's+|' + chr(92) + 's+$')}, '')"
+    return f"concat(regexp_replace({bare}, '/\\u0024', ''), {V.quote('/' + name)})"
 
 
 def error_dir(base: str) -> str:
@@ -43,9 +45,18 @@ def error_dir(base: str) -> str:
     return f"{base}/{wire.BAD_ROW_VENDOR}.{wire.RECOVERY_ERROR}"
 
 
+def error_bases(source: Sql, failed: Sql = "NULL", unrecoverable: Sql = "NULL") -> Sql:
+    """struct<failed, unrecoverable>: where error rows go. As told, or else below the input; unrecoverable ones below a told failed folder."""
+    return (
+        f"named_struct('failed', coalesce({failed}, {below(source, 'unrecovered')}),"
+        f" 'unrecoverable', coalesce({unrecoverable}, {below(f'coalesce({failed}, {source})', 'unrecoverable')}))"
+    )
+
+
 def default_error_bases(source: str, failed: str | None = None, unrecoverable: str | None = None) -> tuple[str, str]:
-    """Where failed and unrecoverable rows go: as told, or else below the input; unrecoverable ones below a told failed folder."""
-    return failed or below(source, "unrecovered"), unrecoverable or below(failed or source, "unrecoverable")
+    """The rule for one job, on the driver."""
+    told = [V.quote(x) if x else "CAST(NULL AS STRING)" for x in (source, failed, unrecoverable)]
+    return tuple(SparkSession.active().range(1).select(F.expr(error_bases(*told)).alias("b")).first()["b"])
 
 
 # --- sinks --------------------------------------------------------------------
@@ -99,9 +110,9 @@ def write_recovered(events: DataFrame, path: str, mode: str = "append", rows: in
     records.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("vendor_bucket").parquet(path)
 
 
-def write_errors(events: DataFrame, base: str, status: str, mode: str = "append") -> None:
-    """Error rows of one status to text below `base`."""
+def write_errors(events: DataFrame, base: str, status: str, mode: str = "append", run: str | None = None) -> None:
+    """Error rows of one status to text below `base`, in the folder of the run if one is given."""
     if status not in (FAILED, UNRECOVERABLE):
         raise ValueError(f"no error rows for {status}")
     rows = events.filter(F.col("status") == status).select(F.col("error_row").alias("value"))
-    rows.write.mode(mode).text(error_dir(base))
+    rows.write.mode(mode).text(error_dir(base) + (f"/run={run}" if run else ""))

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from ..operators.outcomes import FAILED, RECOVERED, STATUSES, UNRECOVERABLE, summary_columns
+from ..operators.outcomes import FAILED, RECOVERED, STATUSES, UNRECOVERABLE, summary, summary_columns
 from ..plans.config import Config
 from ..plans.recovery import Reports, execute, stage
+from ..sources import runs
 from ..sources.files import error_dir, stream_failed_events, write_recovered
 
 COUNTERS = "outcomes"
@@ -40,9 +41,27 @@ def write_batch(outcomes: DataFrame, batch_id: int, out: str) -> DataFrame:
     for status in (FAILED, UNRECOVERABLE):
         rows = staged.filter(F.col("status") == status).select(F.col("error_row").alias("value"))
         rows.write.mode("overwrite").text(paths[status])
+    summary(staged).write.mode("overwrite").parquet(f"{counts_dir(out)}/batch={batch_id}")
     return staged
 
 
+def counts_dir(out: str) -> str:
+    return f"{out}/counts"
+
+
+def durable_counters(spark: SparkSession, out: str) -> DataFrame:
+    """One row of counts over all batches written below `out`.
+
+    Each batch has one file of counts, which a replay replaces, so restarts and
+    replays count once. The files hold a row each: their number is that of the batches."""
+    columns = ", ".join(f"{s} BIGINT" for s in STATUSES)
+    if runs.exists(spark, counts_dir(out)):
+        filed = spark.read.schema(f"{columns}, batch BIGINT").parquet(counts_dir(out))
+    else:
+        filed = spark.createDataFrame([], columns)
+    return filed.agg(*[F.coalesce(F.sum(s), F.lit(0)).cast("bigint").alias(s) for s in STATUSES])
+
+
 def stream_recover(
     spark: SparkSession,
     source: str,
@@ -83,12 +102,14 @@ class LiveCounters(StreamingQueryListener):
     """Running counts per outcome of one query, fed by the observed metrics of each micro-batch.
 
     Without the id of a query (`StreamingQuery.id`, as text) all queries that
-    observe outcomes add up.
+    observe outcomes add up. `start` is what to count on from, such as the row of
+    `durable_counters` after a restart. A batch that is tried again is seen again
+    here; the filed counts are the ones to go by.
     """
 
-    def __init__(self, query_id: str | None = None) -> None:
+    def __init__(self, query_id: str | None = None, start: Mapping[str, int] | None = None) -> None:
         self.query_id = query_id
-        self.counts = dict.fromkeys(STATUSES, 0)
+        self.counts = dict.fromkeys(STATUSES, 0) | {s: start[s] for s in STATUSES if start}
         self._ended = threading.Event()
 
     def wait(self, seconds: float = 60) -> bool:
