@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import zlib
 from dataclasses import dataclass
 
@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.columns import over_chunks, spread, staged, strings
+from llm.columns import flat, over_chunks, spread, staged
+from llm.hashing import word_bounds
 
 #: Tokens of a sequence, the id that ends a document, and the width of a length class: lengths are planned as rounded up to it.
 LENGTH = 2048
@@ -24,13 +25,18 @@ SALTS = 64
 #: The plan is good enough when it is this close to the bound that the prices prove; it also ends after so many patterns.
 GAP = 0.001
 MOST_PATTERNS = 1500
-#: A worker forgets the words it has met when there are more than this; results do not depend on it.
-KNOWN_WORDS = 400_000
-#: So many words go to the library as one text.
-JOINED = 32
-#: Python's split() also cuts at these, the tokenizer does not.
-_ODD = re.compile("[\x1c-\x1f]")
-_WORDS = re.compile("[^\t-\r ]+")
+#: A worker holds words and their ids of about so many bytes. Beyond, those go that were met in one chunk only, or all if most
+#: were met again; results do not depend on it.
+KNOWN_BYTES = 24 << 20
+#: So many words of letters go to the library as one text.
+JOINED = 256
+#: What a held word takes besides its bytes and ids.
+_PER_WORD = 120
+
+
+# The pattern of a tokenizer that takes runs of letters, single digits and runs of other characters apart, and its mark of a word's end.
+END_OF_WORD = "</w>"
+LETTERS_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class WordIds:
@@ -41,41 +47,99 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = sorted(str(x) for x in self.tokenizer.get_added_tokens_decoder().values())
+        with open(path, encoding="utf-8") as file:
+            kind = json.load(file)
+        first = (kind["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+        self.cuts = first.get("pattern") == {"Regex": LETTERS_APART} and first.get("invert") is True and kind["model"].get("end_of_word_suffix") == END_OF_WORD
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.is_end[[i for token, i in vocabulary.items() if token.endswith(END_OF_WORD)]] = True
+        self._clear()
+
+    def _clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.ids, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _fresh(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of many words from one call: a special token stands between them, at which the library parts its input."""
-        if not self.special or any(mark in w for mark in self.special for w in words):
-            found = [x.ids for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-            return np.array([i for x in found for i in x], np.int64), np.array([len(x) for x in found], np.int64)
-        mark = self.special[0]
-        joined = [mark.join([*words[i : i + JOINED], ""]) for i in range(0, len(words), JOINED)]
-        ids = np.array([i for x in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False) for i in x.ids], np.int64)
-        after = ids == self.tokenizer.token_to_id(mark)
-        return ids[~after], np.diff(np.r_[-1, np.flatnonzero(after)]) - 1
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of all texts, and how many each has."""
-        split = [_WORDS.findall(x) if _ODD.search(x) else x.split() for x in texts]
-        if len(self.index) > KNOWN_WORDS:
-            self.index, self.ids, self.length = {}, self.ids[:0], self.length[:0]
+        self.ids, self.length, self.again = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, bool)
+        self.held = 0
+
+    def _forget(self) -> None:
+        kept = np.flatnonzero(self.again)
+        if 2 * len(kept) > len(self.again):
+            self._clear()
+            return
+        words = list(self.index)  # in the order of their numbers
+        starts = np.cumsum(self.length, dtype=np.int64) - self.length
+        self.ids = spread(self.ids, starts[kept], self.length[kept].astype(np.int64))
+        self.length, self.again = self.length[kept], np.zeros(len(kept), bool)
+        self.index = {words[i]: n for n, i in enumerate(kept.tolist())}
+        self.held = sum(len(w) for w in self.index) + 4 * len(self.ids) + _PER_WORD * len(kept)
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, JOINED to a text: the last token of such a word, and no other, ends in END_OF_WORD."""
+        texts = [" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
+        ids = np.array([i for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) for i in x.ids], np.int32)
+        ends = np.flatnonzero(self.is_end[ids]) if len(ids) else ids
+        return ids, np.diff(np.r_[-1, ends]).astype(np.int32)
+
+    def _single(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        length = np.fromiter(map(len, found), np.int32, len(found))
+        return np.fromiter((i for x in found for i in x), np.int32, int(length.sum())), length
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """Numbers of distinct words, those not met before after the library has encoded them, all in one call."""
         index = self.index
-        fresh = list({w for words in split for w in words if w not in index})
+        known = len(index)
+        fresh = [w for w in words if w not in index]
         if fresh:
-            # words that hold a special token's string go by themselves, so that they do not slow down the others
-            odd = {w for w in fresh if any(mark in w for mark in self.special)}
-            for some in ([w for w in fresh if w not in odd], sorted(odd)):
-                if some:
-                    ids, length = self._fresh(some)
-                    for w in some:
-                        index[w] = len(index)
-                    self.ids, self.length = np.concatenate([self.ids, ids]), np.concatenate([self.length, length])
-        flat = np.fromiter((index[w] for words in split for w in words), np.int64)
-        length = self.length[flat]
-        ids = spread(self.ids, (np.cumsum(self.length) - self.length)[flat], length)
-        return ids, np.diff(np.r_[0, np.cumsum(length)][np.cumsum([0, *map(len, split)])])
+            whole = [w for w in fresh if self.cuts and w.isalpha() and w.isascii()]
+            if whole:
+                fresh = [*whole, *(w for w in fresh if not (w.isalpha() and w.isascii()))]
+            ids, length = (np.concatenate(x) for x in zip(self._joined(whole), self._single(fresh[len(whole) :]), strict=True))
+            index.update(zip(fresh, range(known, known + len(fresh)), strict=True))
+            self.ids, self.length = np.concatenate([self.ids, ids]), np.concatenate([self.length, length])
+            self.again = np.concatenate([self.again, np.zeros(len(fresh), bool)])
+            self.held += sum(map(len, fresh)) + 4 * len(ids) + _PER_WORD * len(fresh)
+        numbers = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+        self.again[numbers[numbers < known]] = True
+        return numbers
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of all texts (null: none), and how many each has."""
+        if self.held > KNOWN_BYTES:
+            self._forget()
+        data, offsets = flat(texts)
+        starts, ends, bounds = word_bounds(data, offsets)  # at the six ASCII spaces, as the tokenizer does
+        if self.cuts:
+            starts, ends, bounds = _cut(data, starts, ends, bounds)
+        lengths = ends - starts
+        where = np.cumsum(np.r_[0, lengths])
+        words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(where), pa.py_buffer(spread(data, starts, lengths))]).dictionary_encode()
+        numbers = self._numbers(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        length = self.length[numbers].astype(np.int64)
+        at = np.cumsum(self.length, dtype=np.int64) - self.length
+        return spread(self.ids, at[numbers], length), np.diff(np.r_[0, np.cumsum(length)][bounds])
+
+
+def _cut(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words cut where an ASCII letter meets an ASCII character that is none, at which LETTERS_APART cuts as well.
+
+    Not behind an apostrophe, which may begin an ending such as 's, and not in words that may hold a special token. Far fewer
+    of the pieces are new to a worker than of the words."""
+    small = data | np.uint8(32)
+    letter = (small >= 97) & (small <= 122)
+    other = (data < 128) & ~letter & (data > 32)
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = (letter[:-1] & other[1:]) | (other[:-1] & letter[1:] & (data[:-1] != 39))
+    special = np.flatnonzero((data[:-1] == 60) & (data[1:] == 124))
+    if len(special):
+        for i in np.unique(np.searchsorted(starts, special, "right") - 1).tolist():
+            cut[starts[i] : ends[i]] = False
+    cut[starts] = False  # where a text ends and the next begins, words are apart already
+    before = np.cumsum(cut)
+    more = np.r_[before[starts], before[-1:]] if len(starts) else np.zeros(1, np.int64)
+    is_start, is_end = cut.copy(), cut
+    is_start[starts], is_end[ends] = True, True
+    return np.flatnonzero(is_start), np.flatnonzero(is_end), (bounds + more[bounds]).astype(np.int64)
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -93,7 +157,7 @@ def pieces(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     With `with_ids`, the ids as well. Null and empty texts are the end id alone; repeated rows are documents of their own."""
 
     def work(chunk: pa.RecordBatch) -> dict[str, object]:
-        plain, count = word_ids(path).encode(strings(chunk.column("text")))
+        plain, count = word_ids(path).encode(chunk.column("text"))
         total = count + 1
         ends = np.cumsum(total)
         ids = np.full(int(ends[-1]) if len(ends) else 0, END, np.uint32)
