@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as X
 from rowmend import configure, decode_events, execute, match_flows, parse_events
-from rowmend.operators.steps import apply_payload_steps
+from rowmend.operators.steps import apply_flows, apply_payload_steps
 from rowmend.plans.config import Config, Replace, load_config
 from rowmend.plans.recovery import stage
 
@@ -82,12 +82,22 @@ def main() -> None:
     def step(path: str, row_type: str) -> DataFrame:
         return apply_payload_steps(decoded, [Replace(path, "new")], row_type).drop("doc")
 
+    def flow_of(steps: int) -> DataFrame:
+        """Steps at as many places of one base64 document."""
+        places = ("[1].schema", "[0].schema", "[0].data.id", "[1].data.k", "[1].data.zero")
+        listed = [{"op": "Cast" if "data." in p else "Replace", "path": f"$.raw.parameters.cx.data.{p}", "from": "String", "to": "String", "value": "new"} for p in places[:steps]]
+        data = {X.schema_of("schema_violations", "*-*-*"): [{"name": "cx", "conditions": [], "steps": listed}]}
+        flows = load_config(json.dumps({"schema": "iglu:com.acme/bench/jsonschema/1-0-0", "data": data}))
+        return apply_flows(match_flows(decoded, flows), flows).select("payload", "err")
+
     frames = {
         "parse_envelope": parse_events(lines).select("schema", "err"),
         "match_flows": match_flows(decoded, config).select("flows", "err"),
         "replace_plain": step("$.raw.refererUri", "schema_violations"),
         "replace_filter": step("$.raw.parameters.[?(@.name=~ue_pr)].value.data.data.k", "schema_violations"),
         "replace_base64": step("$.raw.parameters.cx.data.[1].schema", "schema_violations"),
+        "one_step_in_cx": flow_of(1),
+        "five_steps_in_cx": flow_of(5),
         "full_job": execute(lines, config).select("status", "request", "error_row"),
     }
     seconds = {name: round(timed(frame), 3) for name, frame in frames.items()}
@@ -95,7 +105,7 @@ def main() -> None:
         return execute(lines, used).select("status", "request", "error_row")
 
     planning = {"full_job": planned(lambda: whole(config))}
-    for flows in (20, 40):
+    for flows in (5, 20, 40):
         used = many_flows(flows)
         planning[f"flows_{flows}"] = planned(lambda used=used: whole(used))
         seconds[f"flows_{flows}"] = round(timed(whole(used)), 3)

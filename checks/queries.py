@@ -18,6 +18,7 @@ from rowmend.operators.recover import recover, refuse_unrecoverable, repair_form
 from rowmend.operators.requests import from_request, to_request
 from rowmend.plans.recovery import execute
 from rowmend.sources import files
+from rowmend.sources.batches import message_batches
 from rowmend.streaming.job import LiveCounters, durable_counters, stream_recover, write_batch
 
 from . import fixtures as X
@@ -208,6 +209,26 @@ def _(spark, sf_dir):
     return bases.select("page_id", "beside.*", F.col("told.failed").alias("told_failed"), F.col("told.unrecoverable").alias("below_failed"))
 
 
+_BATCH_RECORDS, _BATCH_BYTES = 7, 12_000
+
+
+@check(
+    "message_batches",
+    f"""WITH RECURSIVE r AS (SELECT doc_id, doc_id % 16 AS shard, octet_length(encode(text)) AS n, row_number() OVER (PARTITION BY doc_id % 16 ORDER BY doc_id) AS i FROM documents),
+        walk AS (SELECT doc_id, shard, i, 0 AS batch, 1 AS held, n AS bytes FROM r WHERE i = 1
+          UNION ALL SELECT r.doc_id, r.shard, r.i, CASE WHEN held + 1 > {_BATCH_RECORDS} OR bytes + n > {_BATCH_BYTES} THEN batch + 1 ELSE batch END,
+            CASE WHEN held + 1 > {_BATCH_RECORDS} OR bytes + n > {_BATCH_BYTES} THEN 1 ELSE held + 1 END,
+            CASE WHEN held + 1 > {_BATCH_RECORDS} OR bytes + n > {_BATCH_BYTES} THEN n ELSE bytes + n END
+          FROM walk JOIN r ON r.shard = walk.shard AND r.i = walk.i + 1)
+        SELECT doc_id, shard, CAST(batch AS BIGINT) AS batch FROM walk""",
+)
+def _(spark, sf_dir):
+    """Records of a message sink by shard, in batches of at most so many records and bytes."""
+    records = X.table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 16).alias("shard"), F.col("text").alias("value"))
+    in_order = records.repartition("shard").sortWithinPartitions("shard", "doc_id")
+    return message_batches(in_order, _BATCH_RECORDS, _BATCH_BYTES, within="shard").select("doc_id", "shard", "batch")
+
+
 # --- parse and decode --------------------------------------------------------------
 
 

@@ -10,6 +10,7 @@ from .operators.requests import from_request, to_request
 from .operators.steps import add, apply_flows, apply_steps, cast, edit_path, remove, replace
 from .plans.config import Config, ConfigError, load_config
 from .plans.recovery import execute, run_batch
+from .sources.batches import message_batches
 from .sources.files import (
     read_failed_events,
     stream_failed_events,
@@ -42,6 +43,7 @@ __all__ = [
     "load_config",
     "match_flows",
     "matches",
+    "message_batches",
     "metrics_frame",
     "parse_events",
     "read",

@@ -131,7 +131,14 @@ class AtPair:
     last: bool
 
 
-Node = AtField | AtItem | AtMatches | AtPair
+@dataclass(frozen=True)
+class Many:
+    """Several edits of one text, one after the other: where, what, and the error of a path that leads nowhere."""
+
+    edits: "tuple[tuple[Node | None, Leaf, Sql], ...]"
+
+
+Node = AtField | AtItem | AtMatches | AtPair | Many
 
 
 def resolve(segments: list[Segment], previous: tuple[Segment, ...] = ()) -> Node | None:
@@ -308,6 +315,10 @@ def encoded_text(content: Sql, codec: str, child: Node | None, leaf: Leaf, missi
 
 def edit_text(text: Sql, node: Node | None, leaf: Leaf, missing: Sql) -> Sql:
     """`edit` of JSON text (one whole value): an outcome over text, in which all but the place edited stays as it is."""
+    if isinstance(node, Many):
+        (child, change, gone), *rest = node.edits
+        done = edit_text(text, child, change, gone)
+        return V.then(done, lambda new: edit_text(new, Many(tuple(rest)), leaf, missing)) if rest else done
     steps: list[str | int] = []
     change = text_change(leaf)
     while node is not None:

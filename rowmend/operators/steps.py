@@ -8,6 +8,7 @@ document expression into every place that mentions it.
 from __future__ import annotations
 
 import dataclasses
+import itertools
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -18,7 +19,7 @@ from ..functions.errors import Known
 from ..functions.variants import Sql
 from ..plans.config import Add, Cast, Compare, Config, Flow, Remove, Replace, Step
 from . import access, edits
-from .paths import Change, Leaf, edit
+from .paths import AtPair, Change, Leaf, Many, edit
 from .payloads import EVENT_FIELDS, known_shape, payload_struct
 
 _STATE = "_state"
@@ -71,15 +72,17 @@ def apply_flows(events: DataFrame, config: Config, zero_is_false: bool = False)
     projections is that of the longest chain, not of all steps together. Within a
     round, steps that differ in their values alone are one expression whose values
     come from a constant map by the flow that the row matched, so the plan grows
-    with the different operations and paths, not with the flows.
+    with the different operations and paths, not with the flows. Steps that follow
+    each other into one encoded document open it once.
     """
-    rounds: list[list[tuple[str, int, Step]]] = []
+    rounds: list[list[tuple[str, int, Step | Together]]] = []
     ends: list[int] = []
+    chains = [_chain(f.steps, f.row_type) for f in config.flows]
     for i, flow in enumerate(config.flows):
         start = max((end for end, other in zip(ends, config.flows) if not exclusive(flow, other)), default=0)
-        ends.append(start + len(flow.steps))
+        ends.append(start + len(chains[i]))
         rounds += [[] for _ in range(ends[-1] - len(rounds))]
-        for n, step in enumerate(flow.steps):
+        for n, step in enumerate(chains[i]):
             rounds[start + n].append((flow.row_type, i, step))
     for round_ in rounds:
         events = _advance(events, round_, zero_is_false)
@@ -89,8 +92,36 @@ def apply_flows(events: DataFrame, config: Config, zero_is_false: bool = False)
 # --- steps as data ----------------------------------------------------------------
 
 
-def _alike(step: Step) -> tuple[Any, ...]:
+@dataclasses.dataclass(frozen=True)
+class Together:
+    """Steps of one flow into the document that one pair holds, in their order."""
+
+    steps: tuple[Step, ...]
+
+
+def _document(step: Step, row_type: str) -> tuple[str, ...] | None:
+    """The encoded document that a step edits within, by the pair that holds it."""
+    place = access.locate(step.path, known_shape(row_type, repaired=True))
+    node = place.node if place is not None and place.field is not None else None
+    return (node.list_name, node.name, node.codec) if isinstance(node, AtPair) and node.codec and node.child is not None else None
+
+
+def _chain(steps: tuple[Step, ...], row_type: str) -> list[Step | Together]:
+    """The steps, with those next to each other that edit one encoded document put together: it is decoded and encoded once.
+
+    Order and the first error stay: a step sees what the one before has made, and none runs after one that failed. A row that
+    fails keeps the document as it was before all of them; its error row is made from the line."""
+    out: list[Step | Together] = []
+    for document, some in itertools.groupby(steps, lambda s: _document(s, row_type)):
+        listed = tuple(some)
+        out += [Together(listed)] if document and len(listed) > 1 else listed
+    return out
+
+
+def _alike(step: Step | Together) -> tuple[Any, ...]:
     """What steps must share to become one: the operation, the path and all that shapes the expression. Values may differ."""
+    if isinstance(step, Together):
+        return Together, *map(_alike, step.steps)
     if isinstance(step, Cast):
         return Cast, step.path, step.from_type, step.to_type
     value = "" if isinstance(step, Remove) else step.value
@@ -105,8 +136,11 @@ def _by_flow(flows: list[int], texts: list[str], pick: Sql) -> Sql:
     return f"element_at(map({entries}), {pick})"
 
 
-def _merged(flows: list[int], steps: list[Step], pick: Sql, n: int) -> tuple[Step, dict[str, Sql]]:
+def _merged(flows: list[int], steps: list[Step] | list[Together], pick: Sql, n: str) -> tuple[Step | Together, dict[str, Sql]]:
     """One step for all of them, and the columns, numbered n, that hold its values; those that do not differ stay constants."""
+    if isinstance(steps[0], Together):
+        parts = [_merged(flows, list(some), pick, f"{n}_{k}") for k, some in enumerate(zip(*(s.steps for s in steps), strict=True))]
+        return Together(tuple(step for step, _ in parts)), {name: sql for _, columns in parts for name, sql in columns.items()}
     columns: dict[str, Sql] = {}
     params: dict[str, edits.Param] = {}
     for field in ("value", "match"):
@@ -140,9 +174,9 @@ def apply_payload_steps(events: DataFrame, steps: list[Step], row_type: str, zer
     return staged
 
 
-def _advance(events: DataFrame, round_: list[tuple[str, int, Step]], zero_is_false: bool) -> DataFrame:
+def _advance(events: DataFrame, round_: list[tuple[str, int, Step | Together]], zero_is_false: bool) -> DataFrame:
     """One step per row type, on rows that matched its flow and have no error yet. No row has steps of two flows in one round."""
-    groups: dict[tuple[Any, ...], list[tuple[int, Step]]] = {}
+    groups: dict[tuple[Any, ...], list[tuple[int, Step | Together]]] = {}
     for row_type, flow, step in round_:
         groups.setdefault((row_type, *_alike(step)), []).append((flow, step))
     results: dict[str, Sql] = {}
@@ -157,12 +191,16 @@ def _advance(events: DataFrame, round_: list[tuple[str, int, Step]], zero_is_fal
         else:
             pick = f"_pick{n}"
             picks[pick] = f"try_element_at(array_intersect(matched, array({', '.join(map(str, flows))})), 1)"
-            step, columns = _merged(flows, [s for _, s in members], pick, n)
+            step, columns = _merged(flows, [s for _, s in members], pick, str(n))
             is_for = f"{pick} IS NOT NULL"
             values |= columns
         shape = known_shape(row_type, repaired=True)
-        change, missing = _change(step, zero_is_false)
-        place = access.locate(step.path, shape)
+        first, *more = step.steps if isinstance(step, Together) else (step,)
+        change, missing = _change(first, zero_is_false)
+        place = access.locate(first.path, shape)
+        if more:
+            inside = [(access.locate(s.path, shape).node.child, *_change(s, zero_is_false)) for s in (first, *more)]
+            place = dataclasses.replace(place, node=dataclasses.replace(place.node, child=Many(tuple(inside))))
         if place is None:
             outcome = V.fail(missing)
         else:

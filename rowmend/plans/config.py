@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 
 from ..functions.schema_keys import SchemaPattern
 from ..operators.edits import CAST_TYPES, json_value
+from .patterns import is_exponential
 
 _FLOW_NAME = re.compile(r"^[a-zA-Z0-9]+(-[a-zA-Z0-9]+)*-?$")
 
@@ -104,15 +105,19 @@ def check_patterns(config: Config, spark: SparkSession) -> None:
     """Compile every regular expression with the engine that will run it, and hold replacements against its groups.
 
     What does not compile raises `ConfigError` here, on the driver, and not in a
-    task. Paths that name nothing are refused as well.
+    task; so does a pattern that one line could hold a task with for ever. Paths
+    that name nothing are refused as well.
     """
     java = spark._jvm.java.util.regex.Pattern
 
     def compiled(regex: str, where: str) -> Any:
         try:
-            return java.compile(regex)
+            found = java.compile(regex)
         except Exception as e:
             raise ConfigError(f"{where}: not a pattern: {regex}") from e
+        if is_exponential(regex):
+            raise ConfigError(f"{where}: matching may take exponential time: {regex}")
+        return found
 
     def path(text: str, where: str) -> None:
         segments = _path_parts(text)

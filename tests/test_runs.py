@@ -6,7 +6,7 @@ import pytest
 
 from checks import fixtures as X
 from checks import queries as C
-from rowmend import durable_counters, read_recovered, run_batch
+from rowmend import durable_counters, message_batches, read_recovered, run_batch
 from rowmend.plans import recovery
 from rowmend.sources import files, runs
 from rowmend.streaming.job import write_batch
@@ -81,3 +81,30 @@ def test_counts_are_filed_by_batch(spark):
     counts = durable_counters(spark, out).first().asDict()
     assert {r["status"]: 2 * r["count"] for r in once} == {s: n for s, n in counts.items() if n}
     assert json.dumps(counts)
+
+
+@pytest.mark.parametrize("records,size", [(3, 100), (1, 1), (100, 10), (2, 0)])
+def test_batches_are_full_and_bounded(spark, records, size):
+    """As one record after the other would fill them, over Arrow batches as well; larger records are batches of their own."""
+    texts = ["x" * n for n in (0, 5, 40, 60, 1, 200, 3, 3, 3, 3, 100, 0, 0, 99, 2)] + [None, "é" * 5]
+    rows = [(i, i // 9 if i < 14 else None, t) for i, t in enumerate(texts)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        frame = spark.createDataFrame(rows, "i int, shard int, value string").coalesce(1)
+        found = {r["i"]: r["batch"] for r in message_batches(frame, records, size, within="shard").collect()}
+        one = [r["batch"] for r in message_batches(frame, records, size).orderBy("i").collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for shards, got in ((True, found), (False, dict(enumerate(one)))):
+        batch = held = count = 0
+        for n, (i, shard, t) in enumerate(rows):
+            b = len((t or "").encode())
+            if shards and n and shard != rows[n - 1][1]:
+                batch = held = count = 0
+            elif count and (count + 1 > records or held + b > size):
+                batch, held, count = batch + 1, 0, 0
+            assert got[i] == batch
+            held, count = held + b, count + 1
+    assert message_batches(frame.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        message_batches(frame, 0)
