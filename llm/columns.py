@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -55,15 +56,19 @@ def over_chunks(docs: DataFrame, columns: list[str], work: Callable[[pa.RecordBa
         for chunk in chunks(batches, limit=limit):
             made = work(chunk)
             yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(made.values(), kinds, strict=True)], schema=kinds)
+        pa.default_memory_pool().release_unused()  # the worker lives on; what it no longer holds goes back
 
     return docs.select(*columns).mapInArrow(run, shape)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share. Only where that is unset, as in tests, a local one."""
+    """A new folder below spark.checkpoint.dir, which driver and executors share. Only where that is unset and there is no
+    cluster, as in tests, a local one."""
     context = spark.sparkContext
     top = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not top:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
         top = context.getCheckpointDir()
     return f"{top}/{uuid.uuid4().hex}"
@@ -80,6 +85,17 @@ def staged(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def free_names(docs: DataFrame, *wanted: str) -> list[str]:
+    """Names for columns of our own beside those of `docs`: as wanted, with underscores before them while a column has that name."""
+    taken, out = {x.lower() for x in docs.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def partitions(frame: DataFrame) -> int:
     return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +26,8 @@ MISSED = 1e-5
 MOST_COLLECTIONS = 64
 #: Texts, and shingles, of a family that are compared in one task; larger families are cut into blocks.
 BLOCK_TEXTS = 1000
-BLOCK_SHINGLES = 2_000_000
-#: Bytes of texts that a task turns into sets at once; some hundred times as many are held meanwhile.
+BLOCK_SHINGLES = 400_000
+#: Bytes of texts that a task turns into sets at once; some fifty times as many are held meanwhile.
 TEXT_BYTES = 1 << 20
 
 _SEEDS = np.random.default_rng(85).integers(1, 1 << 63, (MOST_COLLECTIONS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
@@ -47,7 +48,15 @@ def collections(percent: int) -> int:
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
-    """Of each text the sorted distinct hashes of its shingles; with fewer words than a shingle, that of the whole sequence."""
+    """Of each text the sorted distinct hashes of its shingles; with fewer words than a shingle, that of the whole sequence.
+
+    TEXT_BYTES of text at a time, or one text that is longer: what is held beside the sets does not grow with the texts."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(size // TEXT_BYTES)) + 1).tolist(), len(texts)]
+    return [x for a, b in zip(cuts, cuts[1:], strict=False) if b > a for x in _sets_of(texts.slice(a, b - a))]
+
+
+def _sets_of(texts: pa.Array) -> list[np.ndarray]:
     data, offsets = flat(texts)
     small = np.arange(256, dtype=np.uint8)
     small[65:91] += 32
@@ -164,6 +173,7 @@ def _compare(rows: DataFrame, kind: str, percent: int) -> DataFrame:
                     right.append(a + j)
             take = table["node"].combine_chunks()
             yield pa.RecordBatch.from_arrays([take.take(pa.array(left, pa.int64())), take.take(pa.array(right, pa.int64()))], names=["a", "b"])
+        pa.default_memory_pool().release_unused()
 
     return rows.select("family", "node", "side", "text").repartition("family").sortWithinPartitions("family").mapInArrow(decide, f"a {kind}, b {kind}")
 
