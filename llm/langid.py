@@ -235,7 +235,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def predict_held_out(docs: DataFrame) -> DataFrame:
-    """Learns from the rows whose crc32(doc_id) mod 4 is not 2, and predicts all rows."""
+    """Learns from the rows whose crc32(doc_id) mod 4 is not 2, and predicts all rows.
+
+    Rows without a doc_id are not held out. Repeated rows come out once each with equal predictions; of languages that score
+    alike the first in alphabetical order is taken. Without labels every text is `und`."""
     held_out = F.expr("crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 4 = 2")
-    model = train(docs.where(~held_out))
-    return predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_spans")
+    model = train(docs.where(F.coalesce(~held_out, F.lit(True))))
+    return predict(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "n_spans")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.columns import chunks, flat, over_chunks
+from llm.columns import chunks, free_names, flat, over_chunks
 from llm.hashing import byte_values, prefix, stretches, word_bounds
 
 #: Hash buckets of words.
@@ -121,26 +121,32 @@ def train(docs: DataFrame, labels: DataFrame) -> Classifier:
     return fit([x for x, y in zip(lists, flags, strict=True) if y], [x for x, y in zip(lists, flags, strict=True) if not y], n_toxic / n_known)
 
 
-def scores(docs: DataFrame, model: Classifier) -> DataFrame:
-    """All columns of `docs` and toxic_score (0 to 1; null and empty texts get the score of no words)."""
+def scores(docs: DataFrame, model: Classifier, column: str = "toxic_score") -> DataFrame:
+    """All columns of `docs` and `column` (0 to 1; null and empty texts get the score of no words). It must not be one of theirs."""
     names = docs.columns
 
     def work(chunk: pa.RecordBatch) -> dict[str, object]:
         texts = pc.fill_null(chunk.column("text"), "")
-        return {x: chunk.column(x) for x in names} | {"toxic_score": model.scores(*distinct_words(texts), chunk.num_rows)}
+        return {x: chunk.column(x) for x in names} | {column: model.scores(*distinct_words(texts), chunk.num_rows)}
 
-    return over_chunks(docs, names, work, T.StructType([*docs.schema.fields, T.StructField("toxic_score", T.DoubleType())]))
+    return over_chunks(docs, names, work, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
 def score_held_out(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Learns from rows whose crc32(doc_id) mod 5 is not 0; doc_id, held_out, score and predicted of all rows."""
+    """Learns from rows whose crc32(doc_id) mod 5 is not 0; doc_id, held_out, score and predicted of all rows.
+
+    Rows without a doc_id have no label and are not held out. Repeated rows come out once each with equal scores; a score of
+    just 0.5 counts as toxic. Without labels, or with none of 1, no text is toxic."""
     held_out = F.expr("crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0")
-    model = train(docs.where(~held_out), labels.where(~held_out))
+    learned = F.coalesce(~held_out, F.lit(True))
+    model = train(docs.where(learned), labels.where(learned))
     scored = scores(docs.select("doc_id", "text"), model)
-    return scored.select("doc_id", held_out.alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"))
+
 
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of `docs`, all their columns, that a classifier trained on the labelled ones of them does not score 0.5 or more.
 
-def without_toxic(docs: DataFrame, labels: DataFrame, column: str = "__toxic_score") -> DataFrame:
-    """The rows of `docs` that a classifier trained on the labelled ones of them does not score 0.5 or more."""
-    scored = scores(docs, train(docs, labels)).withColumnRenamed("toxic_score", column)
-    return scored.where(F.col(column) < 0.5).drop(column)
+    Null and empty texts stay, and so does every row where nothing is labelled 1. Of repeated rows all stay or go."""
+    (column,) = free_names(docs, "toxic_score")
+    return scores(docs, train(docs, labels), column).where(F.col(column) < 0.5).drop(column)
