@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from llm.hashing import mixed, stretches
+from llm.hashing import Sums, mixed, stretches
 
 
 def sliding_minimum(a: np.ndarray, width: int) -> np.ndarray:
@@ -23,7 +23,7 @@ def sliding_minimum(a: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(ahead[: n - width + 1], behind[width - 1 : n])
 
 
-def owned_runs(sums: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> dict[str, np.ndarray]:
+def owned_runs(sums: Sums, offsets: np.ndarray, window: int, gram: int) -> dict[str, np.ndarray]:
     """Runs of windows, one unit apart, that share an anchor: text, lo (first window's start in the text), size (from lo to the
     last window's end), hash (the anchor's) and segment (a hash of all units from lo on and of the anchor's place in them).
 

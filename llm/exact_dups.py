@@ -136,7 +136,7 @@ def _segments(texts: DataFrame, window: int) -> DataFrame:
 
 def with_removals(docs: DataFrame, marks: DataFrame) -> DataFrame:
     """doc_id, text, n and the marks of each row (starts and sizes), or null where it has none."""
-    per_row = marks.groupBy("key", "n").agg(F.collect_list(F.struct("lo", "size")).alias("marks"))
+    per_row = marks.groupBy("key", "n").agg(F.collect_set(F.struct("lo", "size")).alias("marks"))
     return keyed(docs).join(per_row, ["key", "n"], "left")
 
 

@@ -1,23 +1,44 @@
-"""64-bit hashes of any stretches of a byte array, from one prefix sum over it."""
+"""Hashes of any stretches of a byte array, from prefix sums over it modulo two primes.
+
+Polynomial sums modulo 2 ** 64 collide for any odd base on Thue-Morse texts; modulo a prime with a base drawn at random they
+do not. Two primes give 62 bits."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 
-_BASE = 0x9E3779B97F4A7C15
-_BYTES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+_PRIMES = tuple(map(np.uint64, (2147483647, 2147483629)))
+_RNG = np.random.default_rng(20240229)
+_BASES = [int(_RNG.integers(1 << 20, int(p) - 1)) for p in _PRIMES]
+_BYTES = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Tables of powers are kept up to this length; for a longer array they are made for it and let go.
+_KEPT = 1 << 21
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _table(base: int, prime: np.uint64, n: int) -> np.ndarray:
+    """The first n powers of the base, by doubling."""
+    out = np.ones(n, np.uint64)
+    done = 1
+    while done < n:
+        some = min(done, n - done)
+        out[done : done + some] = out[:some] * np.uint64(pow(base, done, int(prime))) % prime
+        done += some
+    return out.astype(np.uint32)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse, modulo 2**64."""
-    if len(_powers["up"]) < n:
-        size = max(n, 1 << 20)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            row = np.full(size, base, np.uint64)
-            row[0] = 1
-            _powers[name] = np.multiply.accumulate(row)
-    return _powers["up"][:n], _powers["down"][:n]
+def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of a base and of its inverse, modulo its prime."""
+    found = _powers.get(which)
+    if found is None or len(found[0]) < n:
+        size = max(n, min(2 * n, _KEPT))
+        prime, base = _PRIMES[which], _BASES[which]
+        found = _table(base, prime, size), _table(pow(base, -1, int(prime)), prime, size)
+        if size <= _KEPT:
+            _powers[which] = found
+    return found[0][:n], found[1][:n]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -26,18 +47,33 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def prefix(values: np.ndarray) -> np.ndarray:
+@dataclass
+class Sums:
+    """Prefix sums of the terms value * base ** place, one row for each prime; they do not wrap below 2 ** 33 values."""
+
+    rows: list[np.ndarray]
+    down: list[np.ndarray]
+
+    def __len__(self) -> int:
+        return len(self.rows[0])
+
+
+def prefix(values: np.ndarray) -> Sums:
     """Sums from which `stretches` takes hashes. values: uint64."""
-    up, _ = powers(len(values) + 1)
-    out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[:-1], out=out[1:])
-    return out
+    rows, down = [], []
+    for which, prime in enumerate(_PRIMES):
+        up, inverse = powers(which, len(values) + 1)
+        row = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values % prime * up[:-1] % prime, out=row[1:])
+        rows.append(row)
+        down.append(inverse)
+    return Sums(rows, down)
 
 
-def stretches(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def stretches(sums: Sums, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of values[start:end]; equal stretches have equal hashes wherever they stand."""
-    _, down = powers(len(sums))
-    return mixed((sums[ends] - sums[starts]) * down[starts])
+    high, low = ((row[ends] - row[starts]) % prime * down[starts] % prime for row, down, prime in zip(sums.rows, sums.down, _PRIMES, strict=True))
+    return mixed((high << np.uint64(31)) | low)
 
 
 def byte_values(data: np.ndarray) -> np.ndarray:

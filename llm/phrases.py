@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.anchors import cover, owned_runs, runs
-from llm.columns import flat, over_chunks, staged
+from llm.columns import flat, free_names, over_chunks, staged
 from llm.exact_dups import ANCHOR_BYTES, groups, keyed
 from llm.hashing import byte_values, prefix, stretches, word_bounds
 
@@ -159,11 +159,16 @@ def _segments(texts: DataFrame, window: int, kind: str) -> DataFrame:
     return over_chunks(texts, ["text", "wanted"], read, f"hash long, segment long, first_doc {kind}, segment_text binary, start int, window_hash long", ANCHOR_BYTES)
 
 
-def _removed(chunk: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _marks(stretches_: DataFrame) -> DataFrame:
+    """key, n, marks: the stretches of each row; equal rows share theirs, so each counts once."""
+    return stretches_.groupBy("key", "n").agg(F.collect_set(F.struct("lo", "size")).alias("marks"))
+
+
+def _removed(chunk: pa.RecordBatch, column: str = "marks") -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Of each row: its bytes, its words' starts and ends in them, and the starts and ends of the runs of words that go."""
     data, offsets = flat(chunk.column("text"))
     starts, ends, bounds = word_bounds(data, offsets)
-    raw, lists = data.tobytes(), chunk.column("marks")
+    raw, lists = data.tobytes(), chunk.column(column)
     at = lists.offsets.to_numpy()
     lo, size = (lists.values.field(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("lo", "size"))
     none = np.zeros(0, np.int64)
@@ -195,7 +200,7 @@ def removal_digests(docs: DataFrame, window: int = WINDOW, **options: int) -> Da
             digests.append(hashlib.sha256(b" ".join(kept)).hexdigest())
         return {"doc_id": chunk.column("doc_id"), "n_words": total, "n_removed": removed, "kept_sha256": digests}
 
-    marks = recurring_words(docs, window, **options).groupBy("key", "n").agg(F.collect_list(F.struct("lo", "size")).alias("marks"))
+    marks = _marks(recurring_words(docs, window, **options))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return over_chunks(keyed(docs).join(marks, ["key", "n"], "left"), ["doc_id", "text", "marks"], work, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
 
@@ -203,12 +208,13 @@ def removal_digests(docs: DataFrame, window: int = WINDOW, **options: int) -> Da
 def without_recurring(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The same rows and columns; recurring words go from `text`, with the white space behind them. Other texts stay as they are, null too."""
     names = docs.columns
+    key, n, own = free_names(docs, "key", "n", "marks")
 
     def work(chunk: pa.RecordBatch) -> dict[str, object]:
         texts = chunk.column("text")
-        if chunk.column("marks").null_count < chunk.num_rows:
+        if chunk.column(own).null_count < chunk.num_rows:
             new = texts.to_pylist()
-            for i, (raw, starts, _, gone, until) in enumerate(_removed(chunk)):
+            for i, (raw, starts, _, gone, until) in enumerate(_removed(chunk, own)):
                 if len(gone):
                     parts, at = [], 0
                     for a, b in zip(gone.tolist(), until.tolist(), strict=True):
@@ -219,6 +225,6 @@ def without_recurring(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         return {x: texts if x == "text" else chunk.column(x) for x in names}
 
     text = F.coalesce(F.col("text"), F.lit(""))
-    marks = recurring_words(docs, window).groupBy("key", "n").agg(F.collect_list(F.struct("lo", "size")).alias("marks")).select(F.col("key").alias("__key"), F.col("n").alias("__n"), "marks")
-    rows = docs.withColumns({"__key": F.xxhash64("doc_id", text), "__n": F.octet_length(text).cast("long")}).join(marks, ["__key", "__n"], "left")
-    return over_chunks(rows, [*names, "marks"], work, T.StructType(docs.schema.fields))
+    marks = _marks(recurring_words(docs, window)).toDF(key, n, own)
+    rows = docs.withColumns({key: F.xxhash64("doc_id", text), n: F.octet_length(text).cast("long")}).join(marks, [key, n], "left")
+    return over_chunks(rows, [*names, own], work, T.StructType(docs.schema.fields))

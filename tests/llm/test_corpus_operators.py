@@ -5,11 +5,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from llm import exact_dups, near_dups, neighbours, packing, phrases, suffixes
+from llm import exact_dups, langid, near_dups, neighbours, packing, phrases, suffixes, toxicity
 from llm.components import connected_components
 from tests.llm import plain
 
@@ -58,11 +59,23 @@ def test_word_ids_are_the_library():
     pieces = ["Hello", " ", "\n", "é", "Ñ", "世界", "🙂", "123", "'s", "'LL", "aaaa", "<|endoftext|>", "<|startoftext|>", "!!", "\t", "ab", "\x1c", "٣", "é", "İ", "Σ", " ", "\x85", "᠎"]
     texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 60))) for _ in range(800)]
     words = packing.WordIds(PATH)
-    ids, count = words.encode(texts)
+    ids, count = words.encode(pa.array([*texts, None]))
+    texts.append("")
     wanted = [x.ids for x in words.tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert ids.tolist() == [i for x in wanted for i in x] and count.tolist() == [len(x) for x in wanted]
 
 
+def test_words_are_forgotten(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_BYTES", 1000)
+    words = packing.WordIds(PATH)
+    for i in range(30):
+        texts = [f"common words and w{i}x{j} again" for j in range(3)] + ["common"] * (i % 2)
+        ids, count = words.encode(pa.array(texts))
+        wanted = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == [i for x in wanted for i in x] and count.tolist() == [len(x) for x in wanted]
+        assert len(words.index) < 40
+
+
 @pytest.mark.parametrize("n, most", [(0, 0), (1, 1), (2000, 0.02)])
 def test_plan_serves_each_piece_once(n, most):
     lengths = np.random.default_rng(1).integers(1, 65, n)
@@ -277,7 +290,7 @@ def test_pipeline(spark):
     assert toxic.columns == docs.columns and 0.8 * docs.count() < toxic.count() <= docs.count()
     left = stages["near duplicates"](spark, toxic, sf).cache()
     rows = [(r["doc_id"], r["text"]) for r in toxic.collect()]
-    assert sorted(r["doc_id"] for r in left.collect()) == [d for d, _, _, kept in plain.near_duplicates(rows) if kept]
+    assert sorted(r["doc_id"] for r in left.collect()) == [d for d, _, _, kept in plain.near_duplicates(rows, corpus_pipeline.NEAR_PERCENT) if kept]
     cut = stages["substring dedup"](spark, left, sf).cache()
     rows = [(r["doc_id"], r["text"]) for r in left.collect()]
     gone = {d: n - removed for d, n, removed, _ in plain.recurring_words(rows, phrases.WINDOW)}
@@ -288,3 +301,51 @@ def test_pipeline(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in masked.collect())
     check_packing(stages["packing"](spark, masked, sf), [(r["doc_id"], r["text"]) for r in masked.collect()])
     assert corpus_pipeline.run(spark, sf).select("doc_id").distinct().count() == masked.count()
+
+
+def thue_morse(n):
+    """A text of a and b, and the one with both exchanged: they collide in polynomial hashes modulo 2 ** 64, whatever the base."""
+    t = [bin(i).count("1") % 2 for i in range(n)]
+    return ("".join("ab"[x] for x in t), "".join("ba"[x] for x in t))
+
+
+def test_texts_that_fool_weak_hashes(spark):
+    one, other = thue_morse(2048)
+    head, tail = [f"h{i}" for i in range(30)], [f"t{i}" for i in range(30)]
+    passages = [(1, " ".join([*head, one, *tail])), (2, " ".join([*head, other, *tail]))]
+    assert [r["n_removed"] for r in phrases.removal_digests(spark.createDataFrame(passages, DOCS)).collect()] == [0, 0]
+    words = [(1, f"{one} b c d e"), (2, f"{other} b c d e")]
+    assert {r["component_id"] for r in near_dups.grouped(spark.createDataFrame(words, DOCS)).collect()} == {1, 2}
+    # equal but for the exchange within a segment: windows that take in the exchange stand once
+    rows = [(i, "x" * 300 + t + "y" * 300) for i, t in ((1, one), (2, other))]
+    for most in (20_000, 0):
+        found = exact_dups.removal_digests(spark.createDataFrame(rows, DOCS), window=1200, gram=32, most_segments=most)
+        assert rows_of(found) == plain.repeated_bytes(rows, 1200)
+
+
+def test_names_that_the_operators_use(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, f"own {passage}", 7, "k", 1, 0.5, "x"), (2, f"other {passage}", 8, "l", 2, 0.5, None)], "doc_id long, text string, marks int, key string, n int, toxic_score double, __key string")
+    labels = spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, toxic int")
+    assert rows_of(phrases.without_recurring(docs)) == [(1, f"own {passage}", 7, "k", 1, 0.5, "x"), (2, "other ", 8, "l", 2, 0.5, None)]
+    assert rows_of(toxicity.without_toxic(docs, labels)) == rows_of(docs)
+
+
+def test_pipeline_edges(spark, tmp_path):
+    """No rows, null and empty texts, columns with the operators' own names."""
+    schema = "doc_id long, text string, lang string, source string, n_chars int, marks int, toxic_score int, kept string"
+    rows = [(1, None, "en", "s", None, 1, 1, "k"), (2, "", None, None, 0, 1, 1, "k"), (None, "some words here", "en", "s", 15, 1, 1, "k"), (3, "a b c", "en", "s", 5, 1, 1, "k"), (3, "a b c", "en", "s", 5, 1, 1, "k")]
+    for name, some in (("none", []), ("some", rows)):
+        spark.createDataFrame(some, schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([(3, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    found = corpus_pipeline.run(spark, f"{tmp_path}/some").collect()
+    assert sorted(str(r["doc_id"]) for r in found) == ["1", "2", "3", "3", "None"]
+    assert {r["length"] for r in found if r["doc_id"] in (1, 2)} == {1}
+
+
+def test_rows_without_ids_are_not_held_out(spark):
+    docs = spark.createDataFrame([(None, "the house is red", "en"), (3, "la casa es roja", "es")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(3, 1)], "doc_id long, toxic int")
+    for found in (langid.predict_held_out(docs), toxicity.score_held_out(docs, labels)):
+        assert all(r["held_out"] is not None for r in found.collect()) and found.where("doc_id IS NULL AND held_out").count() == 0
