@@ -70,8 +70,8 @@ def repeated_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, most
         return {"key": chunk.column("key").take(row), "n": chunk.column("n").take(row), "lo": found["lo"].astype(np.int32), "size": found["size"].astype(np.int32), "hash": found["hash"], "segment": found["segment"]}
 
     all_runs = over_chunks(texts.where(F.col("n") >= window), ["key", "n", "text"], anchors, "key long, n long, lo int, size int, hash long, segment long", ANCHOR_BYTES)
-    twice = staged(all_runs.groupBy("hash").agg(F.count("*").alias("times"), F.min("segment").alias("a"), F.max("segment").alias("b")).where("times > 1"))
-    shared = staged(all_runs.join(twice.select("hash", (F.col("a") == F.col("b")).alias("alike")), "hash"))
+    twice = staged(all_runs.groupBy("hash").agg(F.count("*").alias("times"), F.min("segment").alias("a"), F.max("segment").alias("b")).where("times > 1").select("hash", (F.col("a") == F.col("b")).alias("alike")))
+    shared = staged(all_runs.join(twice, "hash"))
 
     # segments of one anchor that are all alike repeat as a whole; others are compared, one of each kind
     alike = shared.where("alike").select("key", "n", "lo", "size")
