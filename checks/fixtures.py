@@ -69,7 +69,7 @@ def _struct(**fields: Column) -> Column:
 
 
 def _b64(text: Column) -> Column:
-    return F.translate(F.base64(text.cast("binary")), "\r\n", "")
+    return F.replace(F.base64(text.cast("binary")), F.lit("\r\n"), F.lit(""))
 
 
 def _pair(name: str, value: Column) -> Column:

@@ -11,7 +11,7 @@ def b64_decode_bytes(encoded: Sql) -> Sql:
         encoded,
         lambda e: (
             f"CASE WHEN {e} RLIKE '^[A-Za-z0-9+/_-]*={{0,2}}\\u0024'"
-            f" THEN try_to_binary(translate({e}, '-_', '+/'), 'base64') END"
+            f" THEN try_to_binary(replace(replace({e}, '-', '+'), '_', '/'), 'base64') END"
         ),
     )
 
@@ -22,5 +22,5 @@ def b64_decode(encoded: Sql) -> Sql:
 
 
 def b64_encode(plain: Sql) -> Sql:
-    """Standard alphabet, padded, on a single line."""
-    return f"translate(base64(CAST({plain} AS BINARY)), '\\r\\n', '')"
+    """Standard alphabet, padded, on a single line. (`replace` looks for bytes; `translate` makes a string of each character.)"""
+    return f"replace(base64(CAST({plain} AS BINARY)), '\\r\\n', '')"

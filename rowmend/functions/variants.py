@@ -60,11 +60,12 @@ def let(value: Sql, body: Callable[[Sql], Sql]) -> Sql:
     """Evaluate `value` once and use it any number of times in `body`.
 
     Without it a nested rewrite would repeat its input at every level and the
-    expression would grow exponentially with the depth of the path. (Not `[0]`:
-    that works out the type of everything below it again for every row.)
+    expression would grow exponentially with the depth of the path. (The last
+    function of a fold over nothing: a `transform` of one element would copy what
+    comes out of it, once more at every level.)
     """
-    name = fresh()
-    return f"element_at(transform(array({value}), {name} -> {body(name)}), 1)"
+    name, old, item = fresh(), fresh("a"), fresh()
+    return f"aggregate(array(), {value}, ({old}, {item}) -> {old}, {name} -> {body(name)})"
 
 
 def first(items: Sql) -> Sql:
@@ -121,10 +122,10 @@ def keeps_numbers(text: Sql) -> Sql:
 
 def is_whole(w: Sql, text: Sql) -> Sql:
     """Whether wrapped text was exactly one JSON value, with no number that would be altered."""
-    return (
-        f"(variant_get({w}, '\\u0024[1]', 'string') <=> {quote(_END)}"
-        f" AND variant_get({w}, '\\u0024[2]', 'variant') IS NULL AND {keeps_numbers(text)})"
-    )
+    # Only text with this escape in it can hold an end marker of its own, after which another element may come.
+    marked = f"contains({text}, {quote(json.dumps(_END[0])[1:-1])})"
+    alone = f"(NOT {marked} OR variant_get({w}, '\\u0024[2]', 'variant') IS NULL)"
+    return f"(variant_get({w}, '\\u0024[1]', 'string') <=> {quote(_END)} AND {alone} AND {keeps_numbers(text)})"
 
 
 def parse(text: Sql) -> Sql:
@@ -132,6 +133,11 @@ def parse(text: Sql) -> Sql:
     return let(text, lambda t: let(wrapped(t), lambda w: f"CASE WHEN {is_whole(w, t)} THEN {get(w, 0)} END"))
 
 
+def is_json(text: Sql) -> Sql:
+    """Whether `parse` gives a value; takes none out of the wrapped document, which would copy it."""
+    return let(text, lambda t: let(wrapped(t), lambda w: is_whole(w, t)))
+
+
 def literal_text(value: Any) -> str:
     """Compact JSON text of a configured value."""
     return json.dumps(value, ensure_ascii=False, separators=(",", ":"))

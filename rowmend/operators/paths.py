@@ -300,7 +300,7 @@ def encoded_text(content: Sql, codec: str, child: Node | None, leaf: Leaf, missi
 
     def in_text(plain: Sql) -> Sql:
         bad = J.fail(failure("InvalidJsonFormat", plain))
-        return f"CASE WHEN {V.parse(plain)} IS NULL THEN {bad} ELSE {edit_text(plain, child, leaf, missing)} END"
+        return f"CASE WHEN NOT {V.is_json(plain)} THEN {bad} ELSE {edit_text(plain, child, leaf, missing)} END"
 
     def in_base64(plain: Sql) -> Sql:
         bad = J.fail(failure("Base64Failure", content, Known("Data is not properly base64-encoded")))
@@ -442,7 +442,7 @@ def encoded_as_text(content: Sql, codec: str, child: Node | None) -> Sql:
     """Text at a path of the document that an encoded content holds."""
     return V.let(
         b64_decode(content) if codec == "base64" else content,
-        lambda plain: f"CASE WHEN {V.parse(plain)} IS NOT NULL THEN {read_text(plain, child)} END",
+        lambda plain: f"CASE WHEN {V.is_json(plain)} THEN {read_text(plain, child)} END",
     )
 
 
