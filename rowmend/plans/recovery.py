@@ -40,6 +40,8 @@ class Reports:
 
 
 STAGED = ("status", "request", "error_row", "err_code", "flows", "row_type")
+#: What `stage` needs of an outcome.
+OUTCOME = ("status", "request", "error_row", "err", "flows", "row_type")
 
 
 def execute(

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.outcomes import FAILED, RECOVERED, STATUSES, UNRECOVERABLE, summary, summary_columns
 from ..plans.config import Config
-from ..plans.recovery import Reports, execute, stage
+from ..plans.recovery import OUTCOME, Reports, execute, stage
 from ..sources import runs
 from ..sources.files import error_dir, stream_failed_events, write_recovered
 
@@ -81,7 +81,8 @@ def stream_recover(
     outcomes of a micro-batch, so they repeat no recovery.
     """
     lines = stream_failed_events(spark, source, max_files_per_trigger)
-    outcomes = execute(lines, config).observe(COUNTERS, *summary_columns())
+    # A micro-batch is handed over with every column it has, so those that are not staged are dropped before.
+    outcomes = execute(lines, config).select(*OUTCOME).observe(COUNTERS, *summary_columns())
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         staged = write_batch(batch, batch_id, out)

@@ -5,8 +5,11 @@ import json
 
 from pyspark.sql import functions as F
 
+from rowmend import load_config, stream_recover
 from rowmend.functions import codecs
 from rowmend.functions import variants as V
+from rowmend.streaming import job
+from rowmend.plans.recovery import OUTCOME
 
 
 def column(spark, sql, inputs):
@@ -34,3 +37,15 @@ def test_is_json_where_parse_gives_a_value(spark):
     parsed = column(spark, f"{V.parse('x')} IS NOT NULL", texts)
     assert parsed == column(spark, V.is_json("x"), texts)
     assert parsed == [True, True, False, False, False, False, False, True, True, False, False]
+
+
+def test_stream_hands_over_what_is_staged_only(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("no json\n{}\n")
+    seen = []
+    write = job.write_batch
+    monkeypatch.setattr(job, "write_batch", lambda batch, *more: seen.append(batch.columns) or write(batch, *more))
+    config = load_config(json.dumps({"schema": "iglu:com.acme/r/jsonschema/1-0-0", "data": {}}))
+    stream_recover(spark, str(tmp_path / "in"), config, f"{tmp_path}/o", f"{tmp_path}/c").awaitTermination()
+    assert seen == [list(OUTCOME)]
+    assert job.durable_counters(spark, f"{tmp_path}/o").first()["failed"] == 2
