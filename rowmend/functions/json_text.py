@@ -6,6 +6,10 @@ place in it is a span of tokens, found in one pass over them, and an edit puts
 new text between what stands before and after the span. Blanks between tokens
 go; nothing else changes.
 
+Text of few levels, as nearly all is, is cut into the members of its containers
+on the way to the place only, each a match of one regular expression, and what
+lies beside the way is never cut into tokens.
+
 The text must be one JSON value, which `variants.parse` tells.
 """
 
@@ -23,6 +27,19 @@ _BLANK = r"[ \n\r\t]"
 _BETWEEN = rf'^{_BLANK}|[\[{{,:"]{_BLANK}|{_BLANK}[\]}},:"]|{_BLANK}$'
 _TOKEN = rf'(?:{_KEY})?+(?:{_STRING}|[^\[\]{{}},":]++|[\[{{])(?<![\[{{]),?+|(?:{_KEY})?+[\[{{]|[\]}}],?+'
 
+# Containers within each other that `_MEMBER` reads through; deeper text is taken by its tokens.
+_LEVELS = 8
+
+
+def _container(levels: int) -> str:
+    below = f"|{_container(levels - 1)}" if levels > 1 else ""
+    return rf'[\[{{](?:[^\[\]{{}}"]++|{_STRING}{below})*+[\]}}]'
+
+
+# A value of few levels, and one with the key before it and the comma after it.
+_VALUE = rf'(?:{_STRING}|[^\[\]{{}},":]++|{_container(_LEVELS)})'
+_MEMBER = f"(?:{_KEY})?+{_VALUE},?+"
+
 # A count of elements that no index reaches.
 _NOWHERE = -(1 << 30)
 
@@ -32,11 +49,26 @@ Steps = tuple[str | int, ...]
 def compact(text: Sql) -> Sql:
     """The text without blanks between tokens. Where none is next to a bracket, comma, colon or quote there are none."""
     without = f"regexp_replace({text}, {V.quote(f'({_STRING})|{_BLANK}++')}, '\\u00241')"
-    return f"CASE WHEN {text} RLIKE {V.quote(_BETWEEN)} THEN {without} ELSE {text} END"
+    # most texts hold no blank at all, which one class tells
+    return f"CASE WHEN {text} RLIKE {V.quote(_BLANK)} AND {text} RLIKE {V.quote(_BETWEEN)} THEN {without} ELSE {text} END"
 
 
 def tokens(text: Sql) -> Sql:
-    return f"regexp_extract_all({compact(text)}, {V.quote(_TOKEN)}, 0)"
+    return _cut(compact(text))
+
+
+def _cut(text: Sql) -> Sql:
+    return f"regexp_extract_all({text}, {V.quote(_TOKEN)}, 0)"
+
+
+def _is_flat(text: Sql) -> Sql:
+    """Whether compact text has few enough levels to be cut into members."""
+    return f"{text} RLIKE {V.quote(f'^{_VALUE}' + chr(92) + 'z')}"
+
+
+def _parts(text: Sql) -> Sql:
+    """Members of a flat container, each with the key before it and the comma after it."""
+    return f"regexp_extract_all(substring({text}, 2, char_length({text}) - 2), {V.quote(_MEMBER)}, 0)"
 
 
 def joined(items: Sql) -> Sql:
@@ -113,23 +145,86 @@ def at_span(items: Sql, span: Sql) -> Sql:
     return bare(joined(f"slice({items}, {span}.s, {span}.e - {span}.s + 1)"))
 
 
-def spliced(items: Sql, span: Sql, new: Sql) -> Sql:
-    """The text with the value at a span exchanged."""
+def around(items: Sql, span: Sql) -> tuple[Sql, Sql]:
+    """The text before and after the value at a span."""
     key = f"regexp_extract({items}[{span}.s - 1], {V.quote('^' + _KEY)}, 0)"
     comma = f"CASE WHEN {_last(f'{items}[{span}.e - 1]')} THEN '' ELSE ',' END"
     before = joined(f"slice({items}, 1, {span}.s - 1)")
     after = joined(f"slice({items}, {span}.e + 1, size({items}))")
-    return f"concat({before}, {key}, {new}, {comma}, {after})"
+    return f"concat({before}, {key})", f"concat({comma}, {after})"
+
+
+def _member(text: Sql, step: str | int) -> Sql:
+    """The member of a flat value at one step, NULL where there is none. Of a key that comes twice the last one counts."""
+    if isinstance(step, int):
+        return f"CASE WHEN startswith({text}, '[') THEN get({_parts(text)}, {step}) END"
+    x = V.fresh()
+    named = f"filter({_parts(text)}, {x} -> {_is_key(x, step)})"
+    return f"CASE WHEN startswith({text}, '{{') THEN try_element_at({named}, -1) END"
+
+
+def _get_flat(text: Sql, steps: Steps) -> Sql:
+    for step in steps:
+        text = V.let(text, lambda t, step=step: bare(_member(t, step)))
+    return text
 
 
 def get(text: Sql, *steps: str | int) -> Sql:
     """Text of the value at plain steps, NULL where there is none."""
     if not steps:
         return compact(text)
-    return V.let(
-        tokens(text),
-        lambda t: V.let(found(t, steps), lambda f: f"CASE WHEN {f}.e > 0 THEN {at_span(t, f)} END"),
-    )
+
+    def by_tokens(t: Sql) -> Sql:
+        return V.let(_cut(t), lambda ts: V.let(found(ts, steps), lambda f: f"CASE WHEN {f}.e > 0 THEN {at_span(ts, f)} END"))
+
+    return V.let(compact(text), lambda t: f"CASE WHEN {_is_flat(t)} THEN {_get_flat(t, steps)} ELSE {by_tokens(t)} END")
+
+
+def _place(before: Sql, value: Sql, after: Sql) -> Sql:
+    return f"named_struct('b', {before}, 'v', {value}, 'a', {after})"
+
+
+def _place_flat(text: Sql, steps: Steps) -> Sql:
+    """`place` in flat text."""
+    step, *more = steps
+
+    def in_parts(parts: Sql) -> Sql:
+        x, i = V.fresh(), V.fresh("i")
+        if isinstance(step, int):
+            position = f"CASE WHEN startswith({text}, '[') AND size({parts}) > {step} THEN {step + 1} END"
+        else:
+            hits = f"transform({parts}, ({x}, {i}) -> CASE WHEN {_is_key(x, step)} THEN {i} + 1 END)"
+            position = f"CASE WHEN startswith({text}, '{{') THEN array_max({hits}) END"
+        return V.let(position, lambda n: f"CASE WHEN {n} IS NOT NULL THEN {V.let(f'{parts}[{n} - 1]', lambda m: at(parts, n, m))} END")
+
+    def at(parts: Sql, n: Sql, member: Sql) -> Sql:
+        key = "''" if isinstance(step, int) else f"regexp_extract({member}, {V.quote('^' + _KEY)}, 0)"
+        before = f"concat(substring({text}, 1, 1), {joined(f'slice({parts}, 1, {n} - 1)')}, {key})"
+        comma = f"CASE WHEN {_last(member)} THEN '' ELSE ',' END"
+        after = f"concat({comma}, {joined(f'slice({parts}, {n} + 1, size({parts}))')}, right({text}, 1))"
+        value = bare(member)
+        if not more:
+            return _place(before, value, after)
+
+        def outer(p: Sql) -> Sql:
+            return f"CASE WHEN {p} IS NOT NULL THEN {_place(f'concat({before}, {p}.b)', f'{p}.v', f'concat({p}.a, {after})')} END"
+
+        return V.let(V.let(value, lambda v: _place_flat(v, tuple(more))), outer)
+
+    return V.let(_parts(text), in_parts)
+
+
+def place(text: Sql, steps: Steps) -> Sql:
+    """The value at plain steps of compact text, and what stands before and after it; NULL where there is none."""
+
+    def by_tokens(items: Sql) -> Sql:
+        def at(f: Sql) -> Sql:
+            before, after = around(items, f)
+            return f"CASE WHEN {f}.e > 0 THEN {_place(before, at_span(items, f), after)} END"
+
+        return V.let(found(items, steps), at)
+
+    return f"CASE WHEN {_is_flat(text)} THEN {_place_flat(text, steps)} ELSE {V.let(_cut(text), by_tokens)} END"
 
 
 def edit_at(text: Sql, steps: Steps, change: Callable[[Sql], Sql], missing: Sql) -> Sql:
@@ -137,16 +232,11 @@ def edit_at(text: Sql, steps: Steps, change: Callable[[Sql], Sql], missing: Sql)
     if not steps:
         return change(compact(text))
 
-    def in_tokens(t: Sql) -> Sql:
-        return V.let(
-            found(t, steps),
-            lambda f: (
-                f"CASE WHEN {f}.e > 0 THEN"
-                f" {V.then(V.let(at_span(t, f), change), lambda new: V.ok(spliced(t, f, new)))} ELSE {fail(missing)} END"
-            ),
-        )
+    def at_place(p: Sql) -> Sql:
+        done = V.then(V.let(f"{p}.v", change), lambda new: V.ok(f"concat({p}.b, {new}, {p}.a)"))
+        return f"CASE WHEN {p} IS NOT NULL THEN {done} ELSE {fail(missing)} END"
 
-    return V.let(tokens(text), in_tokens)
+    return V.let(compact(text), lambda t: V.let(place(t, steps), at_place))
 
 
 def members(text: Sql) -> Sql:
@@ -173,7 +263,12 @@ def members(text: Sql) -> Sql:
         one = V.fresh()
         return f"transform({spans}, {one} -> rtrim(',', {joined(f'slice({t}, {one}.s, {one}.e - {one}.s + 1)')}))"
 
-    return V.let(tokens(text), cut)
+    def flat(t: Sql) -> Sql:
+        opens = f"(startswith({t}, '{{') OR startswith({t}, '['))"
+        listed = V.each(_parts(t), lambda x: f"rtrim(',', {x})")
+        return f"CASE WHEN {opens} THEN {listed} ELSE CAST(array() AS ARRAY<STRING>) END"
+
+    return V.let(compact(text), lambda t: f"CASE WHEN {_is_flat(t)} THEN {flat(t)} ELSE {V.let(_cut(t), cut)} END")
 
 
 def array_of(items: Sql) -> Sql:

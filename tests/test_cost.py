@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowmend import load_config, stream_recover
 from rowmend.functions import codecs
+from rowmend.functions import json_text as J
 from rowmend.functions import variants as V
 from rowmend.streaming import job
 from rowmend.plans.recovery import OUTCOME
@@ -43,3 +44,39 @@ def test_stream_hands_over_what_is_staged_only(spark, tmp_path, monkeypatch):
     stream_recover(spark, str(tmp_path / "in"), config, f"{tmp_path}/o", f"{tmp_path}/c").awaitTermination()
     assert seen == [list(OUTCOME)]
     assert job.durable_counters(spark, f"{tmp_path}/o").first()["failed"] == 2
+
+
+_DEEP = '{"a":' * 9 + '[1,{"b":"x"}]' + "}" * 9
+_TEXTS = [
+    '{"a":{"b":1.50},"c":[],"a":{"x":"}","b":[2,"]"]}}',
+    '{"\\u0061":{"b":0},"d":"a\\":"}',
+    '{ "a" : [ {"b":1} , {"b" : "y, z"} ] , "b":null}',
+    '[["a",{"a":1}],{"a":{"b":{}}}]',
+    '{"a":{"b":1},"a":2}',
+    '"a"',
+    "{}",
+    "[]",
+    "7",
+    None,
+    _DEEP,
+    '{"a":{"b":' + _DEEP + "}}",
+]
+_PLACES = [("a",), ("a", "b"), ("a", 1, "b"), (1, "a"), (0,), (0, 1), ("a",) * 9 + (1, "b")]
+
+
+def _all_of(text):
+    """Value, edit and members, for texts with many and few levels."""
+    edits = [J.edit_at(text, p, lambda v: f"named_struct('v', concat('<', {v}, '>'), 'err', {V.NO_ERROR})", V.error("Gone", "'no'")) for p in _PLACES]
+    return f"to_json(struct({', '.join([*(J.get(text, *p) for p in _PLACES), *edits, J.members(text)])}))"
+
+
+def test_members_are_found_where_tokens_are(spark, monkeypatch):
+    by_members = column(spark, _all_of("x"), _TEXTS)
+    monkeypatch.setattr(J, "_is_flat", lambda text: "false")
+    assert by_members == column(spark, _all_of("x"), _TEXTS)
+    assert by_members[0].startswith('{"col1":"{\\"x\\":\\"}\\",\\"b\\":[2,\\"]\\"]}","col2":"[2,\\"]\\"]"')
+
+
+def test_flat_text_is_not_cut_into_tokens(spark, monkeypatch):
+    monkeypatch.setattr(J, "_cut", lambda text: "CAST(raise_error('cut into tokens') AS ARRAY<STRING>)")
+    assert len(column(spark, _all_of("x"), _TEXTS[:9])) == 9
