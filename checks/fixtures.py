@@ -40,6 +40,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return V.configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt evenly to one task for each core.
+
+    A file of small rows is read by few tasks: at most one for each of its row groups, and a table of a few MB has one. A
+    failed-event line takes many times the bytes of its event, so what is made of events would be the work of those few.
+    """
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event with the values everything else is built from."""
     h = F.md5(F.col("event_id").cast("string"))
@@ -49,7 +58,7 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("com.acme")
     )
     uuid = F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         "event_id",
         (F.col("event_id") % 8).alias("kind"),
         F.col("event_type").alias("et"),

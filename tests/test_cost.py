@@ -5,6 +5,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from checks import fixtures as X
 from rowmend import load_config, stream_recover
 from rowmend.functions import codecs
 from rowmend.functions import json_text as J
@@ -80,3 +81,16 @@ def test_members_are_found_where_tokens_are(spark, monkeypatch):
 def test_flat_text_is_not_cut_into_tokens(spark, monkeypatch):
     monkeypatch.setattr(J, "_cut", lambda text: "CAST(raise_error('cut into tokens') AS ARRAY<STRING>)")
     assert len(column(spark, _all_of("x"), _TEXTS[:9])) == 9
+
+
+def test_lines_of_a_small_file_are_the_work_of_all_cores(spark, tmp_path):
+    kinds = ["view", "click", "error", "purchase", "signup"]
+    events = spark.range(400).selectExpr(
+        "id AS event_id", "timestamp_seconds(id) AS ts", "id % 7 AS user_id", f"array({', '.join(map(repr, kinds))})[id % 5] AS event_type",
+        "id / 2.0D AS value", "concat('{\"k\": ', id % 9, '}') AS props",
+    )
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    lines = X.bad_rows(spark, str(tmp_path))
+    rows = lines.withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(r["event_id"] for r in rows) == list(range(400)) and all(r["value"] for r in rows)
+    assert len({r["task"] for r in rows}) == spark.sparkContext.defaultParallelism
