@@ -115,19 +115,29 @@ def payload_struct(**fields: Sql) -> Sql:
     return f"named_struct({', '.join(parts)})"
 
 
+def _is_text(v: Sql, field: Field) -> Sql:
+    """Whether a document fits a field of text, as `typed` tells; what fits and is no string reads as NULL."""
+    return V.is_string(v) if field.required else f"({V.is_string(v)} OR {V.missing_or_null(v)})"
+
+
 def read_event(v: Sql, shape: str, enriched: Sql = "NULL") -> Sql:
     """Typed payload of a collector payload or raw event, NULL when it does not fit."""
     fields = [f for f in FIELDS if field_of(shape, f.named(shape))]
     loose = "STRUCT<" + ", ".join(f"{f.named(shape)}: VARIANT" for f in fields) + ">"
 
-    def check(t: Sql) -> Sql:
-        fit = " AND ".join(f"{t}.{f.name}.fit" for f in fields)
-        values = {f.name: f"{t}.{f.name}.v" for f in fields}
+    # Plain text takes no binding of its own; the other fields are checked and read together.
+    plain = [f for f in fields if f.kind == "text"]
+    others = [f for f in fields if f.kind != "text"]
+
+    def check(s: Sql, t: Sql) -> Sql:
+        fit = " AND ".join([*(_is_text(f"{s}.{f.named(shape)}", f) for f in plain), *(f"{t}.{f.name}.fit" for f in others)])
+        texts = {f.name: V.string(f"{s}.{f.named(shape)}") for f in plain}
+        values = texts | {f.name: f"{t}.{f.name}.v" for f in others}
         return f"CASE WHEN {fit} THEN {payload_struct(**values, enriched=enriched)} END"
 
     def read(s: Sql) -> Sql:
-        parts = ", ".join(f"'{f.name}', {typed(f'{s}.{f.named(shape)}', f)}" for f in fields)
-        return f"CASE WHEN {s} IS NOT NULL THEN {V.let(f'named_struct({parts})', check)} END"
+        parts = ", ".join(f"'{f.name}', {typed(f'{s}.{f.named(shape)}', f)}" for f in others)
+        return f"CASE WHEN {s} IS NOT NULL THEN {V.let(f'named_struct({parts})', lambda t: check(s, t))} END"
 
     return V.let(f"try_cast({v} AS {loose})", read)
 

@@ -10,6 +10,7 @@ from rowmend import load_config, stream_recover
 from rowmend.functions import codecs
 from rowmend.functions import json_text as J
 from rowmend.functions import variants as V
+from rowmend.operators.payloads import COLLECTOR, read_event
 from rowmend.streaming import job
 from rowmend.plans.recovery import OUTCOME
 
@@ -94,3 +95,19 @@ def test_lines_of_a_small_file_are_the_work_of_all_cores(spark, tmp_path):
     rows = lines.withColumn("task", F.spark_partition_id()).collect()
     assert sorted(r["event_id"] for r in rows) == list(range(400)) and all(r["value"] for r in rows)
     assert len({r["task"] for r in rows}) == spark.sparkContext.defaultParallelism
+
+
+def test_a_bound_value_is_not_copied(spark):
+    twice = V.let("x", lambda a: V.let(f"concat({a}, {a})", lambda b: f"coalesce(concat({b}, {a}), 'none')"))
+    assert column(spark, twice, ["y", None]) == ["yyy", "none"]
+    assert "transform" not in twice
+
+
+def test_plain_text_fields_are_read_without_bindings(spark):
+    whole = {"vendor": "v", "version": "1", "querystring": [], "collector": "c", "encoding": "e", "headers": []}
+    texts = [whole, whole | {"hostname": "h"}, whole | {"hostname": None}, whole | {"hostname": 5}, whole | {"vendor": None}, {"vendor": "v"}, whole | {"body": {}}]
+    sql = read_event("try_parse_json(x)", COLLECTOR)
+    read = column(spark, sql, [json.dumps(t) for t in texts])
+    assert [r and (r["vendor"], r["hostname"], r["body"]) for r in read] == [("v", None, None), ("v", "h", None), ("v", None, None), None, None, None, None]
+    # one for the document, one for its checked fields, those of pairs, headers, timestamp and user
+    assert sum(sql.count(form) for form in ("aggregate(array(", "element_at(transform(array(")) < 14
