@@ -40,6 +40,12 @@ def _container(levels: int) -> str:
 _VALUE = rf'(?:{_STRING}|[^\[\]{{}},":]++|{_container(_LEVELS)})'
 _MEMBER = f"(?:{_KEY})?+{_VALUE},?+"
 
+# Text with so few opening brackets, those in strings included, that it has few enough levels: two classes, no alternatives.
+_FEW_BRACKETS = rf"^[^\[{{]*+(?:[\[{{][^\[{{]*+){{0,{_LEVELS}}}+\z"
+
+# What stands between the key and the comma of a member.
+_BARE = rf"(?s)^(?:{_KEY})?+(.*[^,])"
+
 # A count of elements that no index reaches.
 _NOWHERE = -(1 << 30)
 
@@ -63,7 +69,7 @@ def _cut(text: Sql) -> Sql:
 
 def _is_flat(text: Sql) -> Sql:
     """Whether compact text has few enough levels to be cut into members."""
-    return f"{text} RLIKE {V.quote(f'^{_VALUE}' + chr(92) + 'z')}"
+    return f"({text} RLIKE {V.quote(_FEW_BRACKETS)} OR {text} RLIKE {V.quote(f'^{_VALUE}' + chr(92) + 'z')})"
 
 
 def _parts(text: Sql) -> Sql:
@@ -90,7 +96,7 @@ def _last(x: Sql) -> Sql:
 
 def bare(token: Sql) -> Sql:
     """A value's text without the key before it and the comma after it."""
-    return f"regexp_replace(rtrim(',', {token}), {V.quote('^' + _KEY)}, '')"
+    return f"regexp_extract({token}, {V.quote(_BARE)}, 1)"
 
 
 def key_of(member: Sql) -> Sql:
@@ -265,7 +271,7 @@ def members(text: Sql) -> Sql:
 
     def flat(t: Sql) -> Sql:
         opens = f"(startswith({t}, '{{') OR startswith({t}, '['))"
-        listed = V.each(_parts(t), lambda x: f"rtrim(',', {x})")
+        listed = V.each(_parts(t), lambda x: f"CASE WHEN {_last(x)} THEN {x} ELSE left({x}, char_length({x}) - 1) END")
         return f"CASE WHEN {opens} THEN {listed} ELSE CAST(array() AS ARRAY<STRING>) END"
 
     return V.let(compact(text), lambda t: f"CASE WHEN {_is_flat(t)} THEN {flat(t)} ELSE {V.let(_cut(t), cut)} END")

@@ -14,6 +14,7 @@ _KEPT = "[A-Za-z0-9" + re.escape(wire.QUERY_UNRESERVED_MARKS + wire.QUERY_RESERV
 # An escape, a run of characters that may stay, or one character to encode.
 _UNIT = "(?s)(%[0-9A-Fa-f]{2}|" + _KEPT + "+|.)"
 _STAYS = "^(%[0-9A-Fa-f]{2}|" + _KEPT + "+)$"
+_ALL_STAY = "^(?:%[0-9A-Fa-f]{2}|" + _KEPT + "++)*+" + r"\z"
 
 
 def _pair(name: Sql, value: Sql) -> Sql:
@@ -78,11 +79,16 @@ def qs_params(qs: Sql) -> Sql:
 
 def qs_clean(value: Sql) -> Sql:
     """Percent-encode what a querystring value must not hold; the rest is kept."""
-    units = f"regexp_extract_all({value}, {V.quote(_UNIT)}, 1)"
-    cleaned = V.each(
-        units, lambda u: f"CASE WHEN {u} RLIKE {V.quote(_STAYS)} THEN {u} ELSE url_encode({u}) END"
-    )
-    return f"array_join({cleaned}, '')"
+
+    def cleaned(v: Sql) -> Sql:
+        units = V.each(
+            f"regexp_extract_all({v}, {V.quote(_UNIT)}, 1)",
+            lambda u: f"CASE WHEN {u} RLIKE {V.quote(_STAYS)} THEN {u} ELSE url_encode({u}) END",
+        )
+        # most values are clean, which one pass tells
+        return f"CASE WHEN {v} RLIKE {V.quote(_ALL_STAY)} THEN {v} ELSE array_join({units}, '') END"
+
+    return V.let(value, cleaned)
 
 
 def qs_to_nvps(qs: Sql) -> Sql:

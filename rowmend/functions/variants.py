@@ -227,10 +227,19 @@ def items_or_none(v: Sql) -> Sql:
     return f"coalesce({as_array(v)}, CAST(array() AS ARRAY<VARIANT>))"
 
 
+def _path(steps: tuple[str | int, ...]) -> Sql:
+    """Plain steps as a path; every key is quoted so any name is safe."""
+    return quote("$" + "".join(f"[{s}]" if isinstance(s, int) else f'["{s}"]' for s in steps))
+
+
 def get(v: Sql, *steps: str | int) -> Sql:
-    """Value at plain steps as VARIANT; every key is quoted so any name is safe."""
-    path = "$" + "".join(f"[{s}]" if isinstance(s, int) else f'["{s}"]' for s in steps)
-    return f"variant_get({v}, {quote(path)}, 'variant')" if steps else v
+    """Value at plain steps as VARIANT."""
+    return f"variant_get({v}, {_path(steps)}, 'variant')" if steps else v
+
+
+def get_as(v: Sql, sql_type: str, *steps: str | int) -> Sql:
+    """`try_cast` of the value at plain steps, without a VARIANT of its own on the way."""
+    return f"try_variant_get({v}, {_path(steps)}, {quote(sql_type)})"
 
 
 def get_string(v: Sql, *steps: str | int) -> Sql:

@@ -25,7 +25,7 @@ from ..functions import variants as V
 from ..functions.errors import Known, failure
 from ..functions.schema_keys import schema_name
 from ..functions.variants import Sql
-from .payloads import COLLECTOR, ENRICHMENT, OTHER, RAW, payload_struct, read_event, read_record, shape_of
+from .payloads import COLLECTOR, ENRICHMENT, OTHER, RAW, loose_type, payload_struct, read_parts, read_record, shape_of
 
 _KNOWN_SCHEMA = (
     "^iglu:"
@@ -46,6 +46,15 @@ def row_get(*steps: str | int) -> Sql:
     return f"CASE WHEN nested THEN {V.get('doc', *_INNER, *steps)} ELSE {V.get('doc', *_PLAIN, *steps)} END"
 
 
+def row_parts(shape: str, *steps: str | int) -> Sql:
+    """The value there taken apart, see `loose_type`: straight out of the line, a VARIANT of it would be a copy."""
+
+    def at(place: tuple[str | int, ...]) -> Sql:
+        return V.get_as("doc", loose_type(shape), *place, *steps)
+
+    return f"CASE WHEN nested THEN {at(_INNER)} ELSE {at(_PLAIN)} END"
+
+
 def _is_failed_event(schema: Sql, data: Sql) -> Sql:
     return f"(coalesce({schema} RLIKE {V.quote(_KNOWN_SCHEMA)}, false) AND {data} IS NOT NULL)"
 
@@ -88,7 +97,7 @@ def decode_payloads(events: DataFrame) -> DataFrame:
     """Read the payload by row type; a row that does not fit its type is an error."""
     enriched = row_get("payload", "enriched")
     payload = (
-        f"CASE shape WHEN '{COLLECTOR}' THEN {V.let(row_get('payload'), lambda v: read_event(v, COLLECTOR))}"
+        f"CASE shape WHEN '{COLLECTOR}' THEN {read_parts(row_parts(COLLECTOR, 'payload'), COLLECTOR)}"
         f" WHEN '{ENRICHMENT}' THEN {V.let(enriched, _read_enrichment)}"
         f" WHEN '{RAW}' THEN {V.let(row_get('payload'), read_record)}"
         f" WHEN '{OTHER}' THEN {payload_struct()} END"
@@ -112,7 +121,7 @@ def decode_payloads(events: DataFrame) -> DataFrame:
 
 
 def _read_enrichment(enriched: Sql) -> Sql:
-    raw = V.let(row_get("payload", "raw"), lambda v: read_event(v, ENRICHMENT, enriched))
+    raw = read_parts(row_parts(ENRICHMENT, "payload", "raw"), ENRICHMENT, enriched)
     return f"CASE WHEN {V.is_object(enriched)} THEN {raw} END"
 
 

@@ -120,10 +120,23 @@ def _is_text(v: Sql, field: Field) -> Sql:
     return V.is_string(v) if field.required else f"({V.is_string(v)} OR {V.missing_or_null(v)})"
 
 
+def _fields(shape: str) -> list[Field]:
+    return [f for f in FIELDS if field_of(shape, f.named(shape))]
+
+
+def loose_type(shape: str) -> str:
+    """Type that a document of a shape is taken apart as, each field unchecked."""
+    return "STRUCT<" + ", ".join(f"{f.named(shape)}: VARIANT" for f in _fields(shape)) + ">"
+
+
 def read_event(v: Sql, shape: str, enriched: Sql = "NULL") -> Sql:
     """Typed payload of a collector payload or raw event, NULL when it does not fit."""
-    fields = [f for f in FIELDS if field_of(shape, f.named(shape))]
-    loose = "STRUCT<" + ", ".join(f"{f.named(shape)}: VARIANT" for f in fields) + ">"
+    return read_parts(f"try_cast({v} AS {loose_type(shape)})", shape, enriched)
+
+
+def read_parts(parts: Sql, shape: str, enriched: Sql = "NULL") -> Sql:
+    """`read_event` of a document that has been taken apart, see `loose_type`."""
+    fields = _fields(shape)
 
     # Plain text takes no binding of its own; the other fields are checked and read together.
     plain = [f for f in fields if f.kind == "text"]
@@ -136,10 +149,10 @@ def read_event(v: Sql, shape: str, enriched: Sql = "NULL") -> Sql:
         return f"CASE WHEN {fit} THEN {payload_struct(**values, enriched=enriched)} END"
 
     def read(s: Sql) -> Sql:
-        parts = ", ".join(f"'{f.name}', {typed(f'{s}.{f.named(shape)}', f)}" for f in others)
-        return f"CASE WHEN {s} IS NOT NULL THEN {V.let(f'named_struct({parts})', lambda t: check(s, t))} END"
+        checked = ", ".join(f"'{f.name}', {typed(f'{s}.{f.named(shape)}', f)}" for f in others)
+        return f"CASE WHEN {s} IS NOT NULL THEN {V.let(f'named_struct({checked})', lambda t: check(s, t))} END"
 
-    return V.let(f"try_cast({v} AS {loose})", read)
+    return V.let(parts, read)
 
 
 def read_record(v: Sql) -> Sql:

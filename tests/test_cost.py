@@ -9,8 +9,10 @@ from checks import fixtures as X
 from rowmend import load_config, stream_recover
 from rowmend.functions import codecs
 from rowmend.functions import json_text as J
+from rowmend.functions import querystring as Q
 from rowmend.functions import variants as V
-from rowmend.operators.payloads import COLLECTOR, read_event
+from rowmend.operators.decode import row_parts
+from rowmend.operators.payloads import COLLECTOR, loose_type, read_event
 from rowmend.streaming import job
 from rowmend.plans.recovery import OUTCOME
 
@@ -111,3 +113,34 @@ def test_plain_text_fields_are_read_without_bindings(spark):
     assert [r and (r["vendor"], r["hostname"], r["body"]) for r in read] == [("v", None, None), ("v", "h", None), ("v", None, None), None, None, None, None]
     # one for the document, one for its checked fields, those of pairs, headers, timestamp and user
     assert sum(sql.count(form) for form in ("aggregate(array(", "element_at(transform(array(")) < 14
+
+
+def test_text_of_few_brackets_needs_no_search_for_levels(spark, monkeypatch):
+    shallow = ['{"a":{"b":[1,"]]]"]}}', "[" * 8 + "]" * 8, '"[[[["', '{"a":",","b":"x,"}']
+    deep = ["[" * 9 + "]" * 9, '{"a":"' + "{" * 9 + '"}']
+    assert column(spark, J._is_flat("x"), [*shallow, *deep, None]) == [True] * 4 + [False, True, None]
+    monkeypatch.setattr(J, "_VALUE", "no value")
+    assert column(spark, J._is_flat("x"), [*shallow, *deep]) == [True] * 4 + [False, False]
+
+
+def test_a_member_is_bared_in_one_match(spark):
+    members = ['"a":1,', '"a":"b,",', '"a:":{"x":[1,2]}', '"b,"', '"a":"\\n:",', "2.50,", "{},", "", ",", None]
+    assert column(spark, J.bare("x"), members) == ["1", '"b,"', '{"x":[1,2]}', '"b,"', '"\\n:"', "2.50", "{}", "", "", None]
+    assert "rtrim" not in J.bare("x")
+
+
+def test_a_clean_querystring_value_is_not_taken_apart(spark, monkeypatch):
+    values = ["a%20b", "", "plain", "50% off", "x\n", "%", "\U0001f600a", None]
+    assert column(spark, Q.qs_clean("x"), values) == ["a%20b", "", "plain", "50%25+off", "x%0A", "%25", "%F0%9F%98%80a", None]
+    monkeypatch.setattr(Q, "_UNIT", "(q)")
+    assert column(spark, Q.qs_clean("x"), values)[:3] == ["a%20b", "", "plain"]
+
+
+def test_a_payload_is_taken_apart_in_the_line(spark):
+    lines = ['{"p":{"vendor":"v","headers":[]}}', '{"p":null}', '{"p":[1]}', '{"p":"x"}', "{}"]
+    copied = f"try_cast({V.get('v', 'p')} AS {loose_type(COLLECTOR)})"
+    direct = V.get_as("v", loose_type(COLLECTOR), "p")
+    frame = spark.createDataFrame([(x,) for x in lines], "x string").select(F.expr("try_parse_json(x)").alias("v"))
+    rows = frame.select(F.expr(f"to_json({copied})"), F.expr(f"to_json({direct})")).collect()
+    assert [r[0] for r in rows] == [r[1] for r in rows] and rows[0][0] and rows[2][0] is None
+    assert "'variant')" not in row_parts(COLLECTOR, "payload")
