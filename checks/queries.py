@@ -60,11 +60,12 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_dir(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of text files with the lines."""
+    """Folder of compressed text files with the lines; these are not stored a second time for it."""
     key = (spark.sparkContext.applicationId, sf_dir, "text")
     if key not in _written:
         path = f"{X.scratch_dir(spark)}/text"
-        lines(spark, sf_dir).select("value").write.text(path)
+        made = lines(spark, sf_dir) if (*key[:2], "lines") in _written else X.bad_rows(spark, sf_dir)
+        files.write_text(made.select("value"), path, "error")
         _written[key] = path
     return _written[key]
 

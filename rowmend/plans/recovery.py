@@ -81,7 +81,8 @@ def stage(events: DataFrame, path: str, take_up: bool = False) -> DataFrame:
     staged = events.withColumn("err_code", F.col("err")["code"]).select(*STAGED)
     if not (take_up and runs.exists(spark, f"{path}/_SUCCESS")):
         # Static: a status that a replay lacks must not keep the rows of the earlier try.
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("status").parquet(path)
+        writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
+        writer.partitionBy("status").parquet(path)
     return spark.read.schema(staged.schema).parquet(path)
 
 

@@ -15,6 +15,9 @@ VENDOR_BUCKETS = 64
 ROWS_PER_FILE = 1_000_000
 MOST_TASKS = 10_000
 
+#: Rows of a compressed text file. One task reads such a file from end to end, so it must not hold all that another task wrote.
+ROWS_PER_TEXT_FILE = 20_000
+
 # --- sources ------------------------------------------------------------------
 
 
@@ -110,6 +113,11 @@ def write_recovered(events: DataFrame, path: str, mode: str = "append", rows: in
     records.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("vendor_bucket").parquet(path)
 
 
+def write_text(rows: DataFrame, path: str, mode: str, compression: str = "gzip") -> None:
+    """Lines in compressed files of bounded length: lines of JSON take many times the room that they need."""
+    rows.write.mode(mode).option("compression", compression).option("maxRecordsPerFile", ROWS_PER_TEXT_FILE).text(path)
+
+
 def write_errors(events: DataFrame, base: str, status: str, mode: str = "append", run: str | None = None) -> None:
     """Error rows of one status to text below `base`, in the folder of the run if one is given."""
     if status not in (FAILED, UNRECOVERABLE):

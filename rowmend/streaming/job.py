@@ -14,7 +14,7 @@ from ..operators.outcomes import FAILED, RECOVERED, STATUSES, UNRECOVERABLE, sum
 from ..plans.config import Config
 from ..plans.recovery import OUTCOME, Reports, execute, stage
 from ..sources import runs
-from ..sources.files import error_dir, stream_failed_events, write_recovered
+from ..sources.files import error_dir, stream_failed_events, write_recovered, write_text
 
 COUNTERS = "outcomes"
 
@@ -28,19 +28,24 @@ def batch_paths(out: str, batch_id: int) -> dict[str, str]:
     }
 
 
-def write_batch(outcomes: DataFrame, batch_id: int, out: str) -> DataFrame:
+def staged_dir(out: str) -> str:
+    return f"{out}/_staged"
+
+
+def write_batch(outcomes: DataFrame, batch_id: int, out: str, compression: str = "gzip") -> DataFrame:
     """Write the outcomes of one micro-batch, replacing an earlier try of the same batch; gives the staged outcomes.
 
     The batch is staged once next to its output and the three sinks read it
     from there, so a lost executor never repeats the recovery work. Batches of
-    a query run one after the other, so they share one staging folder.
+    a query run one after the other, so they share one staging folder. Error
+    rows are text files with this `compression` (`none` for plain ones).
     """
     paths = batch_paths(out, batch_id)
-    staged = stage(outcomes, f"{out}/_staged")
+    staged = stage(outcomes, staged_dir(out))
     write_recovered(staged, paths[RECOVERED], "overwrite")
     for status in (FAILED, UNRECOVERABLE):
         rows = staged.filter(F.col("status") == status).select(F.col("error_row").alias("value"))
-        rows.write.mode("overwrite").text(paths[status])
+        write_text(rows, paths[status], "overwrite", compression)
     summary(staged).write.mode("overwrite").parquet(f"{counts_dir(out)}/batch={batch_id}")
     return staged
 
@@ -72,24 +77,27 @@ def stream_recover(
     max_files_per_trigger: int | None = None,
     on_batch: Callable[[DataFrame, int], None] | None = None,
     reports: Reports | None = None,
+    compression: str = "gzip",
 ) -> StreamingQuery:
     """Recover a stream of files into three folders below `out`.
 
     `checkpoint` keeps which files were read; with the per-batch folders each
     input line has its outcome exactly once. The counts are observed in the
     same pass under the name `outcomes`. `on_batch` and `reports` get the staged
-    outcomes of a micro-batch, so they repeat no recovery.
+    outcomes of a micro-batch, so they repeat no recovery; these are removed when
+    both have returned. Error rows go to text files with this `compression`.
     """
     lines = stream_failed_events(spark, source, max_files_per_trigger)
     # A micro-batch is handed over with every column it has, so those that are not staged are dropped before.
     outcomes = execute(lines, config).select(*OUTCOME).observe(COUNTERS, *summary_columns())
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        staged = write_batch(batch, batch_id, out)
+        staged = write_batch(batch, batch_id, out, compression)
         if reports is not None:
             reports.write(staged)
         if on_batch is not None:
             on_batch(staged, batch_id)
+        runs.remove(spark, staged_dir(out))
 
     return (
         outcomes.writeStream.foreachBatch(sink)
